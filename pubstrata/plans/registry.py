@@ -195,3 +195,72 @@ def _count_clusters(spark, d):
 def _interpretable(spark, d):
     p = _pubs(spark, d)
     return Q.interpretable_metrics(p.clusters, p.bridge, p.docs)
+
+
+# ---- topic metrics (T1-T9) ----------------------------------------------------------------
+
+from pubstrata.operators import topics as T  # noqa: E402
+
+
+@register("impact_score", O.impact_sql())
+def _impact(spark, d):
+    p = _pubs(spark, d)
+    return T.impact_score(_cl(p), p.docs)
+
+
+@register("top_k_pubs", O.topk_sql(10))
+def _topk(spark, d):
+    p = _pubs(spark, d)
+    return T.top_k_pubs(_cl(p), p.docs, 10)
+
+
+@register("cs_mean", O.cs_mean_sql())
+def _cs_mean(spark, d):
+    p = _pubs(spark, d)
+    return T.cs_mean(_cl(p), p.docs)
+
+
+@register("ztrend_cs_sum", O.ztrend_cs_sql())
+def _ztrend_cs(spark, d):
+    p = _pubs(spark, d)
+    return T.ztrend_cs_sum(_cl(p), p.docs)
+
+
+@register("ztrend_auth_diversity", O.ztrend_auth_sql())
+def _ztrend_auth(spark, d):
+    p = _pubs(spark, d)
+    return T.ztrend_diversity(_cl(p), p.docs, T.auth_entity_rows(p.bridge))
+
+
+@register("ztrend_country_diversity", O.ztrend_country_sql())
+def _ztrend_country(spark, d):
+    p = _pubs(spark, d)
+    return T.ztrend_diversity(_cl(p), p.docs, T.country_entity_rows(p.bridge, p.affiliations))
+
+
+def _impact_index(spark, d):
+    p = _pubs(spark, d)
+    cl = _cl(p)
+    return T.impact_index(T.impact_score(cl, p.docs), T.top_k_pubs(cl, p.docs, 10), T.cs_mean(cl, p.docs))
+
+
+def _impulse_index(spark, d):
+    p = _pubs(spark, d)
+    cl = _cl(p)
+    return T.impulse_index(
+        T.ztrend_cs_sum(cl, p.docs),
+        T.ztrend_diversity(cl, p.docs, T.auth_entity_rows(p.bridge)),
+        T.ztrend_diversity(cl, p.docs, T.country_entity_rows(p.bridge, p.affiliations)),
+    )
+
+
+register("impact_index", O.impact_index_sql())(_impact_index)
+register("impact_index_mean", O.impact_index_sql(mean=True))(lambda s, d: T.index_mean(_impact_index(s, d)))
+register("impulse_index", O.impulse_index_sql())(_impulse_index)
+register("impulse_index_mean", O.impulse_index_sql(mean=True))(lambda s, d: T.index_mean(_impulse_index(s, d)))
+
+
+@register("topic_metrics", O.topic_metrics_sql())
+def _topic_metrics(spark, d):
+    p = _pubs(spark, d)
+    return T.topic_metrics(p.clusters, p.docs, p.bridge, p.affiliations)
