@@ -264,3 +264,96 @@ register("impulse_index_mean", O.impulse_index_sql(mean=True))(lambda s, d: T.in
 def _topic_metrics(spark, d):
     p = _pubs(spark, d)
     return T.topic_metrics(p.clusters, p.docs, p.bridge, p.affiliations)
+
+
+# ---- text, embeddings, neighbours, periphery (S1-S3, E1-E6, C1, C7a-b, C8-C9) -------------
+
+from pubstrata.functions.vectors import dim_ok  # noqa: E402
+from pubstrata.operators import embed as E  # noqa: E402
+from pubstrata.operators import neighbors as N  # noqa: E402
+from pubstrata.operators import periphery as P  # noqa: E402
+from pubstrata.sources import tables as S  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+VEC_DIM = 64          # driver vectors (1024 in the original model)
+KNN_K = 15            # n_neighbors for the 500-vector fixture
+MIN_SAMPLES = 5
+MIN_CLUSTER_SIZE = 10
+
+
+@register("scan_texts", O.scan_texts_sql())
+def _scan_texts(spark, d):
+    return S.scan_texts(FX.text_docs_view(spark, d))
+
+
+@register("embed_text", O.embed_text_sql())
+def _embed_text(spark, d):
+    return E.embed_text(FX.text_docs_view(spark, d))
+
+
+@register("load_embeddings", O.load_embeddings_sql())
+def _load_embeddings(spark, d):
+    emb = S.load_embeddings(spark, f"{d.rstrip('/')}/embeddings.parquet", id_col="vec_id", dim=VEC_DIM)
+    return E.to_long(emb, "eid")
+
+
+@register("quantize_half", O.quantize_half_sql())
+def _quantize(spark, d):
+    v = FX.vectors_view(spark, d).withColumnRenamed("id", "eid")
+    return E.to_long(E.quantize_half(v), "eid")
+
+
+@register("mean_pool", O.mean_pool_sql())
+def _mean_pool(spark, d):
+    return E.to_long(E.mean_pool(FX.vectors_view(spark, d), "label"), "label")
+
+
+@register("l2_normalize", O.l2_normalize_sql())
+def _l2(spark, d):
+    return E.to_long(E.normalize(E.mean_pool(FX.vectors_view(spark, d), "label")), "label")
+
+
+@register("embed_documents")
+def _embed_docs(spark, d):
+    return E.embed_documents(E.embed_text(FX.text_docs_view(spark, d)), dim=VEC_DIM)
+
+
+@register("knn_cosine", O.knn_sql("cosine", KNN_K))
+def _knn_cos(spark, d):
+    return N.knn(FX.vectors_view(spark, d), KNN_K, "cosine")
+
+
+@register("knn_euclid", O.knn_sql("euclidean", KNN_K))
+def _knn_euc(spark, d):
+    return N.knn(FX.vectors_view(spark, d), KNN_K, "euclidean")
+
+
+@register("core_distance", O.core_distance_sql(MIN_SAMPLES))
+def _core(spark, d):
+    return N.core_distances(N.knn(FX.vectors_view(spark, d), MIN_SAMPLES, "euclidean"), MIN_SAMPLES)
+
+
+@register("mutual_reachability", O.mutual_reachability_sql(KNN_K, MIN_SAMPLES))
+def _mr(spark, d):
+    kn = N.knn(FX.vectors_view(spark, d), KNN_K, "euclidean")
+    return N.mutual_reachability(kn, N.core_distances(kn, MIN_SAMPLES))
+
+
+def _membership(spark, d):
+    return P.membership_distance(FX.vectors_view(spark, d), FX.vector_clusters_view(spark, d), per_topic=5)
+
+
+register("membership", O.membership_sql(5))(_membership)
+
+
+def _calibrate(spark, d):
+    return P.calibrate_periphery(_membership(spark, d), FX.vector_clusters_view(spark, d),
+                                 core_sample_frac=1.0, core_quantile=0.05)
+
+
+register("calibrate_periphery", O.calibrate_sql(0.05))(_calibrate)
+
+
+@register("attach_periphery", O.attach_sql(0.05))
+def _attach(spark, d):
+    return P.attach_periphery(FX.vector_clusters_view(spark, d), _membership(spark, d), _calibrate(spark, d))
