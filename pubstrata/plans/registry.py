@@ -357,3 +357,28 @@ register("calibrate_periphery", O.calibrate_sql(0.05))(_calibrate)
 @register("attach_periphery", O.attach_sql(0.05))
 def _attach(spark, d):
     return P.attach_periphery(FX.vector_clusters_view(spark, d), _membership(spark, d), _calibrate(spark, d))
+
+
+# ---- annotation (A1-A6) -------------------------------------------------------------------
+
+from pubstrata.operators import annotate as A  # noqa: E402
+
+
+def _best(spark, d):
+    p = _pubs(spark, d)
+    return A.best_pubs(_cl(p), p.docs, 10)
+
+
+register("best_pubs", O.best_pubs_sql(10))(_best)
+register("annotation_prompts")(lambda s, d: A.annotation_prompts(_best(s, d)))
+register("annotation_requests")(lambda s, d: A.request_lines(A.annotation_requests(A.annotation_prompts(_best(s, d)))))
+
+
+def _parsed(spark, d):
+    lines = A.echo_responses(A.annotation_requests(A.annotation_prompts(_best(spark, d))))
+    return lines, A.parse_responses(lines)
+
+
+register("parse_responses")(lambda s, d: _parsed(s, d)[1])
+register("parse_stats")(lambda s, d: A.parse_stats(*_parsed(s, d)))
+register("annotations")(lambda s, d: A.annotations(_parsed(s, d)[1]))
