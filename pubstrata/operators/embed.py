@@ -126,15 +126,16 @@ def mean_pool(rows: DataFrame, group_col: str, vec_col: str = "embedding", mask_
     m = F.col(mask_col).cast("double") if mask_col else F.lit(1.0)
     src = rows.select(group_col, array_to_vector(F.col(vec_col)).alias("__v"), m.alias("__m"),
                       F.size(vec_col).alias("__d"))
-    agg = src.groupBy(group_col).agg(
-        Summarizer.mean(F.col("__v"), F.col("__m")).alias("__mean"),
-        F.sum("__m").alias("__w"),
-        F.max("__d").alias("__d"),
+    # Summarizer skips zero-weight rows and rejects groups with nothing added,
+    # so fully masked groups come from a second (cheap) aggregate
+    pooled = src.where(F.col("__m") > 0).groupBy(group_col).agg(
+        vector_to_array(Summarizer.mean(F.col("__v"), F.col("__m"))).alias("__mean")
     )
-    pooled = F.when(F.col("__w") > 0, vector_to_array(F.col("__mean"))).otherwise(
-        F.array_repeat(F.lit(0.0), F.col("__d"))
+    groups = src.groupBy(group_col).agg(F.max("__d").alias("__d"))
+    out = groups.join(pooled, group_col, "left")
+    return out.select(
+        group_col, F.coalesce(F.col("__mean"), F.array_repeat(F.lit(0.0), F.col("__d"))).alias(out_col)
     )
-    return agg.select(group_col, pooled.alias(out_col))
 
 
 def normalize(df: DataFrame, vec_col: str = "embedding") -> DataFrame:

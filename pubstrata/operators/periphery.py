@@ -57,8 +57,8 @@ def top2(membership: DataFrame) -> DataFrame:
     return g.select(
         "id",
         "c1",
-        F.col("__top")[0].alias("p1"),
-        F.when(F.size("__top") > 1, F.col("__top")[1]).otherwise(F.lit(0.0)).alias("p2"),
+        F.get("__top", 0).alias("p1"),
+        F.coalesce(F.get("__top", 1), F.lit(0.0)).alias("p2"),
     )
 
 
