@@ -45,7 +45,7 @@ def _within_kth(dist: np.ndarray, k: int):
 
 
 def _block_fn(k: int, metric: str, include_self: bool):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         bi, bj = int(key[0]), int(key[1])
         left = pdf[pdf["side"] == 0]
         ids_l = left["id"].to_numpy(np.int64)

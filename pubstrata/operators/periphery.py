@@ -72,7 +72,7 @@ def exemplars(clusters: DataFrame, vectors: DataFrame, per_topic: int = 5, vec_c
 
 
 def _membership_fn():
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         pts = pdf[pdf["side"] == 0]
         ex = pdf[pdf["side"] == 1].sort_values("topic", kind="stable")
         if len(pts) == 0 or len(ex) == 0:

@@ -56,3 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def cut_lineage(df, tag: str = "cut"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Used by the iterative jobs every round: the plan is computed once, the
+    result survives executor loss (it is on shared storage, not in executor
+    memory), and later rounds start from a short lineage.
+    """
+    import uuid
+
+    path = shared_dir(df.sparkSession, "tables", f"{tag}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
