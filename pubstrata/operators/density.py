@@ -131,7 +131,7 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
             "comp", F.col("x.e.mr").alias("w"), F.col("x.e.lo").alias("lo"), F.col("x.e.hi").alias("hi"),
             F.col("x.ocomp").alias("ocomp"),
         ))
-        edges.append(_cut(best_c.select("lo", "hi", "w").distinct()))
+        edges.append(best_c.select("lo", "hi", "w").distinct())
         # hook: parent = the other component; mutual choices (2-cycles) root at the smaller id
         par = best_c.select(F.col("comp").alias("c"), F.col("ocomp").alias("p"))
         pp = par.alias("x").join(par.alias("y"), F.col("x.p") == F.col("y.c")).select(
@@ -331,6 +331,7 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
         done = _cut(done)
     else:
         done = None
+        level = 0
         while True:
             pending = nodes if done is None else nodes.join(done.select("lin"), "lin", "left_anti")
             if pending.limit(1).count() == 0:
@@ -348,7 +349,10 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
                 "lin", "parent", local.alias("local"),
                 F.when(local, F.col("stability")).otherwise(F.col("csum")).alias("best"),
             )
-            done = _cut(step if done is None else done.unionByName(step))
+            done = step if done is None else done.unionByName(step)
+            level += 1
+            if level % 3 == 0:
+                done = _cut(done)
         done = done.select("lin", "local")
     # top-down: a lineage is selected when it is locally best and no ancestor is
     tree = _cut(nodes.select("lin", "parent").join(done, "lin"))
@@ -367,8 +371,8 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
             F.coalesce(F.col("psel"), F.when(sel_here, F.col("lin"))).alias("sel"),
             (F.col("pcov") | F.col("local")).alias("covered"),
         ))
-        acc = _cut(acc.unionByName(frontier))
-    return acc.select("lin", "selected", "sel")
+        acc = acc.unionByName(frontier)
+    return _cut(acc.select("lin", "selected", "sel"))
 
 
 def label_points(h: Hierarchy, selection: DataFrame, ids: DataFrame) -> DataFrame:

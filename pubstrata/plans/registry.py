@@ -382,3 +382,65 @@ def _parsed(spark, d):
 register("parse_responses")(lambda s, d: _parsed(s, d)[1])
 register("parse_stats")(lambda s, d: A.parse_stats(*_parsed(s, d)))
 register("annotations")(lambda s, d: A.annotations(_parsed(s, d)[1]))
+
+
+# ---- density clustering (C7a-g) -----------------------------------------------------------
+
+from pubstrata.operators import density as DN  # noqa: E402
+
+_HDB_CACHE: dict = {}
+
+
+def _hdb(spark, d):
+    """One HDBSCAN run per (session, sf_dir) shared by the density keys of this registry."""
+    key = (id(spark), d)
+    if key not in _HDB_CACHE:
+        _HDB_CACHE[key] = DN.hdbscan(FX.vectors_view(spark, d), min_cluster_size=MIN_CLUSTER_SIZE,
+                                     min_samples=MIN_SAMPLES, details=True)
+    return _HDB_CACHE[key]
+
+
+register("mst")(lambda s, d: _hdb(s, d)[1])
+register("linkage_levels")(lambda s, d: _hdb(s, d)[2].merges)
+register("condensed_tree")(lambda s, d: _hdb(s, d)[2].lineages)
+register("select_clusters")(lambda s, d: _hdb(s, d)[3])
+
+
+@register("hdbscan")
+def _hdbscan(spark, d):
+    return DN.hdbscan(FX.vectors_view(spark, d), min_cluster_size=MIN_CLUSTER_SIZE, min_samples=MIN_SAMPLES)
+
+
+# ---- dimension reduction (C2-C6) ----------------------------------------------------------
+
+from pubstrata.operators import reduce as RD  # noqa: E402
+
+UMAP_K = 15
+SPECTRAL_ITERS = 10
+LAYOUT_EPOCHS = 10
+
+
+def _graph(spark, d):
+    kn = N.knn(FX.vectors_view(spark, d), UMAP_K - 1, "cosine")
+    return RD.fuzzy_union(RD.fuzzy_weights(kn, UMAP_K))
+
+
+register("reduce_pca")(lambda s, d: RD.reduce_pca(FX.vectors_view(s, d), 16))
+register("fuzzy_weights")(lambda s, d: RD.fuzzy_weights(N.knn(FX.vectors_view(s, d), UMAP_K - 1, "cosine"), UMAP_K))
+register("fuzzy_union")(_graph)
+register("spectral_embed")(
+    lambda s, d: RD.spectral_init(_graph(s, d), FX.vectors_view(s, d).select("id"), 16, SPECTRAL_ITERS)
+)
+
+
+@register("layout")
+def _layout(spark, d):
+    g = _graph(spark, d)
+    init = RD.spectral_init(g, FX.vectors_view(spark, d).select("id"), 16, SPECTRAL_ITERS)
+    return RD.layout(g, init, n_epochs=LAYOUT_EPOCHS)
+
+
+register("reduce_umap")(
+    lambda s, d: RD.reduce_umap(FX.vectors_view(s, d), n_neighbors=UMAP_K, n_components=16,
+                                n_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS)
+)
