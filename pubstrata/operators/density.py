@@ -173,6 +173,7 @@ def _chunk_fn(min_cluster_size: int):
             lamf[r.rep] = None if pd.isna(r.lam) else float(r.lam)
         parent: dict[int, int] = {}
         members: dict[int, list[int]] = {}
+        seen: set[int] = set()
 
         def find(x):
             root = x
@@ -186,7 +187,8 @@ def _chunk_fn(min_cluster_size: int):
         for idx, e in enumerate(ed.itertuples(index=False)):
             a, b, w = int(e.size), int(e.size2), float(e.lam)  # start reps of both endpoints
             for s in (a, b):
-                if s not in members:
+                if s not in seen:  # first time this start representative appears in the chunk
+                    seen.add(s)
                     members[s] = [s]
                     size.setdefault(s, 1)
                     lin.setdefault(s, None)
@@ -222,10 +224,7 @@ def _chunk_fn(min_cluster_size: int):
             members[keep] = members[keep] + members[gone]
             parent[gone] = keep
             members.pop(gone, None)
-        touched = set()
-        for ms in members.values():
-            touched.update(ms)
-        for s in touched:
+        for s in seen:
             r = find(s)
             if r != s:
                 out.append((K_REMAP, s, r, None, None, None, None, None, None, None))

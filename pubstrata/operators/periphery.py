@@ -112,6 +112,21 @@ def membership_distance(vectors: DataFrame, clusters: DataFrame, per_topic: int
     return p.unionByName(e).groupBy("blk").applyInPandas(_membership_fn(), "id long, topic int, p double")
 
 
+def core_sample(clusters: DataFrame, core_sample_frac: float = 0.2, core_sample_min: int = 0,
+                core_sample_max: int = 999_999_999, seed: int = 0) -> DataFrame:
+    """(id): the exact-size, repeatable sample of core points used for calibration."""
+    core = clusters.where(F.col("topic") != -1).select("id")
+    n_core = core.agg(F.count(F.lit(1)).alias("n_core"))
+    size = F.least(
+        F.greatest(F.lit(int(core_sample_min)), F.floor(F.col("n_core") * float(core_sample_frac)).cast("long")),
+        F.lit(int(core_sample_max)),
+        F.col("n_core"),
+    )
+    bounds = n_core.select(size.alias("n_sample")).withColumn("__one", F.lit(1))
+    ranked = hash_rank(core, "id", seed).withColumn("__one", F.lit(1))
+    return ranked.join(F.broadcast(bounds), "__one").where(F.col("hrank") <= F.col("n_sample")).select("id")
+
+
 def calibrate_periphery(membership: DataFrame, clusters: DataFrame, core_sample_frac: float = 0.2,
                         core_sample_min: int = 0, core_sample_max: int = 999_999_999,
                         core_quantile: float = 0.05, seed: int = 0) -> DataFrame:

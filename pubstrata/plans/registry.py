@@ -444,3 +444,105 @@ register("reduce_umap")(
     lambda s, d: RD.reduce_umap(FX.vectors_view(s, d), n_neighbors=UMAP_K, n_components=16,
                                 n_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS)
 )
+
+
+# ---- sources / sinks, runs and stages, streaming (S2, S6-S10, E6, R1-R6, X1) ---------------
+
+import hashlib  # noqa: E402
+import uuid  # noqa: E402
+
+from pubstrata.plans import stages as ST  # noqa: E402
+from pubstrata.plans.config import ConfigItem  # noqa: E402
+from pubstrata.session import shared_dir  # noqa: E402
+from pubstrata.streaming.embed_stream import run_embed_stream  # noqa: E402
+
+
+def _scratch(spark, d, *parts):
+    tag = hashlib.sha1(d.encode()).hexdigest()[:10]
+    return shared_dir(spark, "registry", tag, *parts)
+
+
+def _fresh(spark, d, name):
+    return _scratch(spark, d, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@register("scan_csv")
+def _scan_csv(spark, d):
+    path = _fresh(spark, d, "texts-csv")
+    S.scan_texts(FX.text_docs_view(spark, d)).write.option("header", "true").option("escape", '"').csv(path)
+    return S.scan_csv(spark, path)
+
+
+@register("embed_sink")
+def _embed_sink(spark, d):
+    path = _fresh(spark, d, "embeddings")
+    E.write_embeddings(E.quantize_half(E.embed_documents(E.embed_text(FX.text_docs_view(spark, d)), dim=VEC_DIM)),
+                       path)
+    return S.load_embeddings(spark, path, dim=VEC_DIM)
+
+
+@register("embed_job")
+def _embed_job(spark, d):
+    path = _fresh(spark, d, "embed-job")
+    E.embed_job(FX.text_docs_view(spark, d), path, dim=VEC_DIM)
+    return spark.read.parquet(path)
+
+
+@register("stream_embed")
+def _stream_embed(spark, d):
+    base = _fresh(spark, d, "stream")
+    texts = S.scan_texts(FX.text_docs_view(spark, d))
+    # documents arrive in two drops; the stream embeds each file once
+    texts.where(F.col("eid") % 2 == 0).write.parquet(f"{base}/in/drop=0")
+    texts.where(F.col("eid") % 2 == 1).write.parquet(f"{base}/in/drop=1")
+    run_embed_stream(spark, f"{base}/in/*", f"{base}/out", f"{base}/ckpt", dim=VEC_DIM)
+    return spark.read.parquet(f"{base}/out")
+
+
+def _save_impact(spark, d):
+    path = _fresh(spark, d, "tables")
+    S.save_table(_impact_index(spark, d), "topic_metrics.impact_index", path=path)
+    return spark.table("topic_metrics.impact_index")
+
+
+register("save_table", O.impact_index_sql())(_save_impact)
+
+RUN_CONFIG = {
+    "id": "run-1",
+    "config": {
+        "umap": {"n_neighbors": UMAP_K, "min_dist": 0.1},
+        "hdbscan": {"min_cluster_size": MIN_CLUSTER_SIZE, "min_samples": MIN_SAMPLES, "cluster_selection_method": "eom"},
+        "periphery": {"core_sample_frac": 0.2, "core_sample_min": 0, "core_sample_max": 999999999,
+                      "core_quantile": 0.05, "mv_batch_size": 2048, "batch_size": 50000},
+    },
+}
+
+
+def _run(spark, d):
+    p = _pubs(spark, d)
+    return ST.cluster_run(spark, FX.vectors_view(spark, d), ConfigItem.from_dict(RUN_CONFIG), _scratch(spark, d, "runs"),
+                          docs=p.docs, bridge=p.bridge, layout_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS)
+
+
+register("cluster_run")(lambda s, d: _run(s, d).clusters)
+register("metrics_report")(lambda s, d: _run(s, d).metrics)
+register("stage_tables")(lambda s, d: _run(s, d).stage_table(s))
+
+
+@register("stage_reuse")
+def _stage_reuse(spark, d):
+    _run(spark, d)
+    return _run(spark, d).stage_table(spark)  # second run: every stage read back
+
+
+@register("list_runs")
+def _list_runs(spark, d):
+    _run(spark, d)
+    return ST.list_runs(spark, _scratch(spark, d, "runs"))
+
+
+@register("interpret_run")
+def _interpret_run(spark, d):
+    r = _run(spark, d)
+    p = _pubs(spark, d)
+    return ST.interpret_run(spark, _scratch(spark, d, "runs"), r.run_id, r.clusters, p.docs, p.bridge, p.affiliations)

@@ -42,17 +42,28 @@ def load_embeddings(spark: SparkSession, path: str, id_col: str = "eid", emb_col
     return df.select("eid", ok.alias("embedding"))
 
 
-def save_table(df: DataFrame, name: str, database: str | None = None) -> None:
-    """Create-or-replace a catalog table (``database.table``), creating the database if needed."""
+def save_table(df: DataFrame, name: str, database: str | None = None, path: str | None = None) -> None:
+    """Create-or-replace a catalog table (``database.table``), creating the database if needed.
+
+    With ``path`` the table's files live there (shared storage) instead of the
+    session's warehouse folder.
+    """
     spark = df.sparkSession
     if database is None and "." in name:
         database, name = name.split(".", 1)
+
+    def q(x):
+        return "`" + x.replace("`", "``") + "`"
+
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database.replace('`', '``')}`")
-        full = f"`{database.replace('`', '``')}`.`{name.replace('`', '``')}`"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)}")
+        full = f"{q(database)}.{q(name)}"
     else:
-        full = f"`{name.replace('`', '``')}`"
-    df.write.mode("overwrite").saveAsTable(full)
+        full = q(name)
+    w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(full)
 
 
 def write_json_rows(df: DataFrame, path: str) -> None:

@@ -166,7 +166,10 @@ def test_hdbscan_equals_sequential(spark, seed, mcs, ms, method):
     edges.sort(key=lambda e: (e[2], e[0], e[1]))
     assert len(edges) == len(X) - 1
     assert sum(w for _, _, w in edges) == pytest.approx(ref_mst_weight(X, ms), rel=1e-9)
-    got = {r.id: r for r in lab.collect()}
+    rows = lab.collect()
+    assert len(rows) == len(X) and len({r.id for r in rows}) == len(X)
+    assert h.falls.count() == h.falls.select("id").distinct().count()
+    got = {r.id: r for r in rows}
     want_lab, want_prob = ref_labels(len(X), edges, mcs, method)
     g = np.array([got[i].topic for i in range(len(X))])
     assert same_partition(g, want_lab)
