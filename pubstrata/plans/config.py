@@ -107,11 +107,13 @@ class ConfigItem:
 
 
 STAGES = ("reduced", "clusters", "periphery")
+# bumped whenever a stage's algorithm changes, so stored tables of older code are not reused
+STAGE_VERSION = 2
 
 
 def stage_key(cfg: AppConfig, stage: str, extra: dict | None = None) -> str:
     """Hash of a stage's parameters and those of the stages before it."""
-    parts = {"umap": asdict(cfg.umap)}
+    parts = {"version": STAGE_VERSION, "umap": asdict(cfg.umap)}
     if stage in ("clusters", "periphery"):
         parts["hdbscan"] = asdict(cfg.hdbscan)
     if stage == "periphery":

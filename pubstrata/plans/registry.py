@@ -521,7 +521,8 @@ RUN_CONFIG = {
 def _run(spark, d):
     p = _pubs(spark, d)
     return ST.cluster_run(spark, FX.vectors_view(spark, d), ConfigItem.from_dict(RUN_CONFIG), _scratch(spark, d, "runs"),
-                          docs=p.docs, bridge=p.bridge, layout_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS)
+                          docs=p.docs, bridge=p.bridge, layout_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS,
+                          resume=True)
 
 
 register("cluster_run")(lambda s, d: _run(s, d).clusters)

@@ -106,16 +106,18 @@ def _stage(spark: SparkSession, root: str, name: str, key: str, build, info: lis
 
 def cluster_run(spark: SparkSession, vectors: DataFrame, item: ConfigItem, root: str, docs: DataFrame | None = None,
                 bridge: DataFrame | None = None, reduction: str = "umap", layout_epochs: int = 200,
-                spectral_iters: int = 30, seed: int = 42, new_id: bool = False) -> RunResult:
+                spectral_iters: int = 30, seed: int = 42, resume: bool = False) -> RunResult:
     """reduce -> cluster -> attach periphery -> metrics, each stage stored and reusable.
 
     ``vectors``: (id, embedding). With ``docs`` and ``bridge`` the metric report
     includes the interpretable suite; it always includes the simple metrics.
+    A run id that is already taken gets a fresh suffix unless ``resume`` is set
+    (continue that run); stages are shared by parameter key either way.
     """
     if reduction not in ("umap", "pca"):
         raise ValueError("reduction must be 'umap' or 'pca'")
     cfg = item.config
-    run_id = generate_new_id(spark, root, item.id) if new_id else item.id
+    run_id = item.id if resume else generate_new_id(spark, root, item.id)
     if is_unique_id(spark, root, run_id):
         write_text(spark, f"{root}/runs/{run_id}/config.json", json.dumps({**item.to_dict(), "id": run_id}))
     info: list[StageInfo] = []
