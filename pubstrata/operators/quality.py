@@ -153,14 +153,21 @@ def entity_concentration(
 
     Counts are bridge rows; NULL entities are left out.
     """
-    rows = bridge_topics(clusters, bridge, entity, cols, only_core, auth_order).where(F.col("entity").isNotNull())
+    rows = bridge_topics(clusters, bridge, entity, cols, only_core, auth_order)
+    return concentration_from_rows(rows, min_pubs, detail, entity_alias or entity)
+
+
+def concentration_from_rows(rows: DataFrame, min_pubs: int, detail: bool = False,
+                            entity_alias: str = "entity") -> DataFrame:
+    """Concentration over pre-joined (entity, topic) bridge rows."""
+    rows = rows.where(F.col("entity").isNotNull())
     n_ak = rows.groupBy("entity", "topic").agg(_count().alias("n_ak"))
     acc = (
         n_ak.groupBy("entity")
         .agg(F.sum("n_ak").alias("n_a"), F.max("n_ak").alias("top"))
         .where(F.col("n_a") >= min_pubs)
         .select(
-            F.col("entity").alias(entity_alias or entity),
+            F.col("entity").alias(entity_alias),
             (F.col("top") / F.col("n_a")).alias("metric"),
             F.col("n_a"),
         )
@@ -181,7 +188,11 @@ def aff_cluster_concentration(clusters, bridge, min_aff_pubs=3, cols=DEFAULT_COL
 # --- M4 / M5 --------------------------------------------------------------------------------
 
 def _clusters_per_author(clusters, bridge, min_auth_pubs, cols, only_core) -> DataFrame:
-    rows = bridge_topics(clusters, bridge, cols.auth, cols, only_core).where(F.col("entity").isNotNull())
+    return _per_author_from_rows(bridge_topics(clusters, bridge, cols.auth, cols, only_core), min_auth_pubs)
+
+
+def _per_author_from_rows(rows: DataFrame, min_auth_pubs: int) -> DataFrame:
+    rows = rows.where(F.col("entity").isNotNull())
     return (
         rows.groupBy("entity")
         .agg(F.count_distinct("doc_key").alias("n_docs"), F.count_distinct("topic").alias("n_clusters"))
@@ -192,7 +203,11 @@ def _clusters_per_author(clusters, bridge, min_auth_pubs, cols, only_core) -> Da
 def k_cluster_auth_rate(clusters, bridge, K: int, min_auth_pubs: int = 3, cols=DEFAULT_COLS,
                         only_core=False) -> DataFrame:
     """Share of authors (>= min distinct documents) whose documents fall in <= K topics."""
-    per = _clusters_per_author(clusters, bridge, min_auth_pubs, cols, only_core)
+    return car_from_rows(bridge_topics(clusters, bridge, cols.auth, cols, only_core), K, min_auth_pubs)
+
+
+def car_from_rows(rows: DataFrame, K: int, min_auth_pubs: int) -> DataFrame:
+    per = _per_author_from_rows(rows, min_auth_pubs)
     return per.agg(
         F.avg(F.when(F.col("n_clusters") <= K, 1.0).otherwise(0.0)).alias("metric"),
         _count().alias("n_entities"),
@@ -241,7 +256,11 @@ def author_overlap(clusters, bridge, cols=DEFAULT_COLS, only_core=False, top_k:
     Detail: (topic_i, topic_j, ai, aj, inter, metric) with topic_i < topic_j.
     Ties in the top_k cut are broken by topic id.
     """
-    rows = bridge_topics(clusters, bridge, cols.auth, cols, only_core).where(F.col("entity").isNotNull())
+    return overlap_from_rows(bridge_topics(clusters, bridge, cols.auth, cols, only_core), top_k, detail)
+
+
+def overlap_from_rows(rows: DataFrame, top_k: int = 50, detail: bool = False) -> DataFrame:
+    rows = rows.where(F.col("entity").isNotNull())
     rank_w = Window.orderBy(F.desc("docs"), F.asc("topic"))
     # at most top_k rows: the ordered limit keeps only top_k per task before one merge
     top = (
@@ -304,6 +323,11 @@ def cluster_purity(clusters, docs, field: str = "source", min_cluster_docs: int
         big = dc.groupBy(cols.topic).agg(F.count(cols.doc).alias("n")).where(F.col("n") > min_cluster_docs)
         dc = dc.join(big.select(cols.topic), cols.topic, "left_semi")
     cl = doc_topics(dc, docs, getattr(cols, field, field), cols, False, drop_null_field)
+    return purity_from_rows(cl, detail)
+
+
+def purity_from_rows(cl: DataFrame, detail: bool = False) -> DataFrame:
+    """Purity over (topic, val) document rows (size filter already applied)."""
     n_cs = cl.groupBy("topic", "val").agg(_count().alias("n_cs"))
     per = n_cs.groupBy("topic").agg(
         F.sum("n_cs").alias("n_c"),
@@ -320,7 +344,11 @@ def cluster_purity(clusters, docs, field: str = "source", min_cluster_docs: int
 
 def year_iqr(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_year=True, detail=False) -> DataFrame:
     """mean over topics of q75 - q25 of publication year (interpolated quantiles)."""
-    cy = doc_topics(clusters, docs, cols.year, cols, only_core, drop_null_year, "double")
+    return iqr_from_rows(doc_topics(clusters, docs, cols.year, cols, only_core, drop_null_year, "double"), detail)
+
+
+def iqr_from_rows(cy: DataFrame, detail: bool = False) -> DataFrame:
+    cy = cy.select("topic", F.col("val").cast("double").alias("val"))
     per = cy.groupBy("topic").agg(
         _count().alias("n_c"),
         F.percentile("val", F.lit(0.25)).alias("q25"),
@@ -331,8 +359,11 @@ def year_iqr(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_year=
 
 
 def _year_counts(clusters, docs, cols, only_core, drop_null_year) -> DataFrame:
-    cy = doc_topics(clusters, docs, cols.year, cols, only_core, drop_null_year, "bigint")
-    return cy.groupBy("topic", F.col("val").alias("y")).agg(_count().alias("n_cy"))
+    return year_counts_from_rows(doc_topics(clusters, docs, cols.year, cols, only_core, drop_null_year))
+
+
+def year_counts_from_rows(cy: DataFrame) -> DataFrame:
+    return cy.groupBy("topic", F.col("val").cast("bigint").alias("y")).agg(_count().alias("n_cy"))
 
 
 def entropy_norm(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_year=True, detail=False) -> DataFrame:
@@ -340,7 +371,10 @@ def entropy_norm(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_y
 
     H = ln(n_c) - sum(n ln n)/n_c, one aggregation over the (topic, year) counts.
     """
-    n_cy = _year_counts(clusters, docs, cols, only_core, drop_null_year)
+    return entropy_from_counts(_year_counts(clusters, docs, cols, only_core, drop_null_year), detail)
+
+
+def entropy_from_counts(n_cy: DataFrame, detail: bool = False) -> DataFrame:
     per = n_cy.groupBy("topic").agg(
         F.sum("n_cy").alias("n_c"),
         _count().alias("K_c"),
@@ -359,7 +393,10 @@ def entropy_norm(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_y
 def year_peak_share(clusters, docs, cols=DEFAULT_COLS, only_core=False, drop_null_year=True,
                     detail=False) -> DataFrame:
     """mean over topics of the largest yearly share; detail adds the peak year (ties -> earlier)."""
-    n_cy = _year_counts(clusters, docs, cols, only_core, drop_null_year)
+    return peak_from_counts(_year_counts(clusters, docs, cols, only_core, drop_null_year), detail)
+
+
+def peak_from_counts(n_cy: DataFrame, detail: bool = False) -> DataFrame:
     per = n_cy.groupBy("topic").agg(
         F.sum("n_cy").alias("n_c"),
         F.max("n_cy").alias("peak_count"),
@@ -409,50 +446,109 @@ def interpretable_metrics(clusters, bridge, docs, cols=DEFAULT_COLS) -> DataFram
 
     ``report`` is the text of the original report: 4 decimals (AJ: 8), "-1" when
     a metric has no qualifying rows, "n_eval/n_unique" for the ratio rows.
-    Everything is one Spark query: the branches share the scans and Spark
-    reuses identical shuffles between them.
+
+    Fused plan: one (author, topic) aggregation with first/last-author counts
+    and distinct documents feeds AACC, AACC_first, AACC_last, CAR_1 and CAR_2;
+    one per-author pass over the whole bridge feeds every ratio; one
+    (topic, year, count) table feeds YearIQR (frequency-weighted percentile),
+    AH and YPS. Each branch ends in a single row, so the union is seven small
+    results instead of one pass per metric. Assumes one topic per document id,
+    as a cluster table has.
     """
     cl = drop_noise(clusters, cols)
-
-    def scalar(name: str, df: DataFrame, digits: int = 4) -> DataFrame:
-        v = F.col("metric").cast("double")
-        rep = F.when(v.isNull(), F.lit("-1")).otherwise(F.format_string(f"%.{digits}f", v))
-        return df.select(F.lit(name).alias("metric"), v.alias("value"), rep.alias("report"))
-
-    def ratio(name: str, n_eval: DataFrame, n_all: DataFrame) -> DataFrame:
-        j = n_eval.select(F.col("n_authors").alias("a"), F.lit(1).alias("__one")).join(
-            n_all.select(F.col("n_authors").alias("b"), F.lit(1).alias("__one")), "__one"
-        )
-        return j.select(
-            F.lit(name).alias("metric"),
-            safe_div(F.col("a"), F.col("b")).alias("value"),
-            F.concat_ws("/", F.col("a").cast("string"), F.col("b").cast("string")).alias("report"),
-        )
-
-    def aff_count(n):
-        return count_affiliations_with_pubs(bridge, n, cols).withColumnRenamed("n_affiliations", "n_authors")
-
-    all_auth = count_authors_with_pubs(bridge, 0, None, cols)
-    all_aff = aff_count(0)
+    kt = key_type((clusters, cols.doc), (bridge, cols.bridge_doc))
+    b = bridge.select(
+        F.col(cols.bridge_doc).alias("doc_id"), F.col(cols.bridge_doc).cast(kt).alias("doc_key"),
+        F.col(cols.auth).alias("auth"), F.col(cols.aff).alias("aff"), F.col(cols.seqn).alias("seqn"),
+    )
+    last = b.groupBy("doc_key").agg(F.max("seqn").alias("__mx"))
+    bf = b.join(last, "doc_key", "left").select(
+        "doc_id", "doc_key", "auth", "aff", (F.col("seqn") == 0).alias("f"), (F.col("seqn") == F.col("__mx")).alias("l"),
+    )
+    dcl = cl.select(F.col(cols.doc).cast(kt).alias("doc_key"), F.col(cols.topic).alias("topic"))
+    bc = bf.join(dcl, "doc_key")
+
+    def long(df: DataFrame, items: list[tuple[str, str, int | None]]) -> DataFrame:
+        """One-row frame -> rows (metric, value, report); items: (name, column, digits or None=ratio)."""
+        structs = []
+        for name, col, digits in items:
+            v = F.col(col).cast("double")
+            if digits is None:  # ratio rows: col holds "a/b" parts in col+"_a", col+"_b"
+                a, bb = F.col(col + "_a"), F.col(col + "_b")
+                v = safe_div(a, bb)
+                rep = F.concat_ws("/", a.cast("string"), bb.cast("string"))
+            else:
+                rep = F.when(v.isNull(), F.lit("-1")).otherwise(F.format_string(f"%.{digits}f", v))
+            structs.append(F.struct(F.lit(name).alias("metric"), v.alias("value"), rep.alias("report")))
+        return df.select(F.explode(F.array(*structs)).alias("r")).select("r.metric", "r.value", "r.report")
+
+    # ratios: authors / affiliations with more than n bridge rows (whole bridge, NULL is one entity)
+    ca = bf.groupBy("auth").agg(F.count("doc_id").alias("n"), F.count(F.when(F.col("f"), F.col("doc_id"))).alias("nf"),
+                                F.count(F.when(F.col("l"), F.col("doc_id"))).alias("nl"))
+    cnt = lambda c: F.count(F.when(c, 1))
+    ra = ca.agg(cnt(F.col("n") > 0).alias("all"), cnt(F.col("n") > 2).alias("n2"), cnt(F.col("nf") > 2).alias("f2"),
+                cnt(F.col("nl") > 2).alias("l2"), cnt(F.col("n") > 3).alias("n3"))
+    rf = bf.groupBy("aff").agg(F.count("doc_id").alias("n")).agg(
+        cnt(F.col("n") > 0).alias("all"), cnt(F.col("n") > 2).alias("n2"))
+    ratios = ra.select(
+        *[x for nm, c in (("auth_ratio", "n2"), ("auth_first_ratio", "f2"), ("auth_last_ratio", "l2"),
+                          ("CAR_1_ratio", "n2"), ("CAR_2_ratio", "n3"))
+          for x in (F.col(c).alias(nm + "_a"), F.col("all").alias(nm + "_b"))]
+    ).withColumn("__one", F.lit(1)).join(
+        rf.select(F.col("n2").alias("aff_ratio_a"), F.col("all").alias("aff_ratio_b")).withColumn("__one", F.lit(1)),
+        "__one",
+    )
+    # author concentration (all / first / last) and K-cluster rates from one (author, topic) table
+    at = bc.where(F.col("auth").isNotNull()).groupBy("auth", "topic").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("f"), 1)).alias("nf"),
+        F.count(F.when(F.col("l"), 1)).alias("nl"), F.count_distinct("doc_key").alias("nd"),
+    )
+    pa = at.groupBy("auth").agg(
+        F.sum("n").alias("na"), F.max("n").alias("ta"), F.sum("nf").alias("naf"), F.max("nf").alias("taf"),
+        F.sum("nl").alias("nal"), F.max("nl").alias("tal"), F.sum("nd").alias("nd"), F.count(F.lit(1)).alias("nt"),
+    )
+    share = lambda t, n: F.avg(F.when(F.col(n) >= 2, F.col(t) / F.col(n)))
+    rate = lambda k, m: F.avg(F.when(F.col("nd") >= m, F.when(F.col("nt") <= k, 1.0).otherwise(0.0)))
+    auth = pa.agg(share("ta", "na").alias("AACC"), share("taf", "naf").alias("AACC_first"),
+                  share("tal", "nal").alias("AACC_last"), rate(1, 2).alias("CAR_1"), rate(2, 3).alias("CAR_2"))
+    aff = concentration_from_rows(bc.select("doc_key", F.col("aff").alias("entity"), "topic"), 2)
+    aj = overlap_from_rows(bc.select("doc_key", F.col("auth").alias("entity"), "topic"), 50)
+    # purity over topics with more than 3 documents
+    kd = key_type((clusters, cols.doc), (docs, cols.eid))
+    dd = docs.select(F.col(cols.eid).cast(kd).alias("doc_key"), F.col(cols.source).alias("source"),
+                     F.col(cols.doctype).alias("doctype"), F.col(cols.year).alias("year"))
+    dc = cl.select(F.col(cols.doc).cast(kd).alias("doc_key"), F.col(cols.topic).alias("topic")).join(dd, "doc_key")
+    big = cl.groupBy(F.col(cols.topic).alias("topic")).agg(F.count(cols.doc).alias("n")).where(F.col("n") > 3)
+
+    def purity(field: str) -> DataFrame:
+        d = dc.join(big.select("topic"), "topic", "left_semi").where(F.col(field).isNotNull())
+        return purity_from_rows(d.select("topic", F.col(field).alias("val")))
+
+    # year spread: one (topic, year, count) table
+    yc = dc.where(F.col("year").isNotNull()).groupBy("topic", F.col("year").cast("bigint").alias("y")).agg(
+        F.count(F.lit(1)).alias("c"))
+    py = yc.groupBy("topic").agg(
+        F.sum("c").alias("n_c"), F.count(F.lit(1)).alias("K_c"), F.max("c").alias("pk"),
+        F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("snl"),
+        F.percentile(F.col("y").cast("double"), F.lit(0.25), F.col("c")).alias("q25"),
+        F.percentile(F.col("y").cast("double"), F.lit(0.75), F.col("c")).alias("q75"),
+    )
+    h = F.log(F.col("n_c").cast("double")) - F.col("snl") / F.col("n_c")
+    years = py.agg(
+        F.avg(F.col("q75") - F.col("q25")).alias("YearIQR"),
+        F.avg(F.when(F.col("K_c") <= 1, F.lit(0.0)).otherwise(h / F.log(F.col("K_c").cast("double")))).alias("AH"),
+        F.avg(F.col("pk") / F.col("n_c")).alias("YPS"),
+    )
     parts = [
-        scalar("AACC", auth_cluster_concentration(cl, bridge, 2, cols)),
-        ratio("auth_ratio", count_authors_with_pubs(bridge, 2, None, cols), all_auth),
-        scalar("AACC_first", auth_cluster_concentration(cl, bridge, 2, cols, auth_order="first")),
-        ratio("auth_first_ratio", count_authors_with_pubs(bridge, 2, "first", cols), all_auth),
-        scalar("AACC_last", auth_cluster_concentration(cl, bridge, 2, cols, auth_order="last")),
-        ratio("auth_last_ratio", count_authors_with_pubs(bridge, 2, "last", cols), all_auth),
-        scalar("AAffCC", aff_cluster_concentration(cl, bridge, 2, cols)),
-        ratio("aff_ratio", aff_count(2), all_aff),
-        scalar("CAR_1", k_cluster_auth_rate(cl, bridge, 1, 2, cols)),
-        ratio("CAR_1_ratio", count_authors_with_pubs(bridge, 2, None, cols), all_auth),
-        scalar("CAR_2", k_cluster_auth_rate(cl, bridge, 2, 3, cols)),
-        ratio("CAR_2_ratio", count_authors_with_pubs(bridge, 3, None, cols), all_auth),
-        scalar("AJ", author_overlap(cl, bridge, cols), 8),
-        scalar("CP_source", cluster_purity(cl, docs, "source", 3, cols)),
-        scalar("CP_doctype", cluster_purity(cl, docs, "doctype", 3, cols)),
-        scalar("YearIQR", year_iqr(cl, docs, cols)),
-        scalar("AH", entropy_norm(cl, docs, cols)),
-        scalar("YPS", year_peak_share(cl, docs, cols)),
+        long(auth, [("AACC", "AACC", 4), ("AACC_first", "AACC_first", 4), ("AACC_last", "AACC_last", 4),
+                    ("CAR_1", "CAR_1", 4), ("CAR_2", "CAR_2", 4)]),
+        long(ratios, [(n, n, None) for n in ("auth_ratio", "auth_first_ratio", "auth_last_ratio", "aff_ratio",
+                                              "CAR_1_ratio", "CAR_2_ratio")]),
+        long(aff, [("AAffCC", "metric", 4)]),
+        long(aj, [("AJ", "metric", 8)]),
+        long(purity("source"), [("CP_source", "metric", 4)]),
+        long(purity("doctype"), [("CP_doctype", "metric", 4)]),
+        long(years, [("YearIQR", "YearIQR", 4), ("AH", "AH", 4), ("YPS", "YPS", 4)]),
     ]
     out = parts[0]
     for p in parts[1:]:
