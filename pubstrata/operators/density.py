@@ -42,6 +42,9 @@ from pubstrata.operators.neighbors import core_distances, knn
 from pubstrata.session import cut_lineage
 
 I64 = np.iinfo(np.int64).max
+# small tables (component forests, lineage trees) up to this many rows are resolved in one
+# task; the row count is checked first and larger tables take the distributed path
+SMALL_TABLE_ROWS = 100_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -90,8 +93,33 @@ def _boruvka_fn():
     return run
 
 
-def _pointer_jump(parent: DataFrame) -> DataFrame:
-    """(c, p) forest with self-loops at roots -> (c, root); O(log depth) rounds."""
+def _roots_fn():
+    def run(key, pdf):
+        par = dict(zip(pdf["c"].to_numpy(np.int64).tolist(), pdf["p"].to_numpy(np.int64).tolist()))
+        out = {}
+        for c in par:
+            path = []
+            x = c
+            while x not in out and par.get(x, x) != x:
+                path.append(x)
+                x = par[x]
+            root = out.get(x, x)
+            for y in path:
+                out[y] = root
+            out[c] = root
+        return pd.DataFrame({"c": list(out.keys()), "p": list(out.values())})
+
+    return run
+
+
+def _pointer_jump(parent: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """(c, p) forest with self-loops at roots -> (c, root).
+
+    Up to SMALL_TABLE_ROWS rows (checked) the forest is resolved in one task;
+    larger forests use distributed pointer jumping, O(log depth) rounds.
+    """
+    if n_rows is not None and n_rows <= SMALL_TABLE_ROWS:
+        return _cut(parent.withColumn("__g", F.lit(0)).groupBy("__g").applyInPandas(_roots_fn(), "c long, p long"))
     cur = _cut(parent.withColumn("moved", F.lit(True)))
     while cur.where("moved").limit(1).count() > 0:
         cur = _cut(cur.alias("a").join(cur.alias("b"), F.col("a.p") == F.col("b.c")).select(
@@ -139,7 +167,7 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
             F.when((F.col("y.p") == F.col("x.c")) & (F.col("x.c") < F.col("x.p")), F.col("x.c"))
             .otherwise(F.col("x.p")).alias("p"),
         )
-        roots = _pointer_jump(pp)
+        roots = _pointer_jump(pp, n_comp)
         n_comp = roots.where(F.col("c") == F.col("p")).count()
         comp = _cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp").select("id", F.col("p").alias("comp")))
     if not edges:
@@ -312,6 +340,45 @@ def build_hierarchy(mst: DataFrame, ids: DataFrame, min_cluster_size: int, chunk
 
 # --- selection and labels -----------------------------------------------------------------
 
+def _select_fn(method: str):
+    def run(key, pdf):
+        lin = pdf["lin"].to_numpy(np.int64).tolist()
+        par = [None if pd.isna(x) else int(x) for x in pdf["parent"]]
+        stab = dict(zip(lin, pdf["stability"].astype(float).tolist()))
+        parent = dict(zip(lin, par))
+        kids = {x: [] for x in lin}
+        for x, p in parent.items():
+            if p is not None and p in kids:
+                kids[p].append(x)
+        # children before parents: order by depth, deepest first
+        depth = {}
+        for x in lin:
+            d, y = 0, x
+            while parent.get(y) is not None and parent[y] in kids:
+                d += 1
+                y = parent[y]
+            depth[x] = d
+        local, best = {}, {}
+        for x in sorted(lin, key=lambda v: -depth[v]):
+            root = parent[x] is None
+            if method == "leaf":
+                local[x] = (not kids[x]) and not root
+                continue
+            csum = sum(best[k] for k in kids[x])
+            local[x] = (not root) and (not kids[x] or stab[x] >= csum)
+            best[x] = stab[x] if local[x] else csum
+        sel, selected = {}, {}
+        for x in sorted(lin, key=lambda v: depth[v]):
+            p = parent[x]
+            above = sel.get(p) if p is not None else None
+            selected[x] = local[x] and above is None
+            sel[x] = above if above is not None else (x if selected[x] else None)
+        return pd.DataFrame({"lin": lin, "selected": [selected[x] for x in lin],
+                             "sel": pd.array([sel[x] for x in lin], dtype="Int64")})
+
+    return run
+
+
 def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
     """(lin, selected, sel): selected lineages and, per lineage, its selected ancestor-or-self.
 
@@ -321,6 +388,9 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
     if method not in ("eom", "leaf"):
         raise ValueError("cluster_selection_method must be 'eom' or 'leaf'")
     lin = _cut(lineages.select("lin", "parent", "stability"))
+    if lin.count() <= SMALL_TABLE_ROWS:  # checked bound: the whole tree fits one task
+        return _cut(lin.withColumn("__g", F.lit(0)).groupBy("__g").applyInPandas(
+            _select_fn(method), "lin long, selected boolean, sel long"))
     nchild = lin.where(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("lin")).agg(
         F.count(F.lit(1)).alias("nch")
     )

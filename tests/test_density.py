@@ -188,3 +188,15 @@ def test_blobs_recovered(spark):
     pred = np.array([got[i] for i in range(len(X))])
     core = truth != -1
     assert same_partition(pred[core], truth[core])
+
+
+def test_distributed_paths_equal_small_paths(spark, monkeypatch):
+    """Force the level-wise selection and distributed pointer jumping (bound 0)."""
+    X = _data(4)
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
+    small = {r.id: (r.topic, r.probability) for r in D.hdbscan(df, min_cluster_size=8, min_samples=4).collect()}
+    monkeypatch.setattr(D, "SMALL_TABLE_ROWS", 0)
+    big = {r.id: (r.topic, r.probability) for r in D.hdbscan(df, min_cluster_size=8, min_samples=4).collect()}
+    ids = sorted(small)
+    assert same_partition(np.array([small[i][0] for i in ids]), np.array([big[i][0] for i in ids]))
+    assert all(small[i][1] == big[i][1] for i in ids)
