@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pubstrata.deploy import ship_package
 from pubstrata.functions.stats import finalize
 from pubstrata.operators import quality as Q
 from pubstrata.plans import oracle as O
@@ -23,7 +24,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: finalize(fn(spark, sf_dir))
+        def run(spark, sf_dir, _fn=fn):
+            ship_package(spark)
+            return finalize(_fn(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
