@@ -13,6 +13,21 @@ from pubstrata.columns import require_columns
 from pubstrata.functions.vectors import dim_ok
 
 
+def read_source(spark: SparkSession, source: str, fmt: str = "parquet", columns: list[str] | None = None,
+                **options) -> DataFrame:
+    """Read a table from a path (``fmt`` = parquet/orc/csv/json), a catalog table (``fmt='table'``) or a
+    live database (``fmt='jdbc'``, with url/dbtable/user/... options; partitionColumn/lowerBound/
+    upperBound/numPartitions split the read). Only ``columns`` are selected, so scans are pruned.
+    """
+    if fmt == "table":
+        df = spark.table(source)
+    elif fmt == "jdbc":
+        df = spark.read.format("jdbc").options(dbtable=source, **options).load()
+    else:
+        df = spark.read.format(fmt).options(**options).load(source)
+    return df.select(*columns) if columns else df
+
+
 def scan_texts(table: DataFrame, id_col: str = "eid", title: str = "title", abstract: str = "abstract",
                stop: int | None = None) -> DataFrame:
     """(eid, title, abstract) with the id cast to a 64-bit key; ``stop`` is the optional row cap."""

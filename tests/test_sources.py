@@ -48,3 +48,12 @@ def test_save_table_and_required_columns(spark):
     assert spark.table("test_schema.some_table").count() == 2
     with pytest.raises(ValueError, match="missing required columns"):
         require_columns(df, ["topic", "is_core"], "clusters")
+
+
+def test_read_source_formats(spark):
+    path = shared_dir(spark, "test-src", uuid.uuid4().hex)
+    df = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, x double")
+    df.write.parquet(path)
+    assert S.read_source(spark, path, columns=["id", "x"]).columns == ["id", "x"]
+    df.createOrReplaceTempView("src_view")
+    assert S.read_source(spark, "src_view", fmt="table").count() == 1
