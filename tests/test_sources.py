@@ -33,9 +33,9 @@ def test_embedding_sink_roundtrip_and_dim_check(spark):
     assert back[1][0] == pytest.approx(0.0999755859375)
     import pyarrow.parquet as pq
     import glob
-    f = glob.glob(path.replace("file:", "") + "/*.parquet")[0]
-    md = pq.ParquetFile(f).metadata
-    assert md.row_group(0).column(1).compression == "ZSTD"
+    mds = [pq.ParquetFile(f).metadata for f in glob.glob(path.replace("file:", "") + "/*.parquet")]
+    mds = [m for m in mds if m.num_row_groups > 0]
+    assert mds and all(m.row_group(0).column(1).compression == "ZSTD" for m in mds)
     with pytest.raises(Exception, match="dim != 4"):
         S.load_embeddings(spark, path, dim=4).collect()
 
