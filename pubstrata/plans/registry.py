@@ -245,18 +245,12 @@ def _ztrend_country(spark, d):
 
 def _impact_index(spark, d):
     p = _pubs(spark, d)
-    cl = _cl(p)
-    return T.impact_index(T.impact_score(cl, p.docs), T.top_k_pubs(cl, p.docs, 10), T.cs_mean(cl, p.docs))
+    return T.impact_suite(p.clusters, p.docs)
 
 
 def _impulse_index(spark, d):
     p = _pubs(spark, d)
-    cl = _cl(p)
-    return T.impulse_index(
-        T.ztrend_cs_sum(cl, p.docs),
-        T.ztrend_diversity(cl, p.docs, T.auth_entity_rows(p.bridge)),
-        T.ztrend_diversity(cl, p.docs, T.country_entity_rows(p.bridge, p.affiliations)),
-    )
+    return T.impulse_suite(p.clusters, p.docs, p.bridge, p.affiliations)
 
 
 register("impact_index", O.impact_index_sql())(_impact_index)
