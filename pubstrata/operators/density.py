@@ -486,3 +486,83 @@ def hdbscan(points: DataFrame, min_cluster_size: int = 100, min_samples: int = 2
     if details:
         return labels, mst, h, selection
     return labels
+
+
+# --- soft membership over the selected clusters (C8) ---------------------------------------
+
+def _ancestors(lineages: DataFrame) -> DataFrame:
+    """(lin, anc, depth_anc): every lineage with each of its ancestors (itself included).
+
+    Expanded one tree level per round; the lineage tree has at most
+    2n / min_cluster_size nodes.
+    """
+    par = _cut(lineages.select("lin", "parent"))
+    acc = par.select("lin", F.col("lin").alias("anc"), F.col("parent").alias("up"))
+    out = acc
+    frontier = acc
+    while True:
+        frontier = _cut(frontier.where(F.col("up").isNotNull()).select("lin", F.col("up").alias("anc"))
+                        .join(par.select(F.col("lin").alias("anc"), F.col("parent").alias("up")), "anc"))
+        if frontier.limit(1).count() == 0:
+            break
+        out = out.unionByName(frontier.select("lin", "anc", "up"))
+    out = _cut(out.select("lin", "anc"))
+    depth = out.groupBy(F.col("lin").alias("anc")).agg((F.count(F.lit(1)) - 1).alias("depth"))
+    return _cut(out.join(depth, "anc"))
+
+
+def cluster_numbering(selection: DataFrame, lineages: DataFrame) -> DataFrame:
+    """(sel, topic, lam_max_form): dense labels of the selected lineages (ordered by lineage id)."""
+    sel = selection.where("selected").join(lineages.select("lin", "lam_form"), "lin")
+    return sel.withColumn("topic", (F.row_number().over(Window.orderBy("lin")) - 1).cast("int")).select(
+        F.col("lin").alias("sel"), "topic", F.col("lam_form").alias("lam_max_form")
+    )
+
+
+def membership_vectors(h: Hierarchy, selection: DataFrame, distance_membership: DataFrame) -> DataFrame:
+    """(id, topic, p): soft membership of every point in every selected cluster.
+
+    p = normalise(distance share * tree share) * P(in some cluster), where
+    * distance share: ``distance_membership`` (id, topic, p), e.g. from
+      ``periphery.membership_distance`` (inverse distance to each cluster's
+      nearest exemplar, normalised);
+    * tree share: softmax over clusters of lam_max(c) / (lam_max(c) - m(p, c)),
+      m(p, c) = the largest lambda at which p and c are still one component
+      (p's own lambda inside c; otherwise min(lambda_p, split lambda of the
+      lowest common ancestor)); lam_max(c) = largest lambda of a point in c;
+    * P(in some cluster) = lambda_p / max(lambda_p, lam_max(c*)), c* the
+      cluster with the largest m(p, c).
+    """
+    anc = _ancestors(h.lineages)
+    num = cluster_numbering(selection, h.lineages)
+    lin = h.lineages.select("lin", "lam_form")
+    # lam_max per selected cluster: largest lambda of a point falling from it or a descendant
+    fa = h.falls.join(anc, "lin").join(num.select(F.col("sel").alias("anc")), "anc")
+    lam_max = fa.groupBy(F.col("anc").alias("sel")).agg(F.max("lam").alias("lam_max"))
+    # lowest common ancestor of every lineage with every selected cluster
+    sel_anc = anc.join(num.select(F.col("sel").alias("lin")), "lin").select(
+        F.col("lin").alias("sel"), "anc", F.col("depth").alias("d"))
+    pairs = anc.select("lin", "anc").join(sel_anc, "anc").groupBy("lin", "sel").agg(
+        F.max_by("anc", "d").alias("lca"))
+    pairs = pairs.join(lin.select(F.col("lin").alias("lca"), F.col("lam_form").alias("lca_form")), "lca")
+    pts = h.falls.join(pairs, "lin").join(num, "sel").join(lam_max, "sel")
+    inside = F.col("lca") == F.col("sel")
+    m = F.when(inside, F.col("lam")).otherwise(F.least(F.col("lam"), F.col("lca_form")))
+    pts = pts.select("id", "topic", "lam", "lam_max", m.alias("m"))
+    gap = F.col("lam_max") - F.col("m")
+    score = F.when(gap > 0, F.col("lam_max") / gap).otherwise(F.lit(float("inf")))
+    pts = pts.withColumn("score", score)
+    w = Window.partitionBy("id")  # one row per selected cluster: bounded by the number of clusters
+    best = F.max("score").over(w)
+    # numerically stable softmax; an infinite score takes all the mass
+    ex = F.when(F.col("score") == float("inf"), F.lit(1.0)).when(best == float("inf"), F.lit(0.0)).otherwise(
+        F.exp(F.col("score") - best))
+    pts = pts.withColumn("tree", ex / F.sum(ex).over(w))
+    cstar = F.max_by("lam_max", F.struct(F.col("m"), -F.col("topic"))).over(w)
+    pts = pts.withColumn("p_in", F.col("lam") / F.greatest(F.col("lam"), cstar))
+    j = pts.join(distance_membership.select("id", "topic", F.col("p").alias("dist")), ["id", "topic"])
+    prod = F.col("dist") * F.col("tree")
+    return j.select(
+        "id", "topic",
+        (prod / F.sum(prod).over(w) * F.col("p_in")).alias("p"),
+    )

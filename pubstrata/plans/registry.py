@@ -546,3 +546,10 @@ def _interpret_run(spark, d):
     r = _run(spark, d)
     p = _pubs(spark, d)
     return ST.interpret_run(spark, _scratch(spark, d, "runs"), r.run_id, r.clusters, p.docs, p.bridge, p.affiliations)
+
+
+@register("membership_full")
+def _membership_full(spark, d):
+    labels, mst, h, sel = _hdb(spark, d)
+    dist = P.membership_distance(FX.vectors_view(spark, d), labels, per_topic=5)
+    return DN.membership_vectors(h, sel, dist)

@@ -200,3 +200,21 @@ def test_distributed_paths_equal_small_paths(spark, monkeypatch):
     ids = sorted(small)
     assert same_partition(np.array([small[i][0] for i in ids]), np.array([big[i][0] for i in ids]))
     assert all(small[i][1] == big[i][1] for i in ids)
+
+
+def test_membership_vectors(spark):
+    from pubstrata.operators import periphery as P
+
+    X = _data(1)
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
+    lab, mst, h, sel = D.hdbscan(df, min_cluster_size=8, min_samples=4, details=True)
+    dist = P.membership_distance(df, lab, per_topic=3)
+    mem = D.membership_vectors(h, sel, dist).toPandas()
+    labels = {r.id: r.topic for r in lab.collect()}
+    k = len({t for t in labels.values() if t != -1})
+    assert mem.groupby("id").size().eq(k).all() and len(mem.id.unique()) == len(X)
+    tot = mem.groupby("id").p.sum()
+    assert (tot <= 1 + 1e-9).all() and (tot >= 0).all()
+    best = mem.loc[mem.groupby("id").p.idxmax()].set_index("id").topic
+    core = [i for i, t in labels.items() if t != -1]
+    assert np.mean([best[i] == labels[i] for i in core]) > 0.9
