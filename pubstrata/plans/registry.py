@@ -267,7 +267,6 @@ def _topic_metrics(spark, d):
 
 # ---- text, embeddings, neighbours, periphery (S1-S3, E1-E6, C1, C7a-b, C8-C9) -------------
 
-from pubstrata.functions.vectors import dim_ok  # noqa: E402
 from pubstrata.operators import embed as E  # noqa: E402
 from pubstrata.operators import neighbors as N  # noqa: E402
 from pubstrata.operators import periphery as P  # noqa: E402
