@@ -6,9 +6,9 @@ Steps (Campello, Moulavi, Sander 2013; McInnes, Healy 2017):
 2. minimum spanning tree of the mutual-reachability graph
    mr(a, b) = max(core(a), core(b), d(a, b)) by Boruvka rounds. Each round is
    one blocked pair scan (groups of at most 2 * block_rows points, NumPy
-   inside) that emits only each point's best edge to another component; the
-   best edge per component then hooks components together and pointer
-   jumping relabels them. Ties are broken by (weight, smaller id, larger id),
+   inside) that emits, per block pair, only each component's best edge to
+   another component; one aggregation keeps the best per component, which
+   hooks components together, and pointer jumping relabels them. Ties are broken by (weight, smaller id, larger id),
    which keeps the chosen edges a forest;
 3. the cluster hierarchy from the tree edges in increasing weight. Edges are
    range-partitioned by weight into chunks of bounded size; chunk after chunk,
@@ -69,26 +69,36 @@ def _best_per_row(mr: np.ndarray, ids_r: np.ndarray, ids_c: np.ndarray):
 
 
 def _boruvka_fn():
+    """Block-pair task: each component's best outgoing edge among this block pair's rows."""
+
     def run(key, pdf):
         bi, bj = int(key[0]), int(key[1])
         left = pdf[pdf["side"] == 0]
         right = left if bi == bj else pdf[pdf["side"] == 1]
-        empty = pd.DataFrame({"id": [], "other": [], "mr": []})
+        empty = pd.DataFrame({"comp": [], "mr": [], "lo": [], "hi": [], "ocomp": []})
         if len(left) == 0 or len(right) == 0:
             return empty
         il, ir = left["id"].to_numpy(np.int64), right["id"].to_numpy(np.int64)
+        cl, cr = left["comp"].to_numpy(np.int64), right["comp"].to_numpy(np.int64)
         xl, xr = np.vstack(left["v"].to_numpy()), np.vstack(right["v"].to_numpy())
         sq = (xl * xl).sum(1)[:, None] + (xr * xr).sum(1)[None, :] - 2.0 * (xl @ xr.T)
         d = np.sqrt(np.maximum(sq, 0.0))
         mr = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        mr[left["comp"].to_numpy()[:, None] == right["comp"].to_numpy()[None, :]] = np.inf
+        mr[cl[:, None] == cr[None, :]] = np.inf
+        comp_of = dict(zip(il.tolist(), cl.tolist()))
+        comp_of.update(zip(ir.tolist(), cr.tolist()))
         outs = []
-        ok, m, o = _best_per_row(mr, il, ir)
-        outs.append(pd.DataFrame({"id": il[ok], "other": o[ok], "mr": m[ok]}))
-        if bi != bj:
-            ok, m, o = _best_per_row(mr.T, ir, il)
-            outs.append(pd.DataFrame({"id": ir[ok], "other": o[ok], "mr": m[ok]}))
-        return pd.concat(outs, ignore_index=True)
+        for m_, ids_r, ids_c, comps in ((mr, il, ir, cl),) + (((mr.T, ir, il, cr),) if bi != bj else ()):
+            ok, m, o = _best_per_row(m_, ids_r, ids_c)
+            if ok.any():
+                lo = np.minimum(ids_r[ok], o[ok])
+                hi = np.maximum(ids_r[ok], o[ok])
+                oc = np.array([comp_of[x] for x in o[ok].tolist()], dtype=np.int64)
+                outs.append(pd.DataFrame({"comp": comps[ok], "mr": m[ok], "lo": lo, "hi": hi, "ocomp": oc}))
+        if not outs:
+            return empty
+        rows = pd.concat(outs, ignore_index=True).sort_values(["comp", "mr", "lo", "hi"], kind="stable")
+        return rows.drop_duplicates("comp", keep="first")
 
     return run
 
@@ -147,16 +157,10 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
         right = cur.select("id", "v", "core", "comp", F.explode(F.sequence(F.lit(0), "b")).alias("bi"),
                            F.col("b").alias("bj"), F.lit(1).alias("side")).where(F.col("bi") < F.col("bj"))
         cand = left.unionByName(right).groupBy("bi", "bj").applyInPandas(
-            _boruvka_fn(), "id long, other long, mr double"
+            _boruvka_fn(), "comp long, mr double, lo long, hi long, ocomp long"
         )
-        key = F.struct(F.col("mr"), F.least("id", "other").alias("lo"), F.greatest("id", "other").alias("hi"))
-        best_pt = cand.groupBy("id").agg(F.min(key).alias("e"))
-        oc = comp.select(F.col("id").alias("__o"), F.col("comp").alias("ocomp"))
-        withc = best_pt.join(comp, "id").select(
-            "comp", "e", F.when(F.col("e.lo") == F.col("id"), F.col("e.hi")).otherwise(F.col("e.lo")).alias("__o")
-        ).join(oc, "__o")
-        best_c = _cut(withc.groupBy("comp").agg(F.min(F.struct("e", "ocomp")).alias("x")).select(
-            "comp", F.col("x.e.mr").alias("w"), F.col("x.e.lo").alias("lo"), F.col("x.e.hi").alias("hi"),
+        best_c = _cut(cand.groupBy("comp").agg(F.min(F.struct("mr", "lo", "hi", "ocomp")).alias("x")).select(
+            "comp", F.col("x.mr").alias("w"), F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"),
             F.col("x.ocomp").alias("ocomp"),
         ))
         edges.append(best_c.select("lo", "hi", "w").distinct())
