@@ -13,6 +13,8 @@ weights are available offline. Whole texts are encoded: no token cap.
 from __future__ import annotations
 
 import re
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable
 
 import numpy as np
@@ -76,23 +78,28 @@ class HashingEncoder:
         return (out / norms[:, None]).astype(np.float32)
 
 
-_ENCODERS: dict[int, object] = {}
+_ENCODERS: "OrderedDict[str, object]" = OrderedDict()
+_MAX_ENCODERS = 4
 
 
-def _encoder(factory: Callable[[], object]):
-    key = id(factory)
-    if key not in _ENCODERS:  # one model per Python worker process
-        _ENCODERS[key] = factory()
-    return _ENCODERS[key]
+def _encoder(token: str, factory: Callable[[], object]):
+    """The encoder of one embedding job, built once per Python worker and reused across its tasks."""
+    if token not in _ENCODERS:
+        _ENCODERS[token] = factory()
+        while len(_ENCODERS) > _MAX_ENCODERS:  # keep memory bounded across jobs
+            _ENCODERS.popitem(last=False)
+    _ENCODERS.move_to_end(token)
+    return _ENCODERS[token]
 
 
 def embed_documents(texts: DataFrame, encoder_factory: Callable[[], object] | None = None, dim: int = 1024,
                     id_col: str = "eid", text_col: str = "text") -> DataFrame:
     """(eid, embedding array<float>) via mapInPandas; no shuffle."""
     factory = encoder_factory or (lambda: HashingEncoder(dim))
+    token = uuid.uuid4().hex  # identifies this job's encoder in the worker cache
 
     def run(batches):
-        enc = _encoder(factory)
+        enc = _encoder(token, factory)
         for pdf in batches:
             if pdf.empty:
                 continue
