@@ -4,11 +4,13 @@ Steps (Campello, Moulavi, Sander 2013; McInnes, Healy 2017):
 
 1. core distance of every point from the exact kNN (``neighbors.knn``);
 2. minimum spanning tree of the mutual-reachability graph
-   mr(a, b) = max(core(a), core(b), d(a, b)) by Boruvka rounds. Each round is
-   one blocked pair scan (groups of at most 2 * block_rows points, NumPy
-   inside) that emits, per block pair, only each component's best edge to
-   another component; one aggregation keeps the best per component, which
-   hooks components together, and pointer jumping relabels them. Ties are broken by (weight, smaller id, larger id),
+   mr(a, b) = max(core(a), core(b), d(a, b)) by Boruvka rounds. Each round
+   takes the edges it can certify from the kNN lists, then scans only the
+   points that could still improve their component's best edge (query points
+   x all points in groups of at most 2 * block_rows, NumPy inside), emitting
+   per task only each component's best edge; one aggregation keeps the best
+   per component, which hooks components together, and pointer jumping
+   relabels them. Ties are broken by (weight, smaller id, larger id),
    which keeps the chosen edges a forest;
 3. the cluster hierarchy from the tree edges in increasing weight. Edges are
    range-partitioned by weight into chunks of bounded size; chunk after chunk,
@@ -68,36 +70,30 @@ def _best_per_row(mr: np.ndarray, ids_r: np.ndarray, ids_c: np.ndarray):
     return ok, rowmin, other
 
 
-def _boruvka_fn():
-    """Block-pair task: each component's best outgoing edge among this block pair's rows."""
+def _scan_fn():
+    """(query block, data block) task: each component's best outgoing edge from its query points."""
 
     def run(key, pdf):
-        bi, bj = int(key[0]), int(key[1])
-        left = pdf[pdf["side"] == 0]
-        right = left if bi == bj else pdf[pdf["side"] == 1]
+        q = pdf[pdf["side"] == 0]
+        dd = pdf[pdf["side"] == 1]
         empty = pd.DataFrame({"comp": [], "mr": [], "lo": [], "hi": [], "ocomp": []})
-        if len(left) == 0 or len(right) == 0:
+        if len(q) == 0 or len(dd) == 0:
             return empty
-        il, ir = left["id"].to_numpy(np.int64), right["id"].to_numpy(np.int64)
-        cl, cr = left["comp"].to_numpy(np.int64), right["comp"].to_numpy(np.int64)
-        xl, xr = np.vstack(left["v"].to_numpy()), np.vstack(right["v"].to_numpy())
-        sq = (xl * xl).sum(1)[:, None] + (xr * xr).sum(1)[None, :] - 2.0 * (xl @ xr.T)
+        iq, idd = q["id"].to_numpy(np.int64), dd["id"].to_numpy(np.int64)
+        cq, cd = q["comp"].to_numpy(np.int64), dd["comp"].to_numpy(np.int64)
+        xq, xd = np.vstack(q["v"].to_numpy()), np.vstack(dd["v"].to_numpy())
+        sq = (xq * xq).sum(1)[:, None] + (xd * xd).sum(1)[None, :] - 2.0 * (xq @ xd.T)
         d = np.sqrt(np.maximum(sq, 0.0))
-        mr = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        mr[cl[:, None] == cr[None, :]] = np.inf
-        comp_of = dict(zip(il.tolist(), cl.tolist()))
-        comp_of.update(zip(ir.tolist(), cr.tolist()))
-        outs = []
-        for m_, ids_r, ids_c, comps in ((mr, il, ir, cl),) + (((mr.T, ir, il, cr),) if bi != bj else ()):
-            ok, m, o = _best_per_row(m_, ids_r, ids_c)
-            if ok.any():
-                lo = np.minimum(ids_r[ok], o[ok])
-                hi = np.maximum(ids_r[ok], o[ok])
-                oc = np.array([comp_of[x] for x in o[ok].tolist()], dtype=np.int64)
-                outs.append(pd.DataFrame({"comp": comps[ok], "mr": m[ok], "lo": lo, "hi": hi, "ocomp": oc}))
-        if not outs:
+        mr = np.maximum(d, np.maximum(q["core"].to_numpy()[:, None], dd["core"].to_numpy()[None, :]))
+        mr[cq[:, None] == cd[None, :]] = np.inf
+        ok, m, o = _best_per_row(mr, iq, idd)
+        if not ok.any():
             return empty
-        rows = pd.concat(outs, ignore_index=True).sort_values(["comp", "mr", "lo", "hi"], kind="stable")
+        comp_of = dict(zip(idd.tolist(), cd.tolist()))
+        rows = pd.DataFrame({
+            "comp": cq[ok], "mr": m[ok], "lo": np.minimum(iq[ok], o[ok]), "hi": np.maximum(iq[ok], o[ok]),
+            "ocomp": np.array([comp_of[x] for x in o[ok].tolist()], dtype=np.int64),
+        }).sort_values(["comp", "mr", "lo", "hi"], kind="stable")
         return rows.drop_duplicates("comp", keep="first")
 
     return run
@@ -139,8 +135,21 @@ def _pointer_jump(parent: DataFrame, n_rows: int | None = None) -> DataFrame:
 
 
 def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "embedding",
-                            block_rows: int = 2048, min_blocks: int = 4) -> DataFrame:
-    """(lo, hi, w): the exact minimum spanning tree of the mutual-reachability graph."""
+                            block_rows: int = 2048, min_blocks: int = 4,
+                            knn_edges: DataFrame | None = None, stats: list | None = None) -> DataFrame:
+    """(lo, hi, w): the exact minimum spanning tree of the mutual-reachability graph.
+
+    ``stats`` (optional list) receives (components, scanned points) per round.
+
+    With ``knn_edges`` (each point's k nearest others, k above the core rank)
+    a round first takes every point's best edge among its listed neighbours in
+    other components. Any unlisted partner r has mr >= d(p, r) >= d_k(p), so a
+    listed best strictly below d_k(p) is exact ("certified"), and a point that
+    is not certified can only improve its component's best edge if
+    d_k(p) <= that edge's weight. Only such points enter the quadratic scan
+    (query points x all points in bounded block pairs); without kNN lists all
+    points do.
+    """
     base = points.select(F.col("id").cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).join(
         core.select("id", F.col("core_distance").alias("core")), "id"
     )
@@ -148,18 +157,53 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
     nb = max(1, math.ceil(n / block_rows), min(min_blocks, n))
     base = _cut(base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")))
     comp = _cut(base.select("id", F.col("id").alias("comp")))
+    if knn_edges is not None:
+        kk = knn_edges.agg(F.max("rank")).first()[0]  # list length k (loop-control scalar)
+        lists = _cut(knn_edges.select("id", "neighbor", "distance"))
+        dk = _cut(lists.groupBy("id").agg(
+            F.when(F.count(F.lit(1)) < kk, F.lit(float("inf"))).otherwise(F.max("distance")).alias("dk")))
+    key = F.struct("mr", "lo", "hi", "ocomp")
     edges: list[DataFrame] = []
     n_comp = n
     while n_comp > 1:
         cur = base.join(comp, "id")
-        left = cur.select("id", "v", "core", "comp", F.col("b").alias("bi"),
-                          F.explode(F.sequence("b", F.lit(nb - 1))).alias("bj"), F.lit(0).alias("side"))
-        right = cur.select("id", "v", "core", "comp", F.explode(F.sequence(F.lit(0), "b")).alias("bi"),
-                           F.col("b").alias("bj"), F.lit(1).alias("side")).where(F.col("bi") < F.col("bj"))
-        cand = left.unionByName(right).groupBy("bi", "bj").applyInPandas(
-            _boruvka_fn(), "comp long, mr double, lo long, hi long, ocomp long"
-        )
-        best_c = _cut(cand.groupBy("comp").agg(F.min(F.struct("mr", "lo", "hi", "ocomp")).alias("x")).select(
+        certified = None
+        if knn_edges is not None:
+            cs = base.select("id", "core")
+            ke = lists.join(comp, "id").join(
+                comp.select(F.col("id").alias("neighbor"), F.col("comp").alias("ocomp")), "neighbor"
+            ).where(F.col("comp") != F.col("ocomp")).join(cs, "id").join(
+                cs.select(F.col("id").alias("neighbor"), F.col("core").alias("cn")), "neighbor")
+            ke = ke.select("id", "comp", "ocomp", F.greatest("distance", "core", "cn").alias("mr"),
+                           F.least("id", "neighbor").alias("lo"), F.greatest("id", "neighbor").alias("hi"))
+            per_pt = _cut(ke.groupBy("id", "comp").agg(F.min(key).alias("e")).join(dk, "id"))
+            certified = per_pt.where(F.col("e.mr") < F.col("dk")).groupBy("comp").agg(F.min("e").alias("x"))
+            flags = cur.join(dk, "id").join(per_pt.select("id", (F.col("e.mr") < F.col("dk")).alias("cert")), "id", "left") \
+                .join(certified.select("comp", F.col("x.mr").alias("cmr")), "comp", "left")
+            need = F.coalesce(~F.col("cert"), F.lit(True)) & (F.col("cmr").isNull() | (F.col("dk") <= F.col("cmr")))
+            query = flags.where(need).select("id", "v", "core", "comp")
+        else:
+            query = cur.select("id", "v", "core", "comp")
+        nq = query.count()  # the scan runs only when some point can still improve its component
+        if stats is not None:
+            stats.append((n_comp, nq))
+        parts = []
+        if certified is not None:
+            parts.append(certified.select("comp", F.col("x.mr").alias("mr"), F.col("x.lo").alias("lo"),
+                                          F.col("x.hi").alias("hi"), F.col("x.ocomp").alias("ocomp")))
+        if nq > 0:
+            nbq = max(1, math.ceil(nq / block_rows))
+            qrows = query.select("id", "v", "core", "comp",
+                                 F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(nbq)).cast("int").alias("qb"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("b"), F.lit(0).alias("side"))
+            drows = cur.select("id", "v", "core", "comp", F.explode(F.sequence(F.lit(0), F.lit(nbq - 1))).alias("qb"),
+                               "b", F.lit(1).alias("side"))
+            parts.append(qrows.unionByName(drows).groupBy("qb", "b").applyInPandas(
+                _scan_fn(), "comp long, mr double, lo long, hi long, ocomp long"))
+        cand = parts[0]
+        for x in parts[1:]:
+            cand = cand.unionByName(x)
+        best_c = _cut(cand.groupBy("comp").agg(F.min(key).alias("x")).select(
             "comp", F.col("x.mr").alias("w"), F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"),
             F.col("x.ocomp").alias("ocomp"),
         ))
@@ -479,11 +523,12 @@ def hdbscan(points: DataFrame, min_cluster_size: int = 100, min_samples: int = 2
     if min_samples < 1 or min_cluster_size < 2:
         raise ValueError("min_samples must be >= 1 and min_cluster_size >= 2")
     pts = _cut(points.select(F.col("id").cast("long").alias("id"), F.col(vec_col).alias(vec_col)))
-    kn = knn(pts, max(min_samples - 1, 1), "euclidean", vec_col=vec_col, block_rows=block_rows)
+    # neighbour lists longer than the core rank: they give the core distances and certify MST edges
+    kn = _cut(knn(pts, max(2 * min_samples, 8), "euclidean", vec_col=vec_col, block_rows=block_rows))
     core = core_distances(kn, min_samples, include_self=True)
     if min_samples == 1:
         core = pts.select("id", F.lit(0.0).alias("core_distance"))
-    mst = _cut(mutual_reachability_mst(pts, core, vec_col, block_rows))
+    mst = _cut(mutual_reachability_mst(pts, core, vec_col, block_rows, knn_edges=kn))
     h = build_hierarchy(mst, pts.select("id"), min_cluster_size, chunk_edges)
     selection = select_clusters(h.lineages, method)
     labels = label_points(h, selection, pts.select("id"))
