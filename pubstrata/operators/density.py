@@ -47,6 +47,9 @@ I64 = np.iinfo(np.int64).max
 # small tables (component forests, lineage trees) up to this many rows are resolved in one
 # task; the row count is checked first and larger tables take the distributed path
 SMALL_TABLE_ROWS = 100_000
+# above this many points the quadratic scan dominates and Boruvka certifies edges from kNN lists;
+# below it one scan per round is cheaper than the extra certification joins
+CERTIFY_MIN_POINTS = 20_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -518,17 +521,24 @@ def label_points(h: Hierarchy, selection: DataFrame, ids: DataFrame) -> DataFram
 
 def hdbscan(points: DataFrame, min_cluster_size: int = 100, min_samples: int = 25, method: str = "eom",
             vec_col: str = "embedding", block_rows: int = 2048, chunk_edges: int = 200_000,
-            details: bool = False):
-    """Cluster table (id, topic, is_core, probability); with ``details`` also (mst, hierarchy, selection)."""
+            details: bool = False, certify: bool | None = None):
+    """Cluster table (id, topic, is_core, probability); with ``details`` also (mst, hierarchy, selection).
+
+    ``certify``: take Boruvka edges from kNN lists where they are provably
+    minimal (default: when there are more than CERTIFY_MIN_POINTS points).
+    """
     if min_samples < 1 or min_cluster_size < 2:
         raise ValueError("min_samples must be >= 1 and min_cluster_size >= 2")
     pts = _cut(points.select(F.col("id").cast("long").alias("id"), F.col(vec_col).alias(vec_col)))
-    # neighbour lists longer than the core rank: they give the core distances and certify MST edges
-    kn = _cut(knn(pts, max(2 * min_samples, 8), "euclidean", vec_col=vec_col, block_rows=block_rows))
+    if certify is None:
+        certify = pts.count() > CERTIFY_MIN_POINTS
+    # with certification the lists are longer than the core rank: they also bound unlisted partners
+    k = max(2 * min_samples, 8) if certify else max(min_samples - 1, 1)
+    kn = _cut(knn(pts, k, "euclidean", vec_col=vec_col, block_rows=block_rows))
     core = core_distances(kn, min_samples, include_self=True)
     if min_samples == 1:
         core = pts.select("id", F.lit(0.0).alias("core_distance"))
-    mst = _cut(mutual_reachability_mst(pts, core, vec_col, block_rows, knn_edges=kn))
+    mst = _cut(mutual_reachability_mst(pts, core, vec_col, block_rows, knn_edges=kn if certify else None))
     h = build_hierarchy(mst, pts.select("id"), min_cluster_size, chunk_edges)
     selection = select_clusters(h.lineages, method)
     labels = label_points(h, selection, pts.select("id"))

@@ -156,12 +156,13 @@ def _data(seed, n_blob=40, noise=15, dim=4):
     return X
 
 
-@pytest.mark.parametrize("seed,mcs,ms,method", [(1, 8, 4, "eom"), (2, 12, 6, "eom"), (3, 6, 3, "leaf")])
-def test_hdbscan_equals_sequential(spark, seed, mcs, ms, method):
+@pytest.mark.parametrize("seed,mcs,ms,method,certify", [(1, 8, 4, "eom", True), (2, 12, 6, "eom", False),
+                                                        (3, 6, 3, "leaf", True), (5, 10, 5, "eom", False)])
+def test_hdbscan_equals_sequential(spark, seed, mcs, ms, method, certify):
     X = _data(seed)
     df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
     lab, mst, h, sel = D.hdbscan(df, min_cluster_size=mcs, min_samples=ms, method=method, details=True,
-                                 block_rows=40, chunk_edges=30)
+                                 block_rows=40, chunk_edges=30, certify=certify)
     edges = sorted((r.lo, r.hi, r.w) for r in mst.collect())
     edges.sort(key=lambda e: (e[2], e[0], e[1]))
     assert len(edges) == len(X) - 1
