@@ -495,15 +495,31 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
     return _cut(acc.select("lin", "selected", "sel"))
 
 
+def cluster_numbering(selection: DataFrame, lineages: DataFrame) -> DataFrame:
+    """(sel, topic, lam_max_form): dense labels 0..K-1 of the selected lineages, in lineage-id order.
+
+    Lineage ids are (chunk << 32) | position, so the rank is two-level: counts
+    per chunk (one row per chunk) give offsets, and a row_number runs inside
+    each chunk only - no single task orders all clusters.
+    """
+    sel = selection.where("selected").join(lineages.select("lin", "lam_form"), "lin") \
+        .withColumn("__ch", F.shiftright("lin", 32))
+    counts = sel.groupBy("__ch").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn(
+        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__ch").rowsBetween(Window.unboundedPreceding, -1)),
+                            F.lit(0)))  # one row per chunk
+    w = Window.partitionBy("__ch").orderBy("lin")
+    return sel.join(F.broadcast(offsets.select("__ch", "__off")), "__ch").select(
+        F.col("lin").alias("sel"), (F.col("__off") + F.row_number().over(w) - 1).cast("int").alias("topic"),
+        F.col("lam_form").alias("lam_max_form"),
+    )
+
+
 def label_points(h: Hierarchy, selection: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, topic, is_core, probability): dense labels over the selected lineages, noise -1."""
     from pubstrata.functions.vectors import half_round_scalar
 
-    sel = selection.where("selected").join(h.lineages.select("lin", "lam_form"), "lin")
-    # one row per selected cluster (at most n / min_cluster_size): dense numbering
-    num = sel.withColumn("topic", (F.row_number().over(Window.orderBy("lin")) - 1).cast("int")).select(
-        F.col("lin").alias("sel"), "topic", F.col("lam_form").alias("lam_max")
-    )
+    num = cluster_numbering(selection, h.lineages).withColumnRenamed("lam_max_form", "lam_max")
     per_lin = selection.select("lin", "sel").where(F.col("sel").isNotNull()).join(num, "sel")
     pts = ids.select(F.col("id").cast("long").alias("id")).join(h.falls, "id", "left").join(per_lin, "lin", "left")
     prob = F.when(
@@ -570,14 +586,6 @@ def _ancestors(lineages: DataFrame) -> DataFrame:
     return _cut(out.join(depth, "anc"))
 
 
-def cluster_numbering(selection: DataFrame, lineages: DataFrame) -> DataFrame:
-    """(sel, topic, lam_max_form): dense labels of the selected lineages (ordered by lineage id)."""
-    sel = selection.where("selected").join(lineages.select("lin", "lam_form"), "lin")
-    return sel.withColumn("topic", (F.row_number().over(Window.orderBy("lin")) - 1).cast("int")).select(
-        F.col("lin").alias("sel"), "topic", F.col("lam_form").alias("lam_max_form")
-    )
-
-
 def membership_vectors(h: Hierarchy, selection: DataFrame, distance_membership: DataFrame) -> DataFrame:
     """(id, topic, p): soft membership of every point in every selected cluster.
 
