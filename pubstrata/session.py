@@ -43,13 +43,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set one only when unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for lineage cuts and stage tables.
+
+    Read from the session (``spark.checkpoint.dir``), else the context's
+    checkpoint folder. Only when neither is set (tests, local runs) a folder is
+    created and registered with ``setCheckpointDir``; the session config is
+    never modified (core configs cannot be changed at run time).
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_pubstrata_ckpt", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="pubstrata-ckpt-", dir=os.environ.get("PUBSTRATA_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        existing = sc.getCheckpointDir()
+        d = existing if existing else tempfile.mkdtemp(
+            prefix="pubstrata-ckpt-", dir=os.environ.get("PUBSTRATA_SCRATCH", "/tmp"))
+    sc._pubstrata_ckpt = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
