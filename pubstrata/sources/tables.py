@@ -71,7 +71,10 @@ def save_table(df: DataFrame, name: str, database: str | None = None, path: str
         return "`" + x.replace("`", "``") + "`"
 
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)}")
+        loc = ""
+        if path:  # keep the database folder on the same shared storage as the table
+            loc = " LOCATION '" + path.rstrip("/").rsplit("/", 1)[0].replace("'", "\\'") + "/_databases/" + database + "'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)}{loc}")
         full = f"{q(database)}.{q(name)}"
     else:
         full = q(name)
