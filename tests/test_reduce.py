@@ -58,3 +58,17 @@ def test_spectral_and_layout_separate_groups(vecs, spark):
     # every point is closer to its own group's centre than to the others'
     ok = [min(range(3), key=lambda c: np.linalg.norm(pts[i] - cent[c])) == grp[i] for i in pts]
     assert np.mean(ok) > 0.95
+
+
+def test_reduce_umap_end_to_end(spark):
+    # cosine geometry: groups point in different directions
+    rng = np.random.default_rng(12)
+    X = np.vstack([3.0 * np.eye(8)[c] + rng.normal(0, 0.1, (40, 8)) for c in range(3)])
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
+    out = R.reduce_umap(df, n_neighbors=10, n_components=2, n_epochs=8, spectral_iters=8)
+    pts = {r.id: np.array(r.embedding) for r in out.collect()}
+    assert len(pts) == 120 and all(v.shape == (2,) and np.isfinite(v).all() for v in pts.values())
+    grp = {i: i // 40 for i in pts}
+    cent = {c: np.mean([pts[i] for i in pts if grp[i] == c], 0) for c in range(3)}
+    ok = [min(range(3), key=lambda c: np.linalg.norm(pts[i] - cent[c])) == grp[i] for i in pts]
+    assert np.mean(ok) > 0.9
