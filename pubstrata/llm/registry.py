@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pubstrata.llm import secrets
+from pubstrata.llm import mixing, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_mix": mixing.op2_mix,
 }
 ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
+    "op2_mix": mixing.ORACLE,
 }
