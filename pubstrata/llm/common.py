@@ -41,7 +41,8 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the words of ``text`` (null or blank text: empty array)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    solid = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(solid == "", F.array().cast("array<string>")).otherwise(F.split(solid, WORD_GAP))
 
 
 class Scratch:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pubstrata.llm import mixing, secrets
+from pubstrata.llm import mixing, quality_rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_mix": mixing.op2_mix,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
 }
 ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
