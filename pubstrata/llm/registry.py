@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pubstrata.llm import mixing, quality_rules, secrets
+from pubstrata.llm import mixing, near_dedup, quality_rules, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_mix": mixing.op2_mix,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
 }
 ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
