@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,18 +55,17 @@ class Scratch:
     def __init__(self, spark, tag: str):
         self.spark = spark
         self.root = shared_dir(spark, "llm", f"{tag}-{uuid.uuid4().hex}")
-        self._paths: dict[int, str] = {}
         self._n = 0
 
     def path(self, tag: str) -> str:
         self._n += 1
         return f"{self.root}/{self._n:03d}-{tag}"
 
-    def cut(self, df: DataFrame, tag: str = "t") -> DataFrame:
+    def cut(self, df: DataFrame, tag: str = "t", by: tuple[str, ...] = ()) -> DataFrame:
+        """``by``: columns that split the table into folders, so that a reader of one value skips the rest."""
         path = self.path(tag)
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(back)] = path
         back._scratch_path = path
         return back
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pubstrata.llm import mixing, near_dedup, quality_rules, secrets
+from pubstrata.llm import mixing, near_dedup, packing, quality_rules, secrets, substring_dedup
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_mix": mixing.op2_mix,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op5_pack": packing.op5_pack,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
 }
 ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
