@@ -40,6 +40,7 @@ TEMPLATES = (
      " you may not use this file except in compliance with the license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software <<beginOptional>>and associated"
      " documentation files<<endOptional>> <<var;4>> to deal in <<var;2>> software without restriction"),
+    ("mit-notice", "<<beginOptional>>licensed<<endOptional>> <<beginOptional>>released<<endOptional>> under the mit license"),
     ("isc", "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("gpl-notice", "<<beginOptional>>licensed<<endOptional>> <<beginOptional>>released<<endOptional>> under <<beginOptional>>the terms of<<endOptional>>"

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pubstrata.llm import mixing, near_dedup, packing, quality_rules, secrets, substring_dedup
+from pubstrata.llm import (exact_topk, licenses, mixing, near_dedup, packing, quality_rules, secrets, substring_dedup,
+                           toxicity, warc)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_mix": mixing.op2_mix,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_topk": exact_topk.op4_topk,
     "op5_pack": packing.op5_pack,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_warc": warc.op8_warc,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+    "op10_licenses": licenses.op10_licenses,
 }
 ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
     "op2_mix": mixing.ORACLE,
+    "op4_topk": exact_topk.ORACLE,
 }
