@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pubstrata.llm.common import Scratch, read_table, rows_of, ship_package, small
 
 CATEGORIES = ("low_quality", "toxic")
-SAMPLE, FOLDS, WORDS, RIDGE, THRESHOLD, MIN_DOCS = 8000, 5, 200, 0.3, 0.3, 4
+SAMPLE, FOLDS, WORDS, RIDGE, THRESHOLD, MIN_DOCS = 8000, 5, 200, 0.1, 0.3, 4
 _WORD = re.compile(r"[^\W\d_]+")
 
 
