@@ -105,7 +105,7 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def components(links: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
-    """(node, root): the smallest node reachable over ``links`` (a, b); only nodes that have a link.
+    """(node, root): the smallest node reachable over ``links`` (a, b); a node that is its own root has no row.
 
     Alternating large-star and small-star passes; each pass is one group-by with
     map-side minima and one equi-join, so a hub with very many links is never

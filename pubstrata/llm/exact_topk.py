@@ -157,20 +157,22 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, scale: int = SCA
     shards, blocks = max(1, math.ceil(count[0] / shard)), max(1, math.ceil((count[1] or 0) / block))
     v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id", "mark"), F.lit(shards)).cast("int"))
     asks = v.where(F.col("vec_id") % every == 0).withColumn("block", F.pmod(F.xxhash64("mark", "vec_id"), F.lit(blocks)).cast("int"))
+    asks = scratch.cut(asks, "queries")
     bases = v.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def searched(queries):
         by = ("dim", "shard", "block")
         columns = ("vec_id", "mark", "q", "floor", *by)
         return (queries.select(*columns).groupBy(*by).cogroup(bases.select("vec_id", "mark", "q", *by).groupBy(*by))
-                .applyInPandas(lambda left, right: search_shard(k)(left, right), _FOUND))
+                .applyInPandas(search_shard(k), _FOUND))
 
     home = scratch.cut(searched(asks.withColumn("floor", F.lit(None).cast("long"))), "home")
     floor = home.groupBy("query_id", "mark").agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") == k)
     floor = floor.select(F.col("query_id").alias("vec_id"), "mark", "floor")
     others = asks.join(floor, ["vec_id", "mark"], "left").withColumnRenamed("shard", "own")
     others = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> own")
-    found = home.unionByName(searched(others)) if shards > 1 else home
+    # a table of its own: the cogroup may not see columns of one origin on both sides
+    found = home.unionByName(searched(scratch.cut(others, "others"))) if shards > 1 else home
     rank = F.row_number().over(Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

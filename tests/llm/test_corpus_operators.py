@@ -1,0 +1,419 @@
+"""The corpus operators against brute force on small fixtures with odd rows."""
+
+import base64
+import collections
+import hashlib
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pubstrata.llm import (exact_topk, licenses, mixing, near_dedup, packing, quality_rules, registry, secrets,
+                           substring_dedup, toxicity, warc)
+from pubstrata.llm.common import ASCII_LOWER, WORD, Scratch, components
+from pubstrata.llm.shingles import shingle_set
+
+
+def rows(df):
+    return [r.asDict(recursive=True) for r in df.collect()]
+
+
+def key(r):
+    return tuple((v is None, str(v)) for v in r)
+
+
+# ---- secrets -----------------------------------------------------------------------------------
+
+def brute_spans(text):
+    out = []
+    for rank, r in enumerate(secrets.RULES):
+        for m in re.finditer(r.pattern, text or "", re.ASCII):
+            if len(m[r.group]) >= r.min_chars:
+                out.append((m.start(), rank, m.end()))
+    return sorted(out)
+
+
+def test_secret_spans_equal_full_scan(spark, odd_docs):
+    got = rows(secrets.scan(odd_docs).select("row_.doc_id", "row_.text", "spans"))
+    assert len(got) == odd_docs.count()
+    for r in got:
+        assert [(s["start"], s["rank"], s["end"]) for s in r["spans"]] == brute_spans(r["text"])
+    assert any(r["spans"] for r in got)
+
+
+def test_trigram_queries_never_miss(spark):
+    for r in secrets.RULES:
+        assert bool(secrets.trigram_query(r.pattern)) == (r.kind != "hex")
+    texts = ["api-key", "APIKEY='abcdefgh12'", "Api_Key: \"abcdefgh12\"", "passwd=12345678", "token : secret: abcdefghij",
+             "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a" * 36, "xoxb-1234567890ab", "https://u:p@host", "AKIA" + "Z" * 12, "AKIA" + "Z" * 11]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in rows(secrets.scan(docs).select("row_.text", "spans")):
+        assert [(s["start"], s["rank"], s["end"]) for s in r["spans"]] == brute_spans(r["text"])
+
+
+def test_redaction_removes_secrets_and_keeps_columns(odd_docs):
+    out = secrets.redact(odd_docs)
+    assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+    text = out.where("doc_id = 9").first().text
+    assert "abcd1234" not in text and "[assign]" in text and "[hex]" in text and "All rights reserved." in text
+
+
+# ---- mixing ------------------------------------------------------------------------------------
+
+def fill(sizes, weights):
+    total, cap = sum(sizes), [3 * s for s in sizes]
+    target, stopped = [0.0] * len(sizes), [False] * len(sizes)
+    while True:
+        rest = total - sum(c for c, s in zip(cap, stopped) if s)
+        w = sum(x for x, s in zip(weights, stopped) if not s)
+        over = False
+        for i in range(len(sizes)):
+            target[i] = cap[i] if stopped[i] else rest * weights[i] / w
+            if not stopped[i] and target[i] > cap[i]:
+                over = stopped[i] = True
+        if not over:
+            return target
+
+
+def test_targets_equal_repeated_resharing(spark):
+    for sizes in ([10, 2000, 30, 5, 0, 700, 1], [5], [1, 1000], [0, 0], [3, 3, 3, 3]):
+        df = spark.createDataFrame([(f"s{i:02d}", s) for i, s in enumerate(sizes)], "source string, source_size long")
+        got = [r.target for r in mixing.targets(df).orderBy("source").collect()]
+        want = fill(sizes, [1 + i % 3 for i in range(len(sizes))]) if sum(sizes) else [0.0] * len(sizes)
+        assert got == pytest.approx(want)
+
+
+def test_mix_takes_the_targets(odd_docs):
+    p = rows(mixing.plan(odd_docs))
+    assert len(p) == odd_docs.count()
+    taken, target = collections.Counter(), {}
+    for r in p:
+        assert 0 <= r["taken"] <= 3 * r["size"] and (r["position"] is None) == (r["taken"] == 0)
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= 1
+    assert sorted(map(str, p)) == sorted(map(str, rows(mixing.plan(odd_docs))))
+    mixed = mixing.mix(odd_docs)
+    assert mixed.columns == odd_docs.columns
+    words = collections.Counter()
+    for r in rows(mixed):
+        words[r["source"]] += len(WORD.findall(r["text"] or ""))
+    assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
+
+
+def test_schedule_inversion():
+    for knots in mixing.SCHEDULES + (((0.0, 0.0), (1.0, 1.0)),):
+        segments = mixing.schedule_integral(knots)
+        assert segments[0][0] == 0.0
+        y0, t0, dt, w0, w1 = segments[-1]
+        assert y0 + dt * (w0 + w1) / 2 == pytest.approx(1.0)
+    with pytest.raises(ValueError):
+        mixing.schedule_integral(((0.0, 0.0), (1.0, 0.0)))
+
+
+# ---- quality -----------------------------------------------------------------------------------
+
+def brute_quality(text):
+    words, seen, cover = WORD.findall(text or ""), collections.defaultdict(list), set()
+    for i in range(len(words) - 4):
+        seen[tuple(words[i:i + 5])].append(i)
+    for at in seen.values():
+        if len(at) > 1:
+            for i in at:
+                cover.update(range(i, i + 5))
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), sum(c in quality_rules.SYMBOLS for c in text or ""), len(lines) - len(set(lines)), len(cover))
+
+
+def test_quality_features(spark, odd_docs):
+    more = spark.createDataFrame([(20, "a b c d e\na b c d e\n\n a b c d e"), (21, "x " * 50), (22, "# | a\n#\n#")], "doc_id long, text string")
+    docs = odd_docs.select("doc_id", "text").union(more)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (20, 0)], "doc_id long, quality int")
+    for r in rows(quality_rules.rate(docs, labels)):
+        want = brute_quality(r["row_"]["text"])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+    assert quality_rules.keep_good(odd_docs, labels).columns == odd_docs.columns
+
+
+def test_quality_keeps_good_and_drops_bad_labels(spark, sf):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [(labels[r.doc_id], r.kept) for r in quality_rules.op3_quality_rules(spark, sf).collect() if r.doc_id in labels and not r.base_failed]
+    good = [k for q, k in got if q == 1]
+    assert sum(good) >= 0.97 * len(good)
+
+
+# ---- near duplicates ---------------------------------------------------------------------------
+
+def brute_components(texts):
+    sets = [set(shingle_set((t or "").translate(ASCII_LOWER)).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))], sets
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}w{x}" for x in rng.integers(0, 5000, 200)]
+        for _ in range(25):  # a chain of small changes: ends differ, neighbours are alike
+            k = int(rng.integers(0, 200))
+            base = base[:k] + [f"n{rng.integers(0, 10**6)}"] + base[k + 1:]
+            texts.append(" ".join(base))
+    order = rng.permutation(len(texts))
+    texts = [texts[i] for i in order] + ["a b", "A b", "", None, "a b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want, sets = brute_components(texts)
+    got = {r["doc_id"]: r for r in rows(near_dedup.near_duplicates(docs))}
+    for i, w in enumerate(want):
+        assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(sets[i]), w, w == i)
+
+
+def test_near_duplicates_odd_rows(odd_docs):
+    got = rows(near_dedup.near_duplicates(odd_docs))
+    assert len(got) == odd_docs.count()
+    by = collections.defaultdict(set)
+    for r in got:
+        by[r["doc_id"]].add(r["component_id"])
+    assert by[2] == {1} and by[3] == {1} and by[8] == {7} and by[4] == {4} and by[5] == {5}
+    kept = near_dedup.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 9, 10, 11]
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
+    df = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "t"))
+    assert {r.node: r.root for r in df.collect()} == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
+
+
+def test_block_pairs_find_what_the_star_misses():
+    a = np.arange(8, dtype=np.int64)
+    g = {c: np.array(v) for c, v in dict(table=[0, 0], kind=[0, 0], i=[0, 0], j=[0, 0], n=[10, 10], comp=[1, 2], node=[1, 2], own=[0, 0],
+                                         major=[False, False]).items()}
+    cells = np.empty(2, dtype=object)
+    cells[:] = [a, a]
+    assert near_dedup._block_pair(g | {"a": cells, "b": cells}) == [(1, 2)]
+    assert near_dedup._block_pair(g | {"a": cells, "b": cells, "table": np.array([3, 3])}) == []
+
+
+# ---- packing -----------------------------------------------------------------------------------
+
+def test_packing_round_trip(spark, odd_docs):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_vocabulary())
+    docs = odd_docs.select("doc_id", "text").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).repartition(5)
+    got = rows(packing.pack(docs, merge=2))
+    parts, windows = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        parts[r["doc_id"]].append((r["start"], ids, r["doc_tokens"]))
+        windows[r["sequence_id"]].append((r["offset"], len(ids)))
+    for r in docs.collect():
+        ids = [x for _, part, _ in sorted(parts[r.doc_id]) for x in part]
+        assert ids == tok.encode(r.text or "", add_special_tokens=False).ids + [0]
+        assert {t for _, _, t in parts[r.doc_id]} == {len(ids)}
+    for w in windows.values():
+        at = 0
+        for offset, n in sorted(w):
+            assert offset == at
+            at += n
+        assert at <= packing.LENGTH
+    assert len(windows) <= sum(n for w in windows.values() for _, n in w) / packing.LENGTH + 4
+    d = rows(packing.digest(packing.pack(docs)))
+    assert sum(r["length"] for r in d) == sum(n for w in windows.values() for _, n in w)
+
+
+def test_stretches_do_not_change_ids(monkeypatch):
+    path, text = packing.default_vocabulary(), "It's a  test,\n\n of stretches <|endoftext|> 12 éñ. " * 60
+    whole = packing.token_ids(text, path).tolist()
+    monkeypatch.setattr(packing, "STRETCH", 7)
+    assert packing.token_ids(text, path).tolist() == whole
+
+
+def test_packer_keeps_few_windows_open():
+    p, out = packing.Packer(100, 4, 2), []
+    for i in range(300):
+        out += list(p.add(packing.Piece(i, 0, np.zeros(1 + (37 * i) % 90, "<u4"), 1)))
+        assert len(p.windows) <= 4
+    out += list(p.drain())
+    used = [sum(len(x.ids) for x in w) for w in out]
+    assert max(used) <= 100 and sum(used) == sum(1 + (37 * i) % 90 for i in range(300)) and sum(u < 98 for u in used) <= 1
+
+
+# ---- substring dedup ---------------------------------------------------------------------------
+
+def test_difference_cover():
+    for d in range(substring_dedup.PERIOD):
+        assert any((a + d) % substring_dedup.PERIOD in substring_dedup.COVER for a in substring_dedup.COVER)
+
+
+def test_repeated_passages_equal_brute_force(spark, odd_docs):
+    rng = np.random.default_rng(3)
+    texts = []
+    shared = [" ".join(f"p{x}" for x in rng.integers(0, 999, n)) for n in (34, 35, 36, 60, 200)]
+    for k in range(40):
+        own = [f"d{k}x{i}" for i in range(int(rng.integers(0, 90)))]
+        cut = int(rng.integers(0, len(own) + 1))
+        texts.append(" ".join([*own[:cut], shared[k % 5], *own[cut:]]))
+    docs = spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.union(odd_docs.select("doc_id", "text"))
+    all_words = [WORD.findall(r.text or "") for r in docs.collect()]
+    seen = collections.Counter(tuple(w[i:i + 35]) for w in all_words for i in range(len(w) - 34))
+    want = collections.Counter()
+    for r, w in zip(docs.collect(), all_words):
+        gone = {j for i in range(len(w) - 34) if seen[tuple(w[i:i + 35])] > 1 for j in range(i, i + 35)}
+        want[(r.doc_id, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone))] += 1
+    got = collections.Counter(tuple(r) for r in substring_dedup.dedup_substrings(docs).collect())
+    assert got == want
+
+
+# ---- licenses ----------------------------------------------------------------------------------
+
+def test_license_base_places(odd_docs):
+    for r in licenses.scan_licenses(odd_docs).collect():
+        assert r.n_base == (1 if r.doc_id == 9 else 0)
+        assert (r.first_word is None) == (r.n_base == 0)
+
+
+def test_template_markup():
+    def labels(text):
+        return {x for x, _, _ in licenses.match(licenses.words_of(text))[1]}
+
+    assert labels("Licensed under the Apache License, Version 2.0.") == labels("licensed under the APACHE license 2.0") == {"apache"}
+    assert labels("Licensed under an Apache License 2.0") == set()
+    assert "copyright" in labels("Copyright (c) 2020 Some Body. All rights reserved.")
+    assert "copyright" not in labels("Copyright one two three four five six seven eight all rights reserved")
+    base, _, score = licenses.match(licenses.words_of("cc by cc BY general public license"))
+    assert [(x, s) for x, s, _ in base] == [("cc-by", 0), ("cc-by", 2), ("gpl", 4)] and score == 0.5
+    assert licenses.match([]) == ([], [], 0.0)
+    with pytest.raises(ValueError):
+        licenses.compile_template("<<beginOptional>> a")
+
+
+# ---- WARC --------------------------------------------------------------------------------------
+
+def test_warc_round_trip(spark):
+    pages = [(i, f"http://h{i % 3}.example.com/p{i % 4}", h, 1) for i, h in enumerate(["a", "b\r\n\r\nc", "a", None, "", "é" * 50, "a", "WARC/1.1\r\n"] * 3)]
+    pages += [(None, None, "null id", 1), (None, "odd url\r\nX: y", "a", 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, run int").repartition(3)
+    same = collections.defaultdict(list)
+    for i, _, h, _ in pages:
+        same[h or ""].append(i)
+    want = []
+    for i, _, h, _ in pages:
+        data, first = (h or "").encode(), min((x for x in same[h or ""] if x is not None), default=None)
+        kind = "response" if i == first else "revisit"
+        want.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), kind, None if kind == "response" else first))
+    out = warc.archive(df).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out), key=key) == sorted(want, key=key)
+    order = [(r.url_key, r.timestamp) for r in out]
+    assert order == sorted(order)
+
+
+def test_loser_tree():
+    rng = np.random.default_rng(1)
+    for k in range(0, 9):
+        runs = [sorted((int(x),) for x in rng.integers(0, 50, int(rng.integers(0, 30)))) for _ in range(k)]
+        assert list(warc.LoserTree(runs)) == sorted(x for r in runs for x in r)
+
+
+# ---- top-k -------------------------------------------------------------------------------------
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 6)))]
+    vectors += [(1000 + i, [0.5] * 6) for i in range(300)] + [(2000, None), (2100, [None] * 6), (2200, [float("nan")] * 6), (2300, [float("inf")] * 6),
+                                                               (None, [1.0] * 6), (2400, []), (2500, [1.0, 2.0]), (2600, [1e9] * 6), (1000, [0.5] * 6)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(4)
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    want = sorted(con.execute(exact_topk.ORACLE.replace("AS BIGINT)) AS q", "AS HUGEINT)) AS q")).fetchall())
+    got = sorted(tuple(r) for r in exact_topk.top_k(df, shard=128, block=4).collect())
+    assert got == want
+
+
+# ---- toxicity ----------------------------------------------------------------------------------
+
+def test_toxicity_on_held_out_rows(spark, sf):
+    big = sf.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    held_out = labels.where("doc_id % 4 = 0")
+    train = toxicity.category_labels(labels.where("doc_id % 4 <> 0"))
+    p = {r.doc_id: r for r in toxicity.classify(docs, train).collect()}
+    truth = [(r.toxic, p[r.doc_id].toxic) for r in held_out.collect()]
+    toxic = [g for t, g in truth if t]
+    clean = [g for t, g in truth if not t]
+    assert sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_toxicity_odd_rows(spark, odd_docs):
+    for labels in ([], [(1, 0, 0), (9, 1, 1), (None, 1, 1), (9, 0, 0)], [(1, 0, 0)]):
+        df = spark.createDataFrame(labels, "doc_id long, low_quality int, toxic int")
+        out = toxicity.classify(odd_docs, df).collect()
+        assert len(out) == odd_docs.count()
+        assert all(not r.toxic for r in out if r.doc_id in (4, 5, 6))
+
+
+# ---- empty tables and the registry -------------------------------------------------------------
+
+def test_empty_tables(spark, tmp_path):
+    schemas = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int",
+               "pages": "page_id long, url string, html string", "embeddings": "vec_id long, embedding array<float>, label int"}
+    for name, schema in schemas.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, q in registry.QUERIES.items():
+        assert q(spark, str(tmp_path)).count() == 0, name
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_oracles(spark, sf, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    want = con.execute(registry.ORACLE[name])
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, registry.QUERIES[name](spark, sf).select(*names).collect()), key=key) == sorted(want.fetchall(), key=key)
+
+
+def test_pipeline_stages(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, scratch, seen = docs.columns, Scratch(spark, "test"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = scratch.cut(stage(spark, docs, sf), name)
+        seen[name] = docs
+        assert name == "packing" or docs.columns == columns
+    quality = quality_rules.op3_quality_rules(spark, sf).where("kept").count()
+    assert seen["quality_rules"].count() == quality
+    kept = near_dedup.near_duplicates(seen["quality_rules"]).where("kept").count()
+    assert seen["near_dedup"].count() == kept
+    for r in seen["secret_scan"].collect():
+        assert not brute_spans(re.sub(r"\[\w+\]", " ", r.text))
+    want = collections.Counter((r.doc_id, zlib.crc32((r.text or "").encode())) for r in seen["mixing"].collect())
+    tokens = collections.Counter()
+    for r in seen["mixing"].collect():
+        tokens[r.doc_id] += len(packing.token_ids(r.text, packing.default_vocabulary()))
+    got = collections.Counter()
+    for r in seen["packing"].select("doc_id", F.octet_length("ids").alias("n")).collect():
+        got[r.doc_id] += r.n // 4
+    assert got == tokens and want
