@@ -7,13 +7,14 @@ give the recall of HALVES^2 tables of 2 * ROWS rows each. With 8 and 2 a pair at
 similarity 0.85 misses all tables with probability 7e-5.
 
 Documents with equal sets form one class first. In each table bucket every class is
-paired with the bucket's smallest class only (a star, never all pairs), and the
-links are confirmed on full sets. That joins nearly everything that belongs
+paired with one class of the bucket only, picked by a hash (a star, never all pairs),
+and the links are confirmed on full sets. That joins nearly everything that belongs
 together. Buckets that still hold several components are compared completely, block
 against block inside tasks: members of the bucket's largest component only against
 the others, pairs of one component not at all. A pair leaves a task only if it
-collides first in this table, its sizes allow the similarity and at least
-``AGREE`` of its minhashes are equal; survivors are confirmed on full sets too. So
+collides first in this table, its sizes allow the similarity, and the similarity
+estimated from two sketches of ``BINS`` bins is within ``SIGMAS`` standard deviations of
+the threshold (missed with probability 3e-6); survivors are confirmed on full sets too. So
 no link is lost to a bucket's size, and no bucket is gathered in one task.
 
 Shingles are compared by 64-bit hashes, sets of a class by a 128-bit digest.
@@ -35,13 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubstrata.llm.common import (ASCII_LOWER, Scratch, components, packed, read_table, rows_of, ship_package, small, unpacked)
-from pubstrata.llm.shingles import shingle_set
+from pubstrata.llm.shingles import scramble, shingle_set
 
 HALVES, ROWS = 8, 2
 PERCENT = 85
 BLOCK = 512
-#: of 32 minhashes; a pair at 0.85 has fewer equal ones with probability 3e-7
-AGREE = 16
+#: one-permutation sketch: bins (one byte each), and standard deviations below the threshold that still pass
+BINS, SIGMAS = 256, 4.5
 _K = 2 * HALVES * ROWS
 _MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, size=(_K, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -56,9 +57,27 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Least hash of each bin as one byte, 0 for an empty bin."""
+    out = np.zeros(BINS, dtype=np.uint8)
+    y = np.sort(scramble(shingles * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)))
+    bins = (y >> np.uint64(56)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(y) else bins
+    out[bins[first]] = 1 + ((y[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(255)
+    return out
+
+
+def may_be_similar(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether sketches (rows of ``others``) agree with ``one`` as far as chance allows at the threshold."""
+    used = ((one > 0) | (others > 0)).sum(axis=1)
+    equal = ((one == others) & (one > 0)).sum(axis=1)
+    p = PERCENT / 100
+    return equal >= used * (p - SIGMAS * np.sqrt(p * (1 - p) / np.maximum(used, 1)))
+
+
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        n, key, a, b = [], [], [], []
+        n, key, a, b, sk = [], [], [], [], []
         for text in pdf["text"]:
             s = shingle_set((text or "").translate(ASCII_LOWER))
             n.append(len(s))
@@ -67,7 +86,8 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             half = ((m[:, 0] << np.uint64(32)) | m[:, 1]).view(np.int64)
             a.append(half[:HALVES])
             b.append(half[HALVES:])
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "tk": pdf["tk"], "n": n, "set_key": key, "a": a, "b": b})
+            sk.append(sketch(s).tobytes())
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "tk": pdf["tk"], "n": n, "set_key": key, "a": a, "b": b, "sk": sk})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,13 +109,12 @@ def _block_pair(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
     if len(left) == 0 or len(right) == 0 or (left is right and len(left) == 1):
         return []
     a, b = np.stack(g["a"]).astype(np.int64), np.stack(g["b"]).astype(np.int64)
-    halves = np.concatenate([a, b], axis=1).view(np.uint64)
-    parts = np.concatenate([halves >> np.uint64(32), halves & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+    sk = np.frombuffer(b"".join(g["sk"]), dtype=np.uint8).reshape(len(node), -1)
     out = []
     for x in left:
         y = right[node[right] > node[x]] if left is right else right
         y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
-        y = y[(parts[y] == parts[x]).sum(axis=1) >= AGREE]
+        y = y[may_be_similar(sk[x], sk[y])]
         if len(y):
             # table (ta, tb) is the first where both halves agree
             first = (a[y] == a[x]).argmax(axis=1) * HALVES + (b[y] == b[x]).argmax(axis=1)
@@ -140,12 +159,12 @@ class _Run:
         ship_package(docs.sparkSession)
         self.scratch = Scratch(docs.sparkSession, "near")
         self.docs = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("tk"))
-        signed = self.docs.mapInPandas(_sign, "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>")
+        signed = self.docs.mapInPandas(_sign, "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>, sk binary")
         self.signed = self.scratch.cut(signed, "signed")
         some = self.signed.where("n > 0").groupBy("set_key").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "tk")).alias("rep"), F.min("n").alias("n"),
-            F.min("a").alias("a"), F.min("b").alias("b"))
-        classes = some.select(F.monotonically_increasing_id().alias("node"), "set_key", "rep.doc_id", "rep.tk", "n", "a", "b")
+            F.min("a").alias("a"), F.min("b").alias("b"), F.min("sk").alias("sk"))
+        classes = some.select(F.monotonically_increasing_id().alias("node"), "set_key", "rep.doc_id", "rep.tk", "n", "a", "b", "sk")
         self.classes = self.scratch.cut(classes, "classes")
 
     def bucket_members(self) -> DataFrame:
@@ -153,7 +172,10 @@ class _Run:
         keys = [F.struct(F.lit(i * HALVES + j).alias("table"), F.xxhash64(F.lit(i * HALVES + j), F.get("a", i), F.get("b", j)).alias("key"))
                 for i in range(HALVES) for j in range(HALVES)]
         rows = self.classes.select("node", F.explode(F.array(*keys)).alias("k")).select("node", "k.table", "k.key")
-        shared = rows.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last").drop("last")
+        # the node that is least after XOR with the key: a different member in each table
+        least = F.min(F.col("node").bitwiseXOR(F.col("key")))
+        shared = rows.groupBy("key").agg(least.alias("least"), F.count("*").alias("size")).where(F.col("size") > 1)
+        shared = shared.select("key", F.col("least").bitwiseXOR(F.col("key")).alias("center"))
         return self.scratch.cut(rows.join(shared, "key"), "members")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
@@ -186,7 +208,7 @@ class _Run:
                                               F.ceil(F.col("top.c") / BLOCK).cast("int").alias("mb"))
         m = m.join(stat, "key").withColumn("major", F.col("comp") == F.col("top"))
         own = F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("mb")).otherwise(F.col("sb"))).cast("int")
-        m = m.withColumn("own", own).join(self.classes.select("node", "n", "a", "b"), "node")
+        m = m.withColumn("own", own).join(self.classes.select("node", "n", "a", "b", "sk"), "node")
 
         def upto(c):
             return F.sequence(F.lit(0), F.col(c) - 1)
@@ -198,14 +220,14 @@ class _Run:
                           F.transform(upto("mb"), lambda k: task(1, F.col("own"), k)))
         majors = F.transform(upto("sb"), lambda k: task(1, k, F.col("own")))
         m = m.withColumn("t", F.explode(F.when(F.col("major"), majors).otherwise(others)))
-        m = m.select("key", "table", "t.*", "node", "comp", "own", "major", "n", "a", "b")
+        m = m.select("key", "table", "t.*", "node", "comp", "own", "major", "n", "a", "b", "sk")
         m = m.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j")
         return m.mapInPandas(_survivors, "x long, y long")
 
     def roots(self) -> DataFrame:
         """(node, root) of the classes that are linked."""
         members = self.bucket_members()
-        star = members.where("node <> center").select(F.col("center").alias("x"), F.col("node").alias("y")).distinct()
+        star = members.where("node <> center").select(F.least("center", "node").alias("x"), F.greatest("center", "node").alias("y")).distinct()
         links = self.confirm(self.scratch.cut(star, "star"))
         comp = self.scratch.cut(components(links, self.scratch), "comp")
         rest = self.scratch.cut(self.rest_pairs(members, comp).distinct(), "rest")

@@ -210,6 +210,7 @@ def test_block_pairs_find_what_the_star_misses():
                                          major=[False, False]).items()}
     cells = np.empty(2, dtype=object)
     cells[:] = [a, a]
+    g |= {"sk": np.array([near_dedup.sketch(np.arange(9, dtype=np.uint64)).tobytes()] * 2, dtype=object)}
     assert near_dedup._block_pair(g | {"a": cells, "b": cells}) == [(1, 2)]
     assert near_dedup._block_pair(g | {"a": cells, "b": cells, "table": np.array([3, 3])}) == []
 
