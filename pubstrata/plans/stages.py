@@ -47,10 +47,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path).collect())
-
-
 # --- run catalogue (R5) --------------------------------------------------------------------
 
 def list_runs(spark: SparkSession, root: str) -> DataFrame:

@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_pubstrata_ckpt", None)
     if not d:
         existing = sc.getCheckpointDir()
+        if not existing and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = existing if existing else tempfile.mkdtemp(
             prefix="pubstrata-ckpt-", dir=os.environ.get("PUBSTRATA_SCRATCH", "/tmp"))
     sc._pubstrata_ckpt = d

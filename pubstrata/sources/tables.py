@@ -83,7 +83,3 @@ def save_table(df: DataFrame, name: str, database: str | None = None, path: str
         w = w.option("path", path)
     w.saveAsTable(full)
 
-
-def write_json_rows(df: DataFrame, path: str) -> None:
-    """One JSON object per line (the request / response files of the annotation hand-off)."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
