@@ -101,11 +101,11 @@ def publications(spark: SparkSession, sf_dir: str) -> Publications:
 
 
 def text_docs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publications for the text operators: title = first 80 characters, abstract = whole text."""
+    """Publications for the text operators: title = first line, abstract = whole text."""
     d = _read(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("eid"),
-        F.substring("text", 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("abstract"),
         F.col("source"),
     )
