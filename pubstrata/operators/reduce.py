@@ -52,8 +52,11 @@ def reduce_pca(vectors: DataFrame, k: int = 16, vec_col: str = "embedding", id_c
 
 # --- C2 / C3 -------------------------------------------------------------------------------
 
-def _smooth(dists: np.ndarray, k: int):
-    """Vectorised bisection over rows of a (m, k-1) distance matrix -> (rho, sigma)."""
+def _smooth(dists: np.ndarray, k: int, mean_all: float):
+    """Vectorised bisection over rows of a (m, k-1) distance matrix -> (rho, sigma).
+
+    ``mean_all`` is the mean distance of the whole graph, whatever rows a batch holds.
+    """
     m = dists.shape[0]
     target = math.log2(k)
     pos = np.where(dists > 0, dists, np.inf)
@@ -72,7 +75,7 @@ def _smooth(dists: np.ndarray, k: int):
         nxt = np.where(np.isfinite(hi), (lo + hi) / 2.0, mid * 2.0)
         mid = np.where(done, mid, nxt)
     mean_d = dists.mean(axis=1)
-    floor = MIN_K_DIST_SCALE * np.where(rho > 0, mean_d, dists.mean())
+    floor = MIN_K_DIST_SCALE * np.where(rho > 0, mean_d, mean_all)
     return rho, np.maximum(mid, floor)
 
 
@@ -85,10 +88,12 @@ def fuzzy_weights(knn_df: DataFrame, k: int) -> DataFrame:
     per = knn_df.groupBy("id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "distance"))), lambda s: s["distance"]).alias("d")
     )
+    mean_all = knn_df.agg(F.avg("distance").alias("mean_all")).withColumn("__one", F.lit(1))
+    per = per.withColumn("__one", F.lit(1)).join(F.broadcast(mean_all), "__one")
     schema = StructType([StructField("rho", DoubleType()), StructField("sigma", DoubleType())])
 
     @F.pandas_udf(schema)
-    def smooth(d: pd.Series) -> pd.DataFrame:
+    def smooth(d: pd.Series, mean_all: pd.Series) -> pd.DataFrame:
         lens = d.map(len).to_numpy()
         rho = np.zeros(len(d))
         sigma = np.ones(len(d))
@@ -97,11 +102,11 @@ def fuzzy_weights(knn_df: DataFrame, k: int) -> DataFrame:
             if L == 0:
                 continue
             mat = np.vstack([np.asarray(d.iloc[i], dtype=np.float64) for i in idx])
-            r, s = _smooth(mat, k)
+            r, s = _smooth(mat, k, float(mean_all.iloc[0]))
             rho[idx], sigma[idx] = r, s
         return pd.DataFrame({"rho": rho, "sigma": sigma})
 
-    rs = per.select("id", smooth("d").alias("rs")).select("id", "rs.rho", "rs.sigma")
+    rs = per.select("id", smooth("d", "mean_all").alias("rs")).select("id", "rs.rho", "rs.sigma")
     e = knn_df.join(rs, "id")
     w = F.exp(-F.greatest(F.col("distance") - F.col("rho"), F.lit(0.0)) / F.col("sigma"))
     return e.select("id", "neighbor", "distance", w.alias("w"), "rho", "sigma")
@@ -232,6 +237,7 @@ def layout(graph: DataFrame, init: DataFrame, n_epochs: int = 200, min_dist: flo
     wmax = e.agg(F.max("w").alias("wmax"))
     e = e.withColumn("__one", F.lit(1)).join(F.broadcast(wmax.withColumn("__one", F.lit(1))), "__one")
     e = cut_lineage(e.select("i", "j", (F.col("w") / F.col("wmax")).alias("p")), "layout")
+    ends = e.select("i", "j", "p").union(e.select("j", "i", "p"))
     idx = cut_lineage(hash_rank(init.select("id"), "id", seed).select("id", (F.col("hrank") - 1).alias("ix")), "layout")
     n = idx.count()
     y = init.select("id", "y")
@@ -246,16 +252,17 @@ def layout(graph: DataFrame, init: DataFrame, n_epochs: int = 200, min_dist: flo
         ej = e.join(yi, "i").join(yj, "j")
         diff = F.zip_with("yi", "yj", lambda p, q: p - q)
         d2 = F.aggregate(diff, F.lit(0.0), lambda s, x: s + x * x)
-        att = F.when(d2 > 0, (-2.0 * a * b * F.pow(d2, b - 1.0)) / (a * F.pow(d2, b) + 1.0)).otherwise(0.0)
+        # an edge pulls and samples once in each of its two directions: both pulls are taken here
+        att = F.when(d2 > 0, 2.0 * (-2.0 * a * b * F.pow(d2, b - 1.0)) / (a * F.pow(d2, b) + 1.0)).otherwise(0.0)
         moves = ej.select(
             "i", "j", (att * F.col("p")).alias("c"), diff.alias("diff"), "p",
         )
         pull_i = moves.select(F.col("i").alias("id"), F.transform("diff", lambda x: x * F.col("c")).alias("g"))
         pull_j = moves.select(F.col("j").alias("id"), F.transform("diff", lambda x: -x * F.col("c")).alias("g"))
-        # negative samples: seeded hash of (edge, epoch, sample) -> a point index
-        neg = e.select(
-            "i", "p", F.explode(F.sequence(F.lit(0), F.lit(negative_rate - 1))).alias("s")
-        ).withColumn("ix", F.pmod(F.xxhash64(F.lit(seed), F.lit(ep), "i", "s"), F.lit(n)))
+        # negative samples of both ends of an edge: seeded hash of (end, other end, epoch, sample) -> a point index
+        neg = ends.select(
+            "i", "j", "p", F.explode(F.sequence(F.lit(0), F.lit(negative_rate - 1))).alias("s")
+        ).withColumn("ix", F.pmod(F.xxhash64(F.lit(seed), F.lit(ep), "i", "j", "s"), F.lit(n)))
         neg = neg.join(idx, "ix").join(yi, "i").join(
             y.select(F.col("id").alias("k"), F.col("y").alias("yk")), F.col("id") == F.col("k")
         ).where(F.col("k") != F.col("i"))

@@ -108,7 +108,7 @@ class ConfigItem:
 
 STAGES = ("reduced", "clusters", "periphery")
 # bumped whenever a stage's algorithm changes, so stored tables of older code are not reused
-STAGE_VERSION = 2
+STAGE_VERSION = 3
 
 
 def stage_key(cfg: AppConfig, stage: str, extra: dict | None = None) -> str:

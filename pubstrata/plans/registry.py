@@ -386,16 +386,9 @@ register("annotations")(lambda s, d: A.annotations(_parsed(s, d)[1]))
 
 from pubstrata.operators import density as DN  # noqa: E402
 
-_HDB_CACHE: dict = {}
-
 
 def _hdb(spark, d):
-    """One HDBSCAN run per (session, sf_dir) shared by the density keys of this registry."""
-    key = (id(spark), d)
-    if key not in _HDB_CACHE:
-        _HDB_CACHE[key] = DN.hdbscan(FX.vectors_view(spark, d), min_cluster_size=MIN_CLUSTER_SIZE,
-                                     min_samples=MIN_SAMPLES, details=True)
-    return _HDB_CACHE[key]
+    return DN.hdbscan(FX.vectors_view(spark, d), min_cluster_size=MIN_CLUSTER_SIZE, min_samples=MIN_SAMPLES, details=True)
 
 
 register("mst")(lambda s, d: _hdb(s, d)[1])

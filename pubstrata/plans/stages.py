@@ -1,7 +1,7 @@
 """Runs and stage tables: the cluster job and the interpret job with reuse and resume.
 
 Every stage writes one table under ``<root>/stages/<stage>-<key>``, where the
-key hashes the stage's parameters and those of the stages before it. A stage
+key hashes the input rows, the stage's parameters and those of the stages before it. A stage
 whose table is complete (``_SUCCESS`` marker) is read instead of recomputed,
 so a changed clustering parameter reruns clustering and periphery but reuses
 the reduction, and a failed run resumes from its last finished stage. The
@@ -100,6 +100,14 @@ def _stage(spark: SparkSession, root: str, name: str, key: str, build, info: lis
     return spark.read.parquet(path)
 
 
+def input_identity(df: DataFrame) -> list[str]:
+    """Row count and two order-free sums of row hashes: other rows give another identity."""
+    row = F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    got = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.xxhash64(F.lit(s), row).cast("decimal(38,0)")).alias(f"h{s}")
+                                                 for s in (0, 1)]).first()
+    return [str(v) for v in got]
+
+
 def cluster_run(spark: SparkSession, vectors: DataFrame, item: ConfigItem, root: str, docs: DataFrame | None = None,
                 bridge: DataFrame | None = None, reduction: str = "umap", layout_epochs: int = 200,
                 spectral_iters: int = 30, seed: int = 42, resume: bool = False) -> RunResult:
@@ -117,7 +125,8 @@ def cluster_run(spark: SparkSession, vectors: DataFrame, item: ConfigItem, root:
     if is_unique_id(spark, root, run_id):
         write_text(spark, f"{root}/runs/{run_id}/config.json", json.dumps({**item.to_dict(), "id": run_id}))
     info: list[StageInfo] = []
-    extra = {"reduction": reduction, "epochs": layout_epochs, "spectral_iters": spectral_iters, "seed": seed}
+    extra = {"reduction": reduction, "epochs": layout_epochs, "spectral_iters": spectral_iters, "seed": seed,
+             "input": input_identity(vectors)}
 
     def build_reduced():
         if reduction == "pca":

@@ -41,6 +41,23 @@ def test_fuzzy_weights_and_union(vecs):
         assert w == pytest.approx(a + b - a * b)
 
 
+def test_sigma_floor_does_not_depend_on_partitions(spark):
+    # points 0-9 have only copies for neighbours (rho 0): their floor is the mean distance of the whole graph
+    rows = [(i, (i + r) % 10, r, 0.0) for i in range(10) for r in (1, 2)] + [(i, i + 1, r, float(r)) for i in range(10, 20) for r in (1, 2)]
+    kn = spark.createDataFrame(rows, "id long, neighbor long, rank int, distance double")
+    got = [{r.id: r.sigma for r in R.fuzzy_weights(kn.repartition(p), 3).collect()} for p in (1, 13)]
+    assert got[0] == got[1] and got[0][0] == pytest.approx(R.MIN_K_DIST_SCALE * 0.75)
+
+
+def test_layout_pushes_both_ends(spark):
+    # attraction vanishes at distance 0, so every move of these pairs comes from negative samples
+    g = spark.createDataFrame([(i, i ^ 1, 1.0) for i in range(20)], "i long, j long, w double")
+    init = spark.createDataFrame([(i, [float(i // 2), 0.0]) for i in range(20)], "id long, y array<double>")
+    y = {r.id: r.y for r in R.layout(g, init, n_epochs=1).collect()}
+    assert all(y[i] != [float(i // 2), 0.0] for i in range(20))
+    assert any(y[2 * i] != y[2 * i + 1] for i in range(10))
+
+
 def test_find_ab():
     a, b = R.find_ab(0.1, 1.0)
     assert a == pytest.approx(1.577, abs=0.01) and b == pytest.approx(0.895, abs=0.01)

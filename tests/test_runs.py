@@ -60,6 +60,11 @@ def test_stage_reuse_and_partial_recompute(spark):
     assert ST.generate_new_id(spark, root, "t") != "t"
     assert ST.cluster_run(spark, vec, item, root, reduction="pca", resume=True).run_id == "t"
     assert ST.is_unique_id(spark, root, "other")
+    # other rows under the same root and parameters: nothing is reused
+    r4 = ST.cluster_run(spark, vec.where("id < 120"), item, root, reduction="pca")
+    assert [s.reused for s in r4.stages] == [False, False, False]
+    assert {r.id for r in r4.clusters.collect()} == set(range(120))
+    assert ST.input_identity(vec) == ST.input_identity(vec.repartition(7))
 
 
 def test_stream_equals_batch(spark):
