@@ -300,7 +300,11 @@ def _chunk_fn(min_cluster_size: int):
                     out.append((K_FALL, s, None, lin[big], None, None, None, None, lam, None))
                 lin[keep], acc[keep], lamf[keep] = lin[big], acc[big] + size[small] * lam, lamf[big]
             size[keep] = sa + sb
-            members[keep] = members[keep] + members[gone]
+            long, short = members[keep], members[gone]
+            if len(long) < len(short):
+                long, short = short, long
+            long.extend(short)
+            members[keep] = long
             parent[gone] = keep
             members.pop(gone, None)
         for s in seen:
