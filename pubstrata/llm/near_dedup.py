@@ -15,7 +15,9 @@ the others, pairs of one component not at all. A pair leaves a task only if it
 collides first in this table, its sizes allow the similarity, and the similarity
 estimated from two sketches of ``BINS`` bins is within ``SIGMAS`` standard deviations of
 the threshold (missed with probability 3e-6); survivors are confirmed on full sets too. So
-no link is lost to a bucket's size, and no bucket is gathered in one task.
+no link is lost to a bucket's size, and no bucket is gathered in one task. The bins'
+shingles are a sample without replacement from the union of both sets, whose size is known
+at the threshold, so sets that the bins hold nearly whole are told apart nearly exactly.
 
 Shingles are compared by 64-bit hashes, sets of a class by a 128-bit digest.
 
@@ -42,7 +44,7 @@ HALVES, ROWS = 8, 2
 PERCENT = 85
 BLOCK = 512
 #: one-permutation sketch: bins (one byte each), and standard deviations below the threshold that still pass
-BINS, SIGMAS = 256, 4.5
+BINS, SIGMAS = 1024, 4.5
 _K = 2 * HALVES * ROWS
 _MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, size=(_K, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -61,18 +63,23 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     """Least hash of each bin as one byte, 0 for an empty bin."""
     out = np.zeros(BINS, dtype=np.uint8)
     y = np.sort(scramble(shingles * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)))
-    bins = (y >> np.uint64(56)).astype(np.int64)
+    bins = (y >> np.uint64(65 - BINS.bit_length())).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(y) else bins
     out[bins[first]] = 1 + ((y[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(255)
     return out
 
 
-def may_be_similar(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Whether sketches (rows of ``others``) agree with ``one`` as far as chance allows at the threshold."""
+def may_be_similar(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndarray) -> np.ndarray:
+    """Whether sketches (rows of ``others``) agree with ``one`` as far as chance allows at the threshold.
+
+    ``n_one`` and ``n_others`` are the sizes of the whole sets.
+    """
     used = ((one > 0) | (others > 0)).sum(axis=1)
     equal = ((one == others) & (one > 0)).sum(axis=1)
     p = PERCENT / 100
-    return equal >= used * (p - SIGMAS * np.sqrt(p * (1 - p) / np.maximum(used, 1)))
+    union = (n_one + n_others) / (1 + p)
+    unseen = np.maximum(union - used, 0) / np.maximum(union - 1, 1)
+    return equal >= used * p - SIGMAS * np.sqrt(used * p * (1 - p) * unseen) - 1e-6
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,11 +121,10 @@ def _block_pair(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
     for x in left:
         y = right[node[right] > node[x]] if left is right else right
         y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
-        y = y[may_be_similar(sk[x], sk[y])]
-        if len(y):
-            # table (ta, tb) is the first where both halves agree
-            first = (a[y] == a[x]).argmax(axis=1) * HALVES + (b[y] == b[x]).argmax(axis=1)
-            out += [(node[x], node[z]) for z in y[first == table]]
+        # table (ta, tb) is the first where both halves agree
+        y = y[(a[y] == a[x]).argmax(axis=1) * HALVES + (b[y] == b[x]).argmax(axis=1) == table]
+        y = y[may_be_similar(sk[x], sk[y], n[x], n[y])]
+        out += [(node[x], node[z]) for z in y]
     return out
 
 

@@ -204,6 +204,23 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {r.node: r.root for r in df.collect()} == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
 
 
+def test_sketch_keeps_every_pair_at_the_threshold():
+    gen = np.random.default_rng(3)
+    for size in (7, 40, 150, 900, 4000):
+        for _ in range(40):
+            pool = gen.integers(1, 2**63, size=2 * size, dtype=np.uint64)
+            common = -(-size * 17 // 20)
+            own = size - common
+            one, two = pool[:size], np.r_[pool[:common], pool[size:size + own // 2]]
+            if 100 * common < near_dedup.PERCENT * (len(one) + len(two) - common):
+                continue
+            got = near_dedup.may_be_similar(near_dedup.sketch(one), near_dedup.sketch(two)[None], len(one), np.array([len(two)]))
+            assert got[0]
+    far = gen.integers(1, 2**63, size=(2, 200), dtype=np.uint64)
+    far[1, :170] = far[0, :170]  # similarity 0.74
+    assert not near_dedup.may_be_similar(near_dedup.sketch(far[0]), near_dedup.sketch(far[1])[None], 200, np.array([200]))[0]
+
+
 def test_block_pairs_find_what_the_star_misses():
     a = np.arange(8, dtype=np.int64)
     g = {c: np.array(v) for c, v in dict(table=[0, 0], kind=[0, 0], i=[0, 0], j=[0, 0], n=[10, 10], comp=[1, 2], node=[1, 2], own=[0, 0],
