@@ -44,12 +44,9 @@ from pubstrata.operators.neighbors import core_distances, knn
 from pubstrata.session import cut_lineage
 
 I64 = np.iinfo(np.int64).max
-# small tables (component forests, lineage trees) up to this many rows are resolved in one
+# small tables (lineage trees) up to this many rows are resolved in one
 # task; the row count is checked first and larger tables take the distributed path
 SMALL_TABLE_ROWS = 100_000
-# above this many points the quadratic scan dominates and Boruvka certifies edges from kNN lists;
-# below it one scan per round is cheaper than the extra certification joins
-CERTIFY_MIN_POINTS = 20_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -102,33 +99,8 @@ def _scan_fn():
     return run
 
 
-def _roots_fn():
-    def run(key, pdf):
-        par = dict(zip(pdf["c"].to_numpy(np.int64).tolist(), pdf["p"].to_numpy(np.int64).tolist()))
-        out = {}
-        for c in par:
-            path = []
-            x = c
-            while x not in out and par.get(x, x) != x:
-                path.append(x)
-                x = par[x]
-            root = out.get(x, x)
-            for y in path:
-                out[y] = root
-            out[c] = root
-        return pd.DataFrame({"c": list(out.keys()), "p": list(out.values())})
-
-    return run
-
-
-def _pointer_jump(parent: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """(c, p) forest with self-loops at roots -> (c, root).
-
-    Up to SMALL_TABLE_ROWS rows (checked) the forest is resolved in one task;
-    larger forests use distributed pointer jumping, O(log depth) rounds.
-    """
-    if n_rows is not None and n_rows <= SMALL_TABLE_ROWS:
-        return _cut(parent.withColumn("__g", F.lit(0)).groupBy("__g").applyInPandas(_roots_fn(), "c long, p long"))
+def _pointer_jump(parent: DataFrame) -> DataFrame:
+    """(c, p) forest with self-loops at roots -> (c, root), by pointer jumping in O(log depth) rounds."""
     cur = _cut(parent.withColumn("moved", F.lit(True)))
     while cur.where("moved").limit(1).count() > 0:
         cur = _cut(cur.alias("a").join(cur.alias("b"), F.col("a.p") == F.col("b.c")).select(
@@ -218,7 +190,7 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
             F.when((F.col("y.p") == F.col("x.c")) & (F.col("x.c") < F.col("x.p")), F.col("x.c"))
             .otherwise(F.col("x.p")).alias("p"),
         )
-        roots = _pointer_jump(pp, n_comp)
+        roots = _pointer_jump(pp)
         n_comp = roots.where(F.col("c") == F.col("p")).count()
         comp = _cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp").select("id", F.col("p").alias("comp")))
     if not edges:
@@ -541,17 +513,15 @@ def label_points(h: Hierarchy, selection: DataFrame, ids: DataFrame) -> DataFram
 
 def hdbscan(points: DataFrame, min_cluster_size: int = 100, min_samples: int = 25, method: str = "eom",
             vec_col: str = "embedding", block_rows: int = 2048, chunk_edges: int = 200_000,
-            details: bool = False, certify: bool | None = None):
+            details: bool = False, certify: bool = True):
     """Cluster table (id, topic, is_core, probability); with ``details`` also (mst, hierarchy, selection).
 
     ``certify``: take Boruvka edges from kNN lists where they are provably
-    minimal (default: when there are more than CERTIFY_MIN_POINTS points).
+    minimal; without it every round scans all points.
     """
     if min_samples < 1 or min_cluster_size < 2:
         raise ValueError("min_samples must be >= 1 and min_cluster_size >= 2")
     pts = _cut(points.select(F.col("id").cast("long").alias("id"), F.col(vec_col).alias(vec_col)))
-    if certify is None:
-        certify = pts.count() > CERTIFY_MIN_POINTS
     # with certification the lists are longer than the core rank: they also bound unlisted partners
     k = max(2 * min_samples, 8) if certify else max(min_samples - 1, 1)
     kn = _cut(knn(pts, k, "euclidean", vec_col=vec_col, block_rows=block_rows))

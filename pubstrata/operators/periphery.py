@@ -1,8 +1,8 @@
 """Soft membership and attachment of noise points ("periphery").
 
 * ``membership_distance`` - per point and topic, the share of the inverse
-  distance to the topic's nearest exemplar (exemplars: the ``per_topic``
-  most probable core points of each topic);
+  distance to the topic's nearest exemplar (exemplars: all core points that
+  have the topic's greatest probability);
 * ``calibrate_periphery`` - thresholds tau / delta as the q-quantiles of the
   top membership p1 and of the margin p1 - p2 over a sample of core points;
   both are rounded to binary16 before the quantile, as in the original;
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubstrata.functions.vectors import half_round_scalar
+from pubstrata.session import cut_lineage
 
 HASH_BUCKET_BITS = 12
 
@@ -62,54 +63,63 @@ def top2(membership: DataFrame) -> DataFrame:
     )
 
 
-def exemplars(clusters: DataFrame, vectors: DataFrame, per_topic: int = 5, vec_col: str = "embedding") -> DataFrame:
-    """(topic, v): the per_topic most probable core points of each topic (ties -> smaller id)."""
-    core = clusters.where(F.col("is_core") & (F.col("topic") != -1))
-    w = Window.partitionBy("topic").orderBy(F.desc("probability"), F.asc("id"))
-    # rank filter <= per_topic: Spark pushes a per-partition group limit below the shuffle
-    top = core.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= per_topic).select("id", "topic")
-    return top.join(vectors.select("id", F.col(vec_col).cast("array<double>").alias("v")), "id").select("topic", "v")
+def exemplars(clusters: DataFrame, vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
+    """(id, topic, v): the core points with their topic's greatest probability, every tie included."""
+    core = clusters.where(F.col("is_core") & (F.col("topic") != -1)).select("id", "topic", "probability")
+    best = core.groupBy("topic").agg(F.max("probability").alias("best"))
+    top = core.join(best, "topic").where(F.col("probability").eqNullSafe(F.col("best"))).select("id", "topic")
+    return top.join(vectors.select("id", F.col(vec_col).cast("array<double>").alias("v")), "id").select("id", "topic", "v")
 
 
-def _membership_fn():
+def _nearest_fn():
+    """(point block, exemplar tile) task: distance of each point to the nearest exemplar of each topic in the tile."""
+
     def run(key, pdf):
         pts = pdf[pdf["side"] == 0]
         ex = pdf[pdf["side"] == 1].sort_values("topic", kind="stable")
         if len(pts) == 0 or len(ex) == 0:
-            return pd.DataFrame({"id": [], "topic": [], "p": []})
+            return pd.DataFrame({"id": [], "topic": [], "dmin": []})
         x = np.vstack(pts["v"].to_numpy())
         e = np.vstack(ex["v"].to_numpy())
         sq = (x * x).sum(1)[:, None] + (e * e).sum(1)[None, :] - 2.0 * (x @ e.T)
         d = np.sqrt(np.maximum(sq, 0.0))
-        topics = ex["topic"].to_numpy()
-        uniq, starts = np.unique(topics, return_index=True)
-        dmin = np.minimum.reduceat(d, starts, axis=1)
-        w = 1.0 / np.maximum(dmin, 1e-12)
-        p = w / w.sum(1)[:, None]
+        uniq, starts = np.unique(ex["topic"].to_numpy(), return_index=True)
         ids = pts["id"].to_numpy(np.int64)
         return pd.DataFrame({
             "id": np.repeat(ids, len(uniq)),
             "topic": np.tile(uniq.astype(np.int32), len(ids)),
-            "p": p.reshape(-1),
+            "dmin": np.minimum.reduceat(d, starts, axis=1).reshape(-1),
         })
 
     return run
 
 
-def membership_distance(vectors: DataFrame, clusters: DataFrame, per_topic: int = 5, vec_col: str = "embedding",
-                        block_rows: int = 8192, points: DataFrame | None = None) -> DataFrame:
-    """(id, topic, p) for every point (or the ids of ``points``) over every topic with exemplars."""
-    ex = exemplars(clusters, vectors, per_topic, vec_col)
+def membership_distance(vectors: DataFrame, clusters: DataFrame, vec_col: str = "embedding",
+                        block_rows: int = 4096, points: DataFrame | None = None) -> DataFrame:
+    """(id, topic, p) for every point (or the ids of ``points``) over every topic with exemplars.
+
+    Points and exemplars are dealt into blocks of about ``block_rows``; a task holds one
+    block of each, and the minima of a topic spread over several tiles are merged by an aggregation.
+    """
+    ex = cut_lineage(exemplars(clusters, vectors, vec_col), "exemplars")
     v = vectors.select(F.col("id").cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     if points is not None:
         v = v.join(points.select("id").distinct(), "id", "left_semi")
-    n = v.count()  # loop-control count: sizes the point blocks
-    nb = max(1, math.ceil(n / block_rows))
+    nb = max(1, math.ceil(v.count() / block_rows))  # loop-control counts: size the blocks
+    nt = max(1, math.ceil(ex.count() / block_rows))
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
     p = v.select("id", "v", F.lit(None).cast("int").alias("topic"),
-                 F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int").alias("blk"), F.lit(0).alias("side"))
-    e = ex.select(F.lit(None).cast("long").alias("id"), "v", F.col("topic").cast("int"),
-                  F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("blk"), F.lit(1).alias("side"))
-    return p.unionByName(e).groupBy("blk").applyInPandas(_membership_fn(), "id long, topic int, p double")
+                 F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int").alias("blk"), each(nt).alias("tile"), F.lit(0).alias("side"))
+    e = ex.select(F.lit(None).cast("long").alias("id"), "v", F.col("topic").cast("int"), each(nb).alias("blk"),
+                  F.pmod(F.xxhash64("id"), F.lit(nt)).cast("int").alias("tile"), F.lit(1).alias("side"))
+    near = p.unionByName(e).groupBy("blk", "tile").applyInPandas(_nearest_fn(), "id long, topic int, dmin double")
+    # one shuffle by id serves the merge of the tiles and the sum over topics
+    near = near.repartition("id").groupBy("id", "topic").agg(F.min("dmin").alias("dmin"))
+    w = near.select("id", "topic", (1.0 / F.greatest("dmin", F.lit(1e-12))).alias("w"))
+    return w.select("id", "topic", (F.col("w") / F.sum("w").over(Window.partitionBy("id"))).alias("p"))
 
 
 def core_sample(clusters: DataFrame, core_sample_frac: float = 0.2, core_sample_min: int = 0,
@@ -140,7 +150,7 @@ def calibrate_periphery(membership: DataFrame, clusters: DataFrame, core_sample_
         F.lit(int(core_sample_max)),
         F.col("n_core"),
     )
-    size = F.when(F.col("n_core") > 0, size).otherwise(F.raise_error(F.lit("There is no core sample")))
+    size = F.when(F.col("n_core") > 0, size).otherwise(F.raise_error(F.lit("no core point to calibrate on")))
     bounds = n_core.select(F.col("n_core"), size.cast("long").alias("n_sample")).withColumn("__one", F.lit(1))
     ranked = hash_rank(core, "id", seed).withColumn("__one", F.lit(1))
     sample = ranked.join(F.broadcast(bounds), "__one").where(F.col("hrank") <= F.col("n_sample")).select("id")

@@ -338,10 +338,10 @@ def _mr(spark, d):
 
 
 def _membership(spark, d):
-    return P.membership_distance(FX.vectors_view(spark, d), FX.vector_clusters_view(spark, d), per_topic=5)
+    return P.membership_distance(FX.vectors_view(spark, d), FX.vector_clusters_view(spark, d))
 
 
-register("membership", O.membership_sql(5))(_membership)
+register("membership", O.membership_sql())(_membership)
 
 
 def _calibrate(spark, d):
@@ -457,7 +457,7 @@ def _fresh(spark, d, name):
     return _scratch(spark, d, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-@register("scan_csv")
+@register("scan_csv", O.scan_texts_sql())
 def _scan_csv(spark, d):
     path = _fresh(spark, d, "texts-csv")
     S.scan_texts(FX.text_docs_view(spark, d)).write.option("header", "true").option("escape", '"').csv(path)
@@ -543,5 +543,5 @@ def _interpret_run(spark, d):
 @register("membership_full")
 def _membership_full(spark, d):
     labels, mst, h, sel = _hdb(spark, d)
-    dist = P.membership_distance(FX.vectors_view(spark, d), labels, per_topic=5)
+    dist = P.membership_distance(FX.vectors_view(spark, d), labels)
     return DN.membership_vectors(h, sel, dist)

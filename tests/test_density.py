@@ -209,7 +209,7 @@ def test_membership_vectors(spark):
     X = _data(1)
     df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
     lab, mst, h, sel = D.hdbscan(df, min_cluster_size=8, min_samples=4, details=True)
-    dist = P.membership_distance(df, lab, per_topic=3)
+    dist = P.membership_distance(df, lab)
     mem = D.membership_vectors(h, sel, dist).toPandas()
     labels = {r.id: r.topic for r in lab.collect()}
     k = len({t for t in labels.values() if t != -1})
