@@ -4,7 +4,9 @@ Two small collections of half-bands (``HALVES`` bands of ``ROWS`` minhashes each
 are computed per distinct shingle set. Every pair of a band of the first and a band
 of the second collection keys one of HALVES^2 tables, so 2 * HALVES * ROWS minhashes
 give the recall of HALVES^2 tables of 2 * ROWS rows each. With 8 and 2 a pair at
-similarity 0.85 misses all tables with probability 7e-5.
+similarity 0.85 misses all tables with probability 7e-5. The threshold is an argument:
+``op7`` takes ``PERCENT``, the pipeline's stage ``STAGE_PERCENT``, and ``halves_for`` adds
+half-bands below 0.85 until a pair at the threshold is missed no more often (10 at 0.8: 7e-5).
 
 Documents with equal sets form one class first. In each table bucket every class is
 paired with one class of the bucket only, picked by a hash (a star, never all pairs),
@@ -29,6 +31,7 @@ component has none; extra columns are not read; an empty table gives an empty re
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -42,18 +45,34 @@ from pubstrata.llm.shingles import scramble, shingle_set
 
 HALVES, ROWS = 8, 2
 PERCENT = 85
+#: threshold of the pipeline's stage, which has no contract of its own
+STAGE_PERCENT = 80
+#: greatest probability that a pair at the threshold misses all tables
+MISS = 7.5e-5
 BLOCK = 512
 #: one-permutation sketch: bins (one byte each), and standard deviations below the threshold that still pass
 BINS, SIGMAS = 1024, 4.5
-_K = 2 * HALVES * ROWS
-_MULTIPLIERS = np.random.default_rng(20240607).integers(1, 2**63, size=(_K, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    """_K minhashes of 32 bits."""
-    best = np.full(_K, np.iinfo(np.uint64).max, dtype=np.uint64)
+def halves_for(percent: int) -> int:
+    """Half-bands per collection: HALVES, or more where a pair at the threshold would be missed more often than MISS."""
+    halves = HALVES
+    while 2 * (1 - (percent / 100) ** ROWS) ** halves > MISS:
+        halves += 1
+    return halves
+
+
+@functools.lru_cache
+def _multipliers(count: int) -> np.ndarray:
+    """Odd multipliers; a longer row begins with the shorter one."""
+    return np.random.default_rng(20240607).integers(1, 2**63, size=(count, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def minhashes(shingles: np.ndarray, count: int = 2 * HALVES * ROWS) -> np.ndarray:
+    """``count`` minhashes of 32 bits."""
+    best = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
     for k in range(0, len(shingles), 4096):
-        y = shingles[None, k:k + 4096] * _MULTIPLIERS
+        y = shingles[None, k:k + 4096] * _multipliers(count)
         y ^= y >> np.uint64(32)
         np.minimum(best, (y * np.uint64(0x9E3779B97F4A7C15)).min(axis=1), out=best)
     return (best >> np.uint64(32)).astype(np.uint64)
@@ -69,30 +88,31 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def may_be_similar(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndarray) -> np.ndarray:
+def may_be_similar(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndarray,
+                   percent: int = PERCENT) -> np.ndarray:
     """Whether sketches (rows of ``others``) agree with ``one`` as far as chance allows at the threshold.
 
     ``n_one`` and ``n_others`` are the sizes of the whole sets.
     """
     used = ((one > 0) | (others > 0)).sum(axis=1)
     equal = ((one == others) & (one > 0)).sum(axis=1)
-    p = PERCENT / 100
+    p = percent / 100
     union = (n_one + n_others) / (1 + p)
     unseen = np.maximum(union - used, 0) / np.maximum(union - 1, 1)
     return equal >= used * p - SIGMAS * np.sqrt(used * p * (1 - p) * unseen) - 1e-6
 
 
-def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sign(batches: Iterator[pd.DataFrame], halves: int = HALVES) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         n, key, a, b, sk = [], [], [], [], []
         for text in pdf["text"]:
             s = shingle_set((text or "").translate(ASCII_LOWER))
             n.append(len(s))
             key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            m = minhashes(s).reshape(2 * HALVES, ROWS) if len(s) else np.zeros((2 * HALVES, ROWS), np.uint64)
+            m = minhashes(s, 2 * halves * ROWS).reshape(2 * halves, ROWS) if len(s) else np.zeros((2 * halves, ROWS), np.uint64)
             half = ((m[:, 0] << np.uint64(32)) | m[:, 1]).view(np.int64)
-            a.append(half[:HALVES])
-            b.append(half[HALVES:])
+            a.append(half[:halves])
+            b.append(half[halves:])
             sk.append(sketch(s).tobytes())
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "tk": pdf["tk"], "n": n, "set_key": key, "a": a, "b": b, "sk": sk})
 
@@ -103,7 +123,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": pdf["node"], "sh": sets})
 
 
-def _block_pair(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+def _block_pair(g: dict[str, np.ndarray], percent: int = PERCENT, halves: int = HALVES) -> list[tuple[int, int]]:
     """Pairs of different components in one block pair that may be similar enough and meet first in this table."""
     table, kind, i, j = (int(g[c][0]) for c in ("table", "kind", "i", "j"))
     n, comp, node, own, major = (g[c] for c in ("n", "comp", "node", "own", "major"))
@@ -120,15 +140,15 @@ def _block_pair(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
     out = []
     for x in left:
         y = right[node[right] > node[x]] if left is right else right
-        y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
+        y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
         # table (ta, tb) is the first where both halves agree
-        y = y[(a[y] == a[x]).argmax(axis=1) * HALVES + (b[y] == b[x]).argmax(axis=1) == table]
-        y = y[may_be_similar(sk[x], sk[y], n[x], n[y])]
+        y = y[(a[y] == a[x]).argmax(axis=1) * halves + (b[y] == b[x]).argmax(axis=1) == table]
+        y = y[may_be_similar(sk[x], sk[y], n[x], n[y], percent)]
         out += [(node[x], node[z]) for z in y]
     return out
 
 
-def _survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _survivors(batches: Iterator[pd.DataFrame], percent: int, halves: int) -> Iterator[pd.DataFrame]:
     """Block pairs one after the other from rows sorted by block pair; holds one block pair at a time."""
     names = ["key", "kind", "i", "j"]
     held: pd.DataFrame | None = None
@@ -138,7 +158,7 @@ def _survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, begin = [], 0
         for end in ends:
             if end - begin > 1:
-                out += _block_pair({c: v[begin:end] for c, v in cols.items()})
+                out += _block_pair({c: v[begin:end] for c, v in cols.items()}, percent, halves)
             begin = end
         return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
@@ -159,13 +179,14 @@ def _survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Run:
-    """State of one run over ``docs`` (doc_id, text)."""
+    """State of one run over ``docs`` (doc_id, text): texts are near copies from a similarity of ``percent`` / 100."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, percent: int):
         ship_package(docs.sparkSession)
+        self.percent, self.halves = percent, halves_for(percent)
         self.scratch = Scratch(docs.sparkSession, "near")
         self.docs = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("tk"))
-        signed = self.docs.mapInPandas(_sign, "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>, sk binary")
+        signed = self.docs.mapInPandas(functools.partial(_sign, halves=self.halves), "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>, sk binary")
         self.signed = self.scratch.cut(signed, "signed")
         some = self.signed.where("n > 0").groupBy("set_key").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "tk")).alias("rep"), F.min("n").alias("n"),
@@ -175,8 +196,8 @@ class _Run:
 
     def bucket_members(self) -> DataFrame:
         """(key, table, node, center) of buckets with two classes or more."""
-        keys = [F.struct(F.lit(i * HALVES + j).alias("table"), F.xxhash64(F.lit(i * HALVES + j), F.get("a", i), F.get("b", j)).alias("key"))
-                for i in range(HALVES) for j in range(HALVES)]
+        keys = [F.struct(F.lit(i * self.halves + j).alias("table"), F.xxhash64(F.lit(i * self.halves + j), F.get("a", i), F.get("b", j)).alias("key"))
+                for i in range(self.halves) for j in range(self.halves)]
         rows = self.classes.select("node", F.explode(F.array(*keys)).alias("k")).select("node", "k.table", "k.key")
         # the node that is least after XOR with the key: a different member in each table
         least = F.min(F.col("node").bitwiseXOR(F.col("key")))
@@ -196,7 +217,7 @@ class _Run:
         both = pairs.join(sets.select(F.col("node").alias("y"), F.col("sh").alias("sy")), "y")
         both = both.join(sets.select(F.col("node").alias("x"), F.col("sh").alias("sx")), "x")
         both = both.withColumn("common", F.size(F.array_intersect("sx", "sy")))
-        ok = 100 * F.col("common") >= PERCENT * (F.size("sx") + F.size("sy") - F.col("common"))
+        ok = 100 * F.col("common") >= self.percent * (F.size("sx") + F.size("sy") - F.col("common"))
         out = self.scratch.cut(both.where(ok).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
         self.scratch.free(sets, where)
         return out
@@ -228,7 +249,7 @@ class _Run:
         m = m.withColumn("t", F.explode(F.when(F.col("major"), majors).otherwise(others)))
         m = m.select("key", "table", "t.*", "node", "comp", "own", "major", "n", "a", "b", "sk")
         m = m.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j")
-        return m.mapInPandas(_survivors, "x long, y long")
+        return m.mapInPandas(functools.partial(_survivors, percent=self.percent, halves=self.halves), "x long, y long")
 
     def roots(self) -> DataFrame:
         """(node, root) of the classes that are linked."""
@@ -251,9 +272,9 @@ class _Run:
         return self.scratch.cut(out, "labels")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
-    run = _Run(rows_of(docs, "doc_id", "text"))
+    run = _Run(rows_of(docs, "doc_id", "text"), percent)
     labels = run.labelled().select(F.col("set_key").alias("k"), "component_id")
     d = run.signed.select("doc_id", "n", "set_key").join(small(labels, 48), F.col("set_key") == F.col("k"), "left")
     comp = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -261,12 +282,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest id (then text key) stays.
 
     Wordless texts are in no component and stay. Rows repeated as a whole count as one.
     """
-    run = _Run(rows_of(docs, "doc_id", "text"))
+    run = _Run(rows_of(docs, "doc_id", "text"), percent)
     reps = run.labelled().select(F.col("component_id").alias("r_id"), F.col("best_tk").alias("r_tk")).distinct()
     reps = run.scratch.cut(reps, "reps")
     again = run.signed.where("n > 0").groupBy("doc_id", "tk").count().where("count > 1")

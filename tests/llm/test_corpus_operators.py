@@ -185,6 +185,46 @@ def test_near_duplicates_equal_brute_force(spark):
         assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(sets[i]), w, w == i)
 
 
+def test_stage_equals_brute_force_at_four_fifths(spark):
+    import corpus_pipeline
+
+    texts = []
+    for k in (8, 9, 10, 11, 12, 13):  # pairs of similarity (100 - k) / (100 + k): 0.85 to 0.77, nothing closer in between
+        for g in range(20):
+            base = [f"k{k}g{g}w{x}" for x in range(104)]
+            texts += [" ".join(base), " ".join(base[:-k] + [f"new{x}" for x in base[-k:]])]
+    sets = [set(shingle_set(t).tolist()) for t in texts]
+    alike = [100 * len(a & b) >= 80 * len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert 0 < sum(alike) < len(alike)
+    want = sorted([2 * i for i in range(len(alike))] + [2 * i + 1 for i, x in enumerate(alike) if not x])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()) == want
+    at_85 = near_dedup.near_duplicates(docs).where("kept").count()
+    assert at_85 == len(texts) - sum(100 * len(a & b) >= 85 * len(a | b) for a, b in zip(sets[::2], sets[1::2])) > len(want)
+
+
+def test_stage_equals_brute_force_on_documents(spark, sf):
+    import corpus_pipeline
+
+    docs = Scratch(spark, "test").cut(corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf), "good")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(texts) == docs.count()
+    sets = {i: set(shingle_set((t or "").translate(ASCII_LOWER)).tolist()) for i, t in sorted(texts.items())}
+    links = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    root = {i: i for i in sets}
+    while any(root[i] != root[j] for i, j in links):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    got = corpus_pipeline.near_dedup_stage(spark, docs, sf)
+    assert sorted(r.doc_id for r in got.collect()) == [i for i in root if root[i] == i]
+
+
+def test_half_bands_miss_no_more_below_85():
+    assert near_dedup.halves_for(85) == near_dedup.HALVES and near_dedup.halves_for(80) == 10
+    one = np.random.default_rng(1).integers(1, 2**63, size=50, dtype=np.uint64)
+    assert near_dedup.minhashes(one, 40)[:32].tolist() == near_dedup.minhashes(one).tolist()
+
+
 def test_near_duplicates_odd_rows(odd_docs):
     got = rows(near_dedup.near_duplicates(odd_docs))
     assert len(got) == odd_docs.count()
