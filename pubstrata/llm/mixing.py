@@ -85,9 +85,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
          .withColumn("done", F.coalesce(F.sum("cap").over(before), F.lit(0)))
          .withColumn("left_w", F.sum("w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
          .withColumn("level", (F.col("total") - F.col("done")).cast("double") / F.col("left_w").cast("double")))
-    # the first source in this order that does not stop sets the level
+    t = t.withColumn("no", F.row_number().over(order))
+    # the first source in this order that does not stop sets the level (of equal cap / w too: a later one has lost the others' caps)
     open_ = F.col("w") * F.col("level") <= F.col("cap")
-    t = t.withColumn("lam", F.min_by(F.when(open_, F.col("level")), F.when(open_, F.col("cap") / F.col("w"))).over(every))
+    t = t.withColumn("lam", F.min_by(F.when(open_, F.col("level")), F.when(open_, F.col("no"))).over(every))
     level = F.col("w").cast("double") * F.col("lam")
     return t.select("source", "source_size", "klass",
                     F.when(F.col("lam").isNull() | (level > F.col("cap")), F.col("cap").cast("double")).otherwise(level).alias("target"))

@@ -86,6 +86,13 @@ def test_targets_equal_repeated_resharing(spark):
         assert got == pytest.approx(want)
 
 
+def test_targets_of_sources_that_would_stop_together(spark):
+    for sizes in ([10, 20], [10, 2000, 3000], [8] * 6, [10, 20, 30], [4, 8, 12, 4, 8, 12]):
+        df = spark.createDataFrame([(f"s{i:02d}", s) for i, s in enumerate(sizes)], "source string, source_size long")
+        got = [r.target for r in mixing.targets(df).orderBy("source").collect()]
+        assert got == pytest.approx(fill(sizes, [1 + i % 3 for i in range(len(sizes))])) and sum(got) == pytest.approx(sum(sizes))
+
+
 def test_mix_takes_the_targets(odd_docs):
     p = rows(mixing.plan(odd_docs))
     assert len(p) == odd_docs.count()
