@@ -407,8 +407,6 @@ def _hdbscan(spark, d):
 from pubstrata.operators import reduce as RD  # noqa: E402
 
 UMAP_K = 15
-SPECTRAL_ITERS = 10
-LAYOUT_EPOCHS = 10
 
 
 def _graph(spark, d):
@@ -420,20 +418,19 @@ register("reduce_pca")(lambda s, d: RD.reduce_pca(FX.vectors_view(s, d), 16))
 register("fuzzy_weights")(lambda s, d: RD.fuzzy_weights(N.knn(FX.vectors_view(s, d), UMAP_K - 1, "cosine"), UMAP_K))
 register("fuzzy_union")(_graph)
 register("spectral_embed")(
-    lambda s, d: RD.spectral_init(_graph(s, d), FX.vectors_view(s, d).select("id"), 16, SPECTRAL_ITERS)
+    lambda s, d: RD.spectral_init(_graph(s, d), FX.vectors_view(s, d).select("id"), 16)
 )
 
 
 @register("layout")
 def _layout(spark, d):
     g = _graph(spark, d)
-    init = RD.spectral_init(g, FX.vectors_view(spark, d).select("id"), 16, SPECTRAL_ITERS)
-    return RD.layout(g, init, n_epochs=LAYOUT_EPOCHS)
+    init = RD.spectral_init(g, FX.vectors_view(spark, d).select("id"), 16)
+    return RD.layout(g, init)
 
 
 register("reduce_umap")(
-    lambda s, d: RD.reduce_umap(FX.vectors_view(s, d), n_neighbors=UMAP_K, n_components=16,
-                                n_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS)
+    lambda s, d: RD.reduce_umap(FX.vectors_view(s, d), n_neighbors=UMAP_K, n_components=16)
 )
 
 
@@ -512,8 +509,7 @@ RUN_CONFIG = {
 def _run(spark, d):
     p = _pubs(spark, d)
     return ST.cluster_run(spark, FX.vectors_view(spark, d), ConfigItem.from_dict(RUN_CONFIG), _scratch(spark, d, "runs"),
-                          docs=p.docs, bridge=p.bridge, layout_epochs=LAYOUT_EPOCHS, spectral_iters=SPECTRAL_ITERS,
-                          resume=True)
+                          docs=p.docs, bridge=p.bridge, resume=True)
 
 
 register("cluster_run")(lambda s, d: _run(s, d).clusters)

@@ -1,12 +1,15 @@
 """Dimension reduction: PCA shape, fuzzy weights (sum = log2 k), fuzzy union, spectral basis, layout."""
 
+import inspect
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
 from pubstrata.operators import neighbors as N
 from pubstrata.operators import reduce as R
+from pubstrata.plans import registry as Q
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +92,32 @@ def test_reduce_umap_end_to_end(spark):
     cent = {c: np.mean([pts[i] for i in pts if grp[i] == c], 0) for c in range(3)}
     ok = [min(range(3), key=lambda c: np.linalg.norm(pts[i] - cent[c])) == grp[i] for i in pts]
     assert np.mean(ok) > 0.9
+
+
+def test_registered_queries_run_the_operators_own_rounds(spark, monkeypatch):
+    """spectral_embed, layout, reduce_umap and the stored run take the 30 iterations and 200 epochs of the operators."""
+    seen = {}
+
+    def note(owner, name):
+        signature = inspect.signature(getattr(owner, name))
+
+        def called(*args, **kw):
+            bound = signature.bind(*args, **kw)
+            bound.apply_defaults()
+            seen.setdefault(name, []).append(bound.arguments)
+            return spark.range(1)
+
+        monkeypatch.setattr(owner, name, called)
+
+    for owner, name in ((R, "spectral_init"), (R, "layout"), (R, "reduce_umap"), (Q.ST, "cluster_run")):
+        note(owner, name)
+    monkeypatch.setattr(Q, "_graph", lambda s, d: None)
+    monkeypatch.setattr(Q, "_pubs", lambda s, d: SimpleNamespace(docs=None, bridge=None))
+    monkeypatch.setattr(Q.FX, "vectors_view", lambda s, d: spark.range(1))
+    for name in ("spectral_embed", "layout", "reduce_umap"):
+        Q.QUERIES[name](spark, "")
+    Q._run(spark, "")
+    assert [a["iters"] for a in seen["spectral_init"]] == [30, 30]
+    assert [a["n_epochs"] for a in seen["layout"]] == [200]
+    assert [(a["spectral_iters"], a["n_epochs"]) for a in seen["reduce_umap"]] == [(30, 200)]
+    assert [(a["spectral_iters"], a["layout_epochs"]) for a in seen["cluster_run"]] == [(30, 200)]
