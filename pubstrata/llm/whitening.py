@@ -332,9 +332,9 @@ def op12_whitening(spark, sf_dir: str) -> DataFrame:
     white, model = whiten(read_table(spark, sf_dir, "embeddings"))
     fitted = model.groupBy(F.col("dim").alias("m_dim")).agg(
         F.first("n").alias("n"), F.transform(F.sort_array(F.collect_list(F.struct("component", "explained"))), lambda s: s["explained"]).alias("e"))
-    error = F.broadcast(identity_error(white).withColumn("one_", F.lit(1)))
-    # a row per dimension and a single row: both are bounded by the number of dimensions
-    out = white.join(F.broadcast(fitted), F.col("dim") == F.col("m_dim")).withColumn("one_", F.lit(1)).join(error, "one_")
-    out = out.select("vec_id", "n", "deviation", "identity_error", "e", F.posexplode("white").alias("i", "whitened"))
+    error = F.lit(identity_error(white).first()[0]).cast("double").alias("identity_error")
+    # a row per dimension
+    out = white.join(F.broadcast(fitted), F.col("dim") == F.col("m_dim"))
+    out = out.select("vec_id", "n", "deviation", error, "e", F.posexplode("white").alias("i", "whitened"))
     return out.select("vec_id", (F.col("i") + 1).cast("int").alias("component"), "n", "deviation", "whitened",
                       F.element_at("e", F.col("i") + 1).alias("explained"), "identity_error")
