@@ -8,16 +8,8 @@
     vectorised over a batch of points in a pandas UDF (k values per point);
   - ``fuzzy_union``: w = a + b - a * b over (i, j) and (j, i), a full outer
     join of the edge table with itself on swapped keys;
-  - ``spectral_init``: subspace iteration on (I + D^-1/2 W D^-1/2) / 2; the
-    sparse product is a join of edges with the current vectors and an MLlib
-    ``Summarizer`` weighted sum per node; the (dim+1) x (dim+1) Gram and
-    Rayleigh-Ritz matrices are the only things brought to the driver;
-  - ``layout``: epoch-batched gradient steps of the UMAP objective: attractive
-    forces along edges (weighted by w / max w), repulsive forces against
-    negative samples chosen by a seeded hash of (edge, epoch, sample); the
-    per-node sum of moves is clipped like the original's per-move clip.
-    Positions are cut to the shared checkpoint folder after every epoch (each
-    epoch reads them three times, so an uncut chain would recompute).
+  - ``spectral_init`` (``spectral.py``): Chebyshev-filtered subspace iteration;
+  - ``layout`` (``layout.py``): gradient epochs on vertex partitions with ghosts.
 """
 
 from __future__ import annotations
@@ -30,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from pubstrata.deploy import ship_package
+from pubstrata.operators.layout import find_ab, layout
 from pubstrata.operators.neighbors import knn
-from pubstrata.operators.periphery import hash_rank
+from pubstrata.operators.spectral import spectral_init
 from pubstrata.session import cut_lineage
 
 # Smoothing constants of the fuzzy simplicial set construction.
@@ -39,6 +33,8 @@ SMOOTH_K_TOLERANCE = 1e-5
 MIN_K_DIST_SCALE = 1e-3
 BISECTION_STEPS = 64
 
+__all__ = ["find_ab", "fuzzy_union", "fuzzy_weights", "layout", "reduce_pca", "reduce_umap", "spectral_init"]
+
 
 def reduce_pca(vectors: DataFrame, k: int = 16, vec_col: str = "embedding", id_col: str = "id") -> DataFrame:
     """(id, embedding array<double>[k]) projected on the top-k principal components."""
@@ -85,6 +81,7 @@ def fuzzy_weights(knn_df: DataFrame, k: int) -> DataFrame:
     ``knn_df`` holds the k-1 nearest other points of every point (the point
     itself is the k-th member of its neighbourhood, distance 0).
     """
+    ship_package(knn_df.sparkSession)
     per = knn_df.groupBy("id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "distance"))), lambda s: s["distance"]).alias("d")
     )
@@ -121,170 +118,7 @@ def fuzzy_union(weights: DataFrame) -> DataFrame:
     return u.select("i", "j", (wa + wb - wa * wb).alias("w"))
 
 
-# --- C4 ------------------------------------------------------------------------------------
-
-def _gram(df: DataFrame, a: str, b: str) -> np.ndarray:
-    """sum over rows of outer(a, b) for two array columns; one bounded partial matrix per task."""
-
-    def run(batches):
-        acc = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["a"].to_numpy())
-            y = np.vstack(pdf["b"].to_numpy())
-            g = x.T @ y
-            acc = g if acc is None else acc + g
-        if acc is not None:
-            yield pd.DataFrame({"r": np.arange(acc.shape[0]), "row": list(acc)})
-
-    parts = df.select(F.col(a).alias("a"), F.col(b).alias("b")).mapInPandas(run, "r int, row array<double>")
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    rows = parts.groupBy("r").agg(vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row")).collect()
-    rows = sorted(rows, key=lambda r: r.r)
-    return np.array([r.row for r in rows])
-
-
-def _spmm(graph: DataFrame, y: DataFrame) -> DataFrame:
-    """(id, z) with z_i = sum_j m_ij y_j for the normalised edge weights m (a join + weighted sum)."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    j = graph.join(y.select(F.col("id").alias("j"), F.col("y").alias("yj")), "j")
-    return j.groupBy(F.col("i").alias("id")).agg(
-        vector_to_array(Summarizer.sum(array_to_vector("yj"), F.col("m"))).alias("z")
-    )
-
-
-def _apply(y: DataFrame, col: str, mat: np.ndarray, out: str = "y") -> DataFrame:
-    """Row-wise y @ mat for a small constant matrix (Arrow-batched NumPy product)."""
-    m = np.asarray(mat, dtype=np.float64)
-
-    @F.pandas_udf("array<double>")
-    def mul(v: pd.Series) -> pd.Series:
-        if len(v) == 0:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.vstack(v.to_numpy()) @ m))
-
-    return y.withColumn(out, mul(F.col(col)))
-
-
-def spectral_init(graph: DataFrame, ids: DataFrame, dim: int = 16, iters: int = 30, seed: int = 42) -> DataFrame:
-    """(id, y array<double>[dim]): leading non-trivial eigenvectors of the normalised graph."""
-    deg = graph.groupBy(F.col("i").alias("id")).agg(F.sum("w").alias("deg"))
-    g = graph.join(deg.select(F.col("id").alias("i"), F.col("deg").alias("di")), "i").join(
-        deg.select(F.col("id").alias("j"), F.col("deg").alias("dj")), "j"
-    )
-    # (I + D^-1/2 W D^-1/2) / 2: shift the spectrum to [0, 1]; the identity part is added per node
-    g = cut_lineage(g.select("i", "j", (0.5 * F.col("w") / F.sqrt(F.col("di") * F.col("dj"))).alias("m")), "spectral")
-    k = dim + 1
-    base = ids.select(F.col("id").cast("long").alias("id")).join(deg, "id", "left").fillna(0.0, ["deg"])
-    rnd = [F.sqrt(F.col("deg")).alias("c0")] + [
-        ((F.xxhash64(F.lit(seed), F.lit(c), F.col("id")) % 100_000).cast("double") / 100_000.0).alias(f"c{c}")
-        for c in range(1, k)
-    ]
-    y = cut_lineage(base.select("id", F.array(*rnd).alias("y")), "spectral")
-    for it in range(iters):
-        z = _spmm(g, y)
-        y = cut_lineage(y.join(z, "id", "left").select(
-            "id", F.zip_with("y", F.coalesce("z", F.array_repeat(F.lit(0.0), k)), lambda p, q: 0.5 * p + q).alias("y")
-        ), "spectral")
-        gram = _gram(y, "y", "y")
-        r = np.linalg.cholesky(gram + 1e-12 * np.eye(k)).T
-        y = cut_lineage(_apply(y, "y", np.linalg.inv(r)).select("id", "y"), "spectral")
-    z = _spmm(g, y)
-    yz = y.join(z, "id", "left").select(
-        "id", "y", F.zip_with("y", F.coalesce("z", F.array_repeat(F.lit(0.0), k)), lambda p, q: 0.5 * p + q).alias("z")
-    )
-    h = _gram(yz, "y", "z")
-    vals, vecs = np.linalg.eigh((h + h.T) / 2.0)
-    order = np.argsort(-vals)[1:k]  # drop the trivial top eigenvector
-    out = _apply(y, "y", vecs[:, order], "e").select("id", "e")
-    # scale like the original initialisation: largest coordinate 10
-    mx = out.select(F.explode("e").alias("x")).agg(F.max(F.abs("x")).alias("mx"))
-    out = out.withColumn("__one", F.lit(1)).join(F.broadcast(mx.withColumn("__one", F.lit(1))), "__one")
-    return out.select("id", F.transform("e", lambda x: x * 10.0 / F.greatest(F.col("mx"), F.lit(1e-12))).alias("y"))
-
-
-# --- C5 ------------------------------------------------------------------------------------
-
-def find_ab(min_dist: float = 0.1, spread: float = 1.0):
-    """Fit 1 / (1 + a x^(2b)) to the target membership curve (Gauss-Newton least squares)."""
-    x = np.linspace(0, spread * 3, 300)[1:]
-    t = np.where(x < min_dist, 1.0, np.exp(-(x - min_dist) / spread))
-    a, b = 1.0, 1.0
-    for _ in range(200):
-        xb = x ** (2 * b)
-        f = 1.0 / (1.0 + a * xb)
-        r = f - t
-        da = -xb * f * f
-        db = -a * xb * 2 * np.log(x) * f * f
-        J = np.stack([da, db], 1)
-        step = np.linalg.lstsq(J, -r, rcond=None)[0]
-        a, b = a + step[0], b + step[1]
-        if np.abs(step).max() < 1e-12:
-            break
-    return float(a), float(b)
-
-
-def layout(graph: DataFrame, init: DataFrame, n_epochs: int = 200, min_dist: float = 0.1, negative_rate: int = 5,
-           learning_rate: float = 1.0, seed: int = 42, cut_every: int = 1) -> DataFrame:
-    """(id, y): positions after ``n_epochs`` batched gradient epochs of the UMAP cross-entropy."""
-    a, b = find_ab(min_dist)
-    e = graph.where(F.col("i") < F.col("j"))
-    wmax = e.agg(F.max("w").alias("wmax"))
-    e = e.withColumn("__one", F.lit(1)).join(F.broadcast(wmax.withColumn("__one", F.lit(1))), "__one")
-    e = cut_lineage(e.select("i", "j", (F.col("w") / F.col("wmax")).alias("p")), "layout")
-    ends = e.select("i", "j", "p").union(e.select("j", "i", "p"))
-    idx = cut_lineage(hash_rank(init.select("id"), "id", seed).select("id", (F.col("hrank") - 1).alias("ix")), "layout")
-    n = idx.count()
-    y = init.select("id", "y")
-
-    def clip(c):
-        return F.least(F.greatest(c, F.lit(-4.0)), F.lit(4.0))
-
-    for ep in range(n_epochs):
-        alpha = learning_rate * (1.0 - ep / float(n_epochs))
-        yi = y.select(F.col("id").alias("i"), F.col("y").alias("yi"))
-        yj = y.select(F.col("id").alias("j"), F.col("y").alias("yj"))
-        ej = e.join(yi, "i").join(yj, "j")
-        diff = F.zip_with("yi", "yj", lambda p, q: p - q)
-        d2 = F.aggregate(diff, F.lit(0.0), lambda s, x: s + x * x)
-        # an edge pulls and samples once in each of its two directions: both pulls are taken here
-        att = F.when(d2 > 0, 2.0 * (-2.0 * a * b * F.pow(d2, b - 1.0)) / (a * F.pow(d2, b) + 1.0)).otherwise(0.0)
-        moves = ej.select(
-            "i", "j", (att * F.col("p")).alias("c"), diff.alias("diff"), "p",
-        )
-        pull_i = moves.select(F.col("i").alias("id"), F.transform("diff", lambda x: x * F.col("c")).alias("g"))
-        pull_j = moves.select(F.col("j").alias("id"), F.transform("diff", lambda x: -x * F.col("c")).alias("g"))
-        # negative samples of both ends of an edge: seeded hash of (end, other end, epoch, sample) -> a point index
-        neg = ends.select(
-            "i", "j", "p", F.explode(F.sequence(F.lit(0), F.lit(negative_rate - 1))).alias("s")
-        ).withColumn("ix", F.pmod(F.xxhash64(F.lit(seed), F.lit(ep), "i", "j", "s"), F.lit(n)))
-        neg = neg.join(idx, "ix").join(yi, "i").join(
-            y.select(F.col("id").alias("k"), F.col("y").alias("yk")), F.col("id") == F.col("k")
-        ).where(F.col("k") != F.col("i"))
-        ndiff = F.zip_with("yi", "yk", lambda p, q: p - q)
-        nd2 = F.aggregate(ndiff, F.lit(0.0), lambda s, x: s + x * x)
-        rep = (2.0 * b) / ((0.001 + nd2) * (a * F.pow(nd2, b) + 1.0))
-        push = neg.select(F.col("i").alias("id"), F.transform(ndiff, lambda x: x * rep * F.col("p")).alias("g"))
-        grads = pull_i.unionByName(pull_j).unionByName(push)
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-        from pyspark.ml.stat import Summarizer
-
-        step = grads.groupBy("id").agg(vector_to_array(Summarizer.sum(array_to_vector("g"))).alias("g"))
-        y = y.join(step, "id", "left").select(
-            "id",
-            F.when(F.col("g").isNull(), F.col("y")).otherwise(
-                F.zip_with("y", "g", lambda p, q: p + clip(q) * alpha)
-            ).alias("y"),
-        )
-        if (ep + 1) % cut_every == 0 or ep == n_epochs - 1:
-            y = cut_lineage(y, "layout")
-    return y
-
+# --- C6 ------------------------------------------------------------------------------------
 
 def reduce_umap(vectors: DataFrame, n_neighbors: int = 50, n_components: int = 16, min_dist: float = 0.1,
                 n_epochs: int = 200, spectral_iters: int = 30, seed: int = 42, vec_col: str = "embedding",

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,8 +78,29 @@ def cut_lineage(df, tag: str = "cut"):
     result survives executor loss (it is on shared storage, not in executor
     memory), and later rounds start from a short lineage.
     """
-    import uuid
-
     path = shared_dir(df.sparkSession, "tables", f"{tag}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def bucketed(df, *keys: str, tag: str = "bucketed"):
+    """``df`` written once as a table bucketed by ``keys``, with as many buckets as shuffle partitions.
+
+    Joins and groupings by the keys read it without a shuffle. The files lie in the shared folder; the
+    catalog entry is dropped and the files are deleted at the end of the block.
+    """
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name, path = f"{tag}_{uuid.uuid4().hex}", shared_dir(spark, "tables", f"{tag}-{uuid.uuid4().hex}")
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
