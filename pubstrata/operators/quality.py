@@ -12,23 +12,21 @@ Plan shape (why it scales):
   author holding a third of the rows is combined inside each map task;
 * "max share" is ``max(n_ak) / sum(n_ak)`` in a second aggregation - no
   self-join of a table with its own aggregate and no window over hot keys;
-* author overlap builds the topic x topic co-occurrence matrix as a Gram
-  matrix: each task adds up its authors' topic indicator vectors and emits one
-  bounded top_k x top_k partial matrix; no pairs are emitted per author.
+* author overlap keeps an author's top-k topics as bit masks, counts equal masks
+  and sums the counted masks per topic; no pairs are emitted per author.
 """
 
 from __future__ import annotations
 
 from typing import Literal
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubstrata.columns import DEFAULT_COLS, PubCols, require_columns
 from pubstrata.functions.keys import key_type
 from pubstrata.functions.stats import safe_div, with_global_stats
+from pubstrata.session import cut_lineage
 
 AuthOrder = Literal["first", "last"] | None
 
@@ -225,28 +223,32 @@ def k_cluster_distribution(clusters, bridge, min_auth_pubs: int = 3, cols=DEFAUL
 
 # --- M6 -------------------------------------------------------------------------------------
 
-def _gram_fn(k: int):
-    """Partition function: sum of outer products of topic-indicator rows, emitted once."""
-
-    def run(batches):
-        g = np.zeros((k, k), dtype=np.float64)
-        seen = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            seen = True
-            x = np.zeros((len(pdf), k), dtype=np.float64)
-            for r, idx in enumerate(pdf["tixs"]):
-                x[r, np.asarray(idx, dtype=np.int64)] = 1.0
-            g += x.T @ x
-        if not seen:
-            return
-        i, j = np.triu_indices(k)
-        c = g[i, j]
-        nz = c > 0
-        yield pd.DataFrame({"i": i[nz].astype(np.int32), "j": j[nz].astype(np.int32), "c": c[nz].astype(np.int64)})
-
-    return run
+#: topics per mask column; 62 keeps every mask a non-negative long
+MASK_BITS = 62
+
+
+def _shared_authors(author_topics: DataFrame, k: int) -> DataFrame:
+    """(i, j, c): number of entities with both topic indexes, i <= j, from (entity, tix) rows (repeats allowed).
+
+    An entity's topics are a few masks (``bit_or``), equal masks are counted once, and row i of
+    the co-occurrence matrix is the sum of the masks that hold i: at most k rows per distinct mask.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    words = [f"m{w}" for w in range(-(-k // MASK_BITS))]
+    bit = F.expr(f"shiftleft(1L, tix % {MASK_BITS})")
+    masks = author_topics.groupBy("entity").agg(*[
+        F.coalesce(F.bit_or(F.when(F.floor(F.col("tix") / MASK_BITS) == w, bit)), F.lit(0).cast("long")).alias(m) for w, m in enumerate(words)])
+    counted = masks.groupBy(*words).agg(F.count(F.lit(1)).alias("n"))
+
+    def held(i: int):
+        return F.col(words[i // MASK_BITS]).bitwiseAND(F.lit(1 << (i % MASK_BITS)).cast("long")) != 0
+
+    flags = F.array(*[held(i).cast("double") for i in range(k)])
+    rows = counted.select("n", flags.alias("x")).select("n", "x", F.posexplode("x").alias("i", "on")).where("on > 0")
+    total = rows.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("x"), F.col("n").cast("double"))).alias("c"))
+    return total.select("i", F.posexplode("c").alias("j", "c")).where("c > 0 AND i <= j").select("i", "j", F.col("c").cast("long").alias("c"))
 
 
 def author_overlap(clusters, bridge, cols=DEFAULT_COLS, only_core=False, top_k: int = 50,
@@ -272,14 +274,8 @@ def overlap_from_rows(rows: DataFrame, top_k: int = 50, detail: bool = False) ->
         .withColumn("n_top", F.count(F.lit(1)).over(Window.partitionBy()))
         .select("topic", "tix", "n_top")
     )
-    author_topics = rows.join(F.broadcast(top.select("topic", "tix")), "topic").select("entity", "tix").distinct()
-    per_author = author_topics.groupBy("entity").agg(F.collect_list("tix").alias("tixs"))
-    gram = (
-        per_author.select("tixs")
-        .mapInPandas(_gram_fn(top_k), "i int, j int, c long")
-        .groupBy("i", "j")
-        .agg(F.sum("c").alias("c"))
-    )
+    # at most top_k rows are broadcast
+    gram = _shared_authors(rows.join(F.broadcast(top.select("topic", "tix")), "topic").select("entity", "tix"), top_k)
     sizes = gram.where(F.col("i") == F.col("j")).select(F.col("i").alias("tix"), F.col("c").alias("a"))
     inter = gram.where(F.col("i") < F.col("j")).select("i", "j", F.col("c").alias("inter"))
     pairs = top.where(F.col("tix") < F.col("n_top") - 1).select(
@@ -310,7 +306,7 @@ def overlap_from_rows(rows: DataFrame, top_k: int = 50, detail: bool = False) ->
 
 def cluster_purity(clusters, docs, field: str = "source", min_cluster_docs: int | None = 3,
                    cols=DEFAULT_COLS, only_core=False, drop_null_field=True, detail=False) -> DataFrame:
-    """mean over topics of max_s n(c,s)/n(c) for s = docs.source or docs.doctype.
+    """How uniform the topics are in ``field`` (docs.source or docs.doctype): the mean share of a topic's commonest value.
 
     Topics are kept when they have more than ``min_cluster_docs`` documents
     (``None``: no size filter - the per-cluster view of the original).
@@ -327,7 +323,7 @@ def cluster_purity(clusters, docs, field: str = "source", min_cluster_docs: int
 
 
 def purity_from_rows(cl: DataFrame, detail: bool = False) -> DataFrame:
-    """Purity over (topic, val) document rows (size filter already applied)."""
+    """Per topic the most frequent value's share of the rows; ``cl`` holds (topic, val) rows of the topics that count."""
     n_cs = cl.groupBy("topic", "val").agg(_count().alias("n_cs"))
     per = n_cs.groupBy("topic").agg(
         F.sum("n_cs").alias("n_c"),
@@ -466,7 +462,9 @@ def interpretable_metrics(clusters, bridge, docs, cols=DEFAULT_COLS) -> DataFram
         "doc_id", "doc_key", "auth", "aff", (F.col("seqn") == 0).alias("f"), (F.col("seqn") == F.col("__mx")).alias("l"),
     )
     dcl = cl.select(F.col(cols.doc).cast(kt).alias("doc_key"), F.col(cols.topic).alias("topic"))
-    bc = bf.join(dcl, "doc_key")
+    # read five times below: one narrow table instead of as many joins
+    bf = cut_lineage(bf.join(dcl, "doc_key", "left").select("doc_id", "doc_key", "auth", "aff", "f", "l", "topic"), "suite")
+    bc = bf.where(F.col("topic").isNotNull())
 
     def long(df: DataFrame, items: list[tuple[str, str, int | None]]) -> DataFrame:
         """One-row frame -> rows (metric, value, report); items: (name, column, digits or None=ratio)."""
