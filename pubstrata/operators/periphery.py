@@ -50,17 +50,14 @@ def hash_rank(df: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
 
 
 def top2(membership: DataFrame) -> DataFrame:
-    """(id, c1, p1, p2): best topic (ties -> smaller topic), its p, the second largest p (0 if none)."""
-    g = membership.groupBy("id").agg(
-        F.max_by("topic", F.struct(F.col("p").alias("a"), (-F.col("topic")).alias("b"))).alias("c1"),
-        F.slice(F.sort_array(F.collect_list(F.col("p").cast("double")), asc=False), 1, 2).alias("__top"),
-    )
-    return g.select(
-        "id",
-        "c1",
-        F.get("__top", 0).alias("p1"),
-        F.coalesce(F.get("__top", 1), F.lit(0.0)).alias("p2"),
-    )
+    """(id, c1, p1, p2): best topic (ties -> smaller topic), its p, the second largest p (0 if none).
+
+    Two aggregations with map-side maxima; a point's memberships are never gathered.
+    """
+    m = membership.select("id", "topic", F.col("p").cast("double").alias("p"))
+    best = m.groupBy("id").agg(F.max(F.struct(F.col("p"), (-F.col("topic")).alias("k"))).alias("b"))
+    rest = m.join(best, "id").groupBy("id", "b").agg(F.max(F.when(F.col("topic") != -F.col("b.k"), F.col("p"))).alias("p2"))
+    return rest.select("id", (-F.col("b.k")).alias("c1"), F.col("b.p").alias("p1"), F.coalesce("p2", F.lit(0.0)).alias("p2"))
 
 
 def exemplars(clusters: DataFrame, vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -137,10 +134,18 @@ def core_sample(clusters: DataFrame, core_sample_frac: float = 0.2, core_sample_
     return ranked.join(F.broadcast(bounds), "__one").where(F.col("hrank") <= F.col("n_sample")).select("id")
 
 
+def best_two(membership: DataFrame) -> DataFrame:
+    """(id, c1, p1, p2) of a membership table (id, topic, p), or the table itself if it holds them already."""
+    return membership if "p1" in membership.columns else top2(membership)
+
+
 def calibrate_periphery(membership: DataFrame, clusters: DataFrame, core_sample_frac: float = 0.2,
                         core_sample_min: int = 0, core_sample_max: int = 999_999_999,
                         core_quantile: float = 0.05, seed: int = 0) -> DataFrame:
-    """One row (tau, delta, n_core, n_sample). Fails at run time when there is no core point."""
+    """One row (tau, delta, n_core, n_sample). Fails at run time when there is no core point.
+
+    ``membership``: (id, topic, p), or (id, c1, p1, p2) as ``membership.best_memberships`` gives it.
+    """
     if core_sample_min > core_sample_max:
         raise ValueError("core_sample_min must not exceed core_sample_max")
     core = clusters.where(F.col("topic") != -1).select("id")
@@ -154,7 +159,7 @@ def calibrate_periphery(membership: DataFrame, clusters: DataFrame, core_sample_
     bounds = n_core.select(F.col("n_core"), size.cast("long").alias("n_sample")).withColumn("__one", F.lit(1))
     ranked = hash_rank(core, "id", seed).withColumn("__one", F.lit(1))
     sample = ranked.join(F.broadcast(bounds), "__one").where(F.col("hrank") <= F.col("n_sample")).select("id")
-    t2 = top2(membership.join(sample, "id", "left_semi"))
+    t2 = best_two(membership.join(sample, "id", "left_semi"))
     p1h = half_round_scalar(F.col("p1"))
     mh = half_round_scalar(F.col("p1") - F.col("p2"))
     q = t2.agg(
@@ -165,9 +170,9 @@ def calibrate_periphery(membership: DataFrame, clusters: DataFrame, core_sample_
 
 
 def attach_periphery(clusters: DataFrame, membership: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Clusters with qualifying noise points attached; core flags and non-noise rows unchanged."""
+    """Clusters with qualifying noise points attached; core flags and non-noise rows unchanged. ``membership`` as in calibration."""
     noise = clusters.where(F.col("topic") == -1).select("id")
-    t2 = top2(membership.join(noise, "id", "left_semi"))
+    t2 = best_two(membership.join(noise, "id", "left_semi"))
     th = thresholds.select("tau", "delta").withColumn("__one", F.lit(1))
     t2 = t2.withColumn("__one", F.lit(1)).join(F.broadcast(th), "__one")
     ok = (F.col("p1") >= F.col("tau")) & ((F.col("p1") - F.col("p2")) >= F.col("delta"))

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pubstrata.deploy import ship_package
 from pubstrata.functions.stats import finalize
 from pubstrata.operators import quality as Q
+from pubstrata.operators.membership import best_memberships
 from pubstrata.plans import oracle as O
+from pubstrata.session import cut_lineage
 from pubstrata.sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,9 +346,13 @@ def _membership(spark, d):
 register("membership", O.membership_sql())(_membership)
 
 
-def _calibrate(spark, d):
-    return P.calibrate_periphery(_membership(spark, d), FX.vector_clusters_view(spark, d),
-                                 core_sample_frac=1.0, core_quantile=0.05)
+def _best_two(spark, d):
+    return cut_lineage(best_memberships(FX.vectors_view(spark, d), FX.vector_clusters_view(spark, d)), "best")
+
+
+def _calibrate(spark, d, best=None, frac=1.0):
+    return P.calibrate_periphery(_best_two(spark, d) if best is None else best, FX.vector_clusters_view(spark, d),
+                                 core_sample_frac=frac, core_quantile=0.05)
 
 
 register("calibrate_periphery", O.calibrate_sql(0.05))(_calibrate)
@@ -354,7 +360,8 @@ register("calibrate_periphery", O.calibrate_sql(0.05))(_calibrate)
 
 @register("attach_periphery", O.attach_sql(0.05))
 def _attach(spark, d):
-    return P.attach_periphery(FX.vector_clusters_view(spark, d), _membership(spark, d), _calibrate(spark, d))
+    best = _best_two(spark, d)  # calibration and attachment share it
+    return P.attach_periphery(FX.vector_clusters_view(spark, d), best, _calibrate(spark, d, best))
 
 
 # ---- annotation (A1-A6) -------------------------------------------------------------------

@@ -22,7 +22,9 @@ from pubstrata.operators import density as DN
 from pubstrata.operators import periphery as P
 from pubstrata.operators import quality as Q
 from pubstrata.operators import reduce as RD
+from pubstrata.operators.membership import best_memberships
 from pubstrata.plans.config import ConfigItem, stage_key
+from pubstrata.session import cut_lineage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -137,18 +139,27 @@ def cluster_run(spark: SparkSession, vectors: DataFrame, item: ConfigItem, root:
 
     reduced = _stage(spark, root, "reduced", stage_key(cfg, "reduced", extra), build_reduced, info)
 
+    key = stage_key(cfg, "clusters", extra)
+    # the hierarchy lies beside the labels; the labels come last, so their marker stands for all four tables
+    side = {name: f"{root}/stages/clusters-{key}-{name}" for name in ("falls", "lineages", "selection")}
+
     def build_clusters():
         h = cfg.hdbscan
-        return DN.hdbscan(reduced, min_cluster_size=h.min_cluster_size, min_samples=h.min_samples,
-                          method=h.cluster_selection_method)
+        labels, _, tree, selection = DN.hdbscan(reduced, min_cluster_size=h.min_cluster_size, min_samples=h.min_samples,
+                                                method=h.cluster_selection_method, details=True)
+        for name, df in (("falls", tree.falls), ("lineages", tree.lineages), ("selection", selection)):
+            df.write.mode("overwrite").parquet(side[name])
+        return labels
 
-    clusters = _stage(spark, root, "clusters", stage_key(cfg, "clusters", extra), build_clusters, info)
+    clusters = _stage(spark, root, "clusters", key, build_clusters, info)
 
     def build_periphery():
         pc = cfg.periphery
         sample = P.core_sample(clusters, pc.core_sample_frac, pc.core_sample_min, pc.core_sample_max, seed)
         pts = sample.unionByName(clusters.where(F.col("topic") == -1).select("id"))
-        mem = P.membership_distance(reduced, clusters, points=pts)
+        tree = DN.Hierarchy(None, spark.read.parquet(side["falls"]), spark.read.parquet(side["lineages"]))
+        # the full soft membership, once for calibration and attachment
+        mem = cut_lineage(best_memberships(reduced, clusters, pts, tree, spark.read.parquet(side["selection"])), "membership")
         th = P.calibrate_periphery(mem, clusters, pc.core_sample_frac, pc.core_sample_min, pc.core_sample_max,
                                    pc.core_quantile, seed)
         return P.attach_periphery(clusters, mem, th)
