@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from pubstrata.deploy import ship_package
 from pubstrata.session import shared_dir
@@ -69,6 +74,13 @@ class Scratch:
         back._scratch_path = path
         return back
 
+    def bucketed(self, df: DataFrame, key: str, tag: str) -> DataFrame:
+        """``df`` as a table bucketed by ``key`` into as many buckets as shuffle partitions; joins by the key do not shuffle it again."""
+        n = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        name = f"{tag}_{uuid.uuid4().hex}"
+        df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).option("path", self.path(tag)).saveAsTable(name)
+        return self.spark.table(name)
+
     def free(self, *frames: DataFrame) -> None:
         sc = self.spark.sparkContext
         for f in frames:
@@ -100,6 +112,34 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row_.*")
 
 
+def exact(frame: pa.RecordBatch | pa.Table, ids: tuple[str, ...]) -> pd.DataFrame:
+    """The rows in pandas; the columns ``ids`` as nullable integers, which hold 64-bit values beside nulls exactly."""
+    return pd.DataFrame({n: frame.column(i).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if n in ids else frame.column(i).to_pandas()
+                         for i, n in enumerate(frame.schema.names)})
+
+
+def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], ddl: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``mapInPandas`` that keeps 64-bit ids beside nulls exact (pandas alone would make them floats)."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(exact(b, ids) for b in batches):
+            yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
+
+    return df.mapInArrow(run, ddl)
+
+
+def group_frames(grouped, fn: Callable[[pd.DataFrame], pd.DataFrame], ddl: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``applyInPandas`` of a grouping that keeps 64-bit ids beside nulls exact."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    return grouped.applyInArrow(lambda t: pa.Table.from_pandas(fn(exact(t, ids)), schema=schema, preserve_index=False), ddl)
+
+
+def nullable_ids(values: list) -> pd.Series:
+    """Integers and Nones as a nullable integer column."""
+    return pd.Series(pd.array(values, dtype="Int64"))
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -139,5 +179,5 @@ def components(links: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
 
 
-__all__ = ["WORD", "WORD_GAP", "ASCII_LOWER", "Scratch", "ascii_lower", "col", "components", "packed", "quoted",
-           "read_table", "rows_of", "ship_package", "small", "unpacked", "words"]
+__all__ = ["WORD", "WORD_GAP", "ASCII_LOWER", "Scratch", "ascii_lower", "col", "components", "exact", "group_frames", "map_frames",
+           "nullable_ids", "packed", "quoted", "read_table", "rows_of", "ship_package", "small", "unpacked", "words"]

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from pubstrata.llm.common import ASCII_LOWER, read_table, rows_of, ship_package
+from pubstrata.llm.common import ASCII_LOWER, map_frames, read_table, rows_of, ship_package
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -165,23 +165,23 @@ def _scan(templates):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for text in pdf["text"]:
                 words = words_of(text)
                 base, own, score = match(words, templates)
                 at = [s for _, s, _ in base]
                 names = {x for x, _, _ in base}
-                rows.append((doc_id, len(words), len(base), min(at, default=None), max(at, default=None), ",".join(sorted(names)),
+                rows.append((len(words), len(base), min(at, default=None), max(at, default=None), ",".join(sorted(names)),
                              ",".join(sorted(names | {x for x, _, _ in own})), score,
                              [{"label": x, "start": s, "end": e} for x, s, e in sorted(base + own, key=lambda p: (p[1], p[2], p[0]))]))
-            out = pd.DataFrame(rows, columns=[c.strip().split()[0] for c in SCHEMA.split(", ")])
-            yield out.astype({"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
+            out = pd.DataFrame(rows, columns=[c.strip().split()[0] for c in SCHEMA.split(", ")][1:])
+            yield out.assign(doc_id=pdf["doc_id"]).astype({"first_word": "Int64", "last_word": "Int64"})
     return run
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """One row per input row with its license places, labels and score."""
     ship_package(docs.sparkSession)
-    return rows_of(docs, "doc_id", "text").mapInPandas(_scan(tuple(templates)), SCHEMA)
+    return map_frames(rows_of(docs, "doc_id", "text"), _scan(tuple(templates)), SCHEMA)
 
 
 def op10_licenses(spark, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import (ASCII_LOWER, Scratch, components, packed, read_table, rows_of, ship_package, small, unpacked)
+from pubstrata.llm.common import (ASCII_LOWER, Scratch, components, map_frames, packed, read_table, rows_of, ship_package, small, unpacked)
 from pubstrata.llm.shingles import scramble, shingle_set
 
 HALVES, ROWS = 8, 2
@@ -186,7 +186,7 @@ class _Run:
         self.percent, self.halves = percent, halves_for(percent)
         self.scratch = Scratch(docs.sparkSession, "near")
         self.docs = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("tk"))
-        signed = self.docs.mapInPandas(functools.partial(_sign, halves=self.halves), "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>, sk binary")
+        signed = map_frames(self.docs, functools.partial(_sign, halves=self.halves), "doc_id long, tk string, n long, set_key binary, a array<long>, b array<long>, sk binary")
         self.signed = self.scratch.cut(signed, "signed")
         some = self.signed.where("n > 0").groupBy("set_key").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "tk")).alias("rep"), F.min("n").alias("n"),

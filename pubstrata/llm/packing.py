@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import Scratch, read_table, rows_of, ship_package
+from pubstrata.llm.common import Scratch, group_frames, map_frames, nullable_ids, read_table, rows_of, ship_package
 
 LENGTH, OPEN, SLACK, MERGE = 1024, 32, 4, 16
 STRETCH = 1 << 20
@@ -154,7 +154,8 @@ def _rows(sequence: int, window: list[Piece], closed: bool) -> list[tuple]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=_NAMES).astype({"doc_id": "Int64"})
+    columns = dict(zip(_NAMES, zip(*rows))) if rows else {n: [] for n in _NAMES}
+    return pd.DataFrame(columns | {"doc_id": nullable_ids(list(columns["doc_id"]))})
 
 
 def pack_partition(path: str, length: int, open_windows: int, slack: int):
@@ -209,10 +210,10 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, open_wi
     """One row per piece: sequence_id, offset, doc_id, start, doc_tokens, ids (binary, little-endian unsigned 32-bit)."""
     ship_package(docs.sparkSession)
     path, scratch = path or default_vocabulary(), Scratch(docs.sparkSession, "pack")
-    first = rows_of(docs, "doc_id", "text").mapInPandas(pack_partition(path, length, open_windows, slack), COLUMNS)
+    first = map_frames(rows_of(docs, "doc_id", "text"), pack_partition(path, length, open_windows, slack), COLUMNS)
     first = scratch.cut(first, "pieces", by=("closed",))
     left = first.where("NOT closed").withColumn("group_", F.floor(F.shiftright("sequence_id", 32) / merge))
-    merged = left.groupBy("group_").applyInPandas(merge_group(length, open_windows, slack), COLUMNS)
+    merged = group_frames(left.groupBy("group_"), merge_group(length, open_windows, slack), COLUMNS)
     return first.where("closed").unionByName(merged).drop("closed")
 
 

@@ -8,10 +8,11 @@ begins at an anchor in both, and only anchors (5 of 21 positions) are hashed and
 compared. A repeated anchor is extended to every window that can hold it; those windows
 are compared by 128-bit hashes, and that decides.
 
-Both comparisons count hashes with map-side sums and join the counts back; occurrences
-of one hash are never paired or gathered, and adaptive execution splits the join's hot
-keys. Texts that occur several times are represented once (all their windows occur
-elsewhere). Per document only its own positions are collected.
+A comparison shuffles each (hash, document, position) once: a window over the hash counts its rows. Hashes that one
+batch of texts holds ``HOT`` times or more are known to repeat there, so their positions go through under keys of their own and the
+hash itself as a single row; a passage that a third of all documents share is a few rows per batch in its group. Texts are
+bucketed once by a row key; hits and windows are brought to them, never the texts to those. Texts that occur
+several times are represented once (all their windows occur elsewhere). Per document only its own positions are collected.
 
 Defined results: null or wordless text has no words and keeps the empty string; texts
 of fewer than WINDOW words keep all words; of a repeated text of WINDOW words or more
@@ -25,16 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import WORD, Scratch, read_table, rows_of, ship_package, small
+from pubstrata.llm.common import WORD, Scratch, map_frames, read_table, rows_of, ship_package
 from pubstrata.llm.shingles import scramble, window_hashes, word_hashes
 
 WINDOW = 35
 #: a perfect difference set: every remainder of 21 is a difference of two of its members
 PERIOD, COVER = 21, (0, 1, 6, 8, 18)
 ANCHOR = WINDOW - PERIOD + 1
+HOT = 8
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
 
@@ -56,6 +58,25 @@ def window_starts(anchors: np.ndarray, n_words: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(mark[:-1])[:n_words - WINDOW + 1] > 0).astype(np.int32)
 
 
+def _combined(keys: list[np.ndarray], u: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+    """Rows (keys, u, at, n) of one batch: n counts as so many occurrences. Hot hashes: their positions with keys of their own
+    and n = 2, and one row without position for the others to see."""
+    _, back, count = np.unique(np.rec.fromarrays(keys), return_inverse=True, return_counts=True)
+    hot = (count >= HOT)[back]
+    n = np.where(hot, 2, 1)
+    if hot.any():
+        first = np.unique(back[hot], return_index=True)[1]
+        extra = [k[hot][first] for k in keys]
+        own = scramble(u[hot].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at[hot].astype(np.uint64))
+        keys = [k.copy() for k in keys]
+        for i, k in enumerate(keys):
+            k[hot] = scramble(own + np.uint64(i)).view(np.int64)
+        keys = [np.concatenate([k, e]) for k, e in zip(keys, extra)]
+        u, at, n = (np.concatenate([x, np.full(len(first), f, x.dtype)]) for x, f in ((u, 0), (at, -1), (n, 2)))
+    out = {f"h{i}": k for i, k in enumerate(keys)}
+    return pd.DataFrame(out | {"u": u, "at": at, "n": n.astype(np.int32)})
+
+
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         h, u, at = [], [], []
@@ -67,24 +88,22 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 u.append(np.full(len(p), key))
                 at.append(p)
         if h:
-            yield pd.DataFrame({"h": np.concatenate(h).view(np.int64), "u": np.concatenate(u), "at": np.concatenate(at)})
+            yield _combined([np.concatenate(h).view(np.int64)], np.concatenate(u), np.concatenate(at))
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        h, g, u, v, at = [], [], [], [], []
-        for key, key2, text, anchors in zip(pdf["u"].to_numpy(), pdf["v"].to_numpy(), pdf["text"], pdf["ats"]):
+        h, g, u, at = [], [], [], []
+        for key, text, anchors in zip(pdf["u"].to_numpy(), pdf["text"], pdf["ats"]):
             words = word_hashes(text or "")
             s = window_starts(np.asarray(anchors, dtype=np.int32), len(words))
             if len(s):
                 h.append(window_hashes(words, WINDOW)[s])
                 g.append(window_hashes(scramble(words + np.uint64(WINDOW)), WINDOW)[s])
                 u.append(np.full(len(s), key))
-                v.append(np.full(len(s), key2))
                 at.append(s)
         if h:
-            yield pd.DataFrame({"h": np.concatenate(h).view(np.int64), "g": np.concatenate(g).view(np.int64),
-                                "u": np.concatenate(u), "v": np.concatenate(v), "at": np.concatenate(at)})
+            yield _combined([np.concatenate(h).view(np.int64), np.concatenate(g).view(np.int64)], np.concatenate(u), np.concatenate(at))
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,33 +135,31 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark, "substr")
-    d = rows_of(docs, "doc_id", "text")
-    key = F.md5(F.coalesce("text", F.lit("")))
-    copies = d.select(key.alias("c_tk"), "doc_id").groupBy("c_tk").agg(F.count("*").alias("c"), F.min("doc_id").alias("first"))
-    copies = scratch.cut(copies.where("c > 1").select("c_tk", "first"), "copies")
-    d = d.withColumn("tk", key).join(small(copies, 56), F.col("tk") == F.col("c_tk"), "left")
-    d = d.select("doc_id", "text", F.xxhash64("tk").alias("u"), F.xxhash64("tk", F.lit(1)).alias("v"),
-                 F.col("c_tk").isNotNull().alias("again"), (F.col("c_tk").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).alias("lead"))
+    d = rows_of(docs, "doc_id", "text").withColumn("tk", F.md5(F.coalesce("text", F.lit(""))))
+    # u names a row; rows that repeat id and text share it, and are found to repeat each other
+    d = scratch.bucketed(d.withColumn("u", F.xxhash64("doc_id", "tk")), "u", "texts")
+    narrow = d.select("u", "tk")
+    copies = narrow.groupBy("tk").agg(F.count("*").alias("c"), F.min("u").alias("first")).where("c > 1").select("tk", "first")
+    # narrow rows only: a text that a third of all rows hold is one row of copies, its rows are split by adaptive execution
+    flags = narrow.join(copies, "tk").select(F.col("u").alias("f_u"), (F.col("u") == F.col("first")).alias("lead")).distinct()
+    flags = scratch.cut(flags, "copies")
+    lead = d.join(flags, F.col("u") == F.col("f_u"), "left").where("f_u IS NULL OR lead").select("u", "text")
+    lead = lead.groupBy("u").agg(F.min("text").alias("text"))
 
     def repeated(rows: DataFrame, *keys: str) -> DataFrame:
-        """Rows whose hash occurs in several rows."""
-        often = rows.groupBy(*keys).count().where("count > 1").drop("count")
-        return rows.join(often, list(keys))
-
-    lead = d.where("lead")
-    anchors = lead.select("u", "text").mapInPandas(_anchors, "h long, u long, at int")
-    hits = repeated(anchors, "h").groupBy("u").agg(F.collect_list("at").alias("ats"))
-    hits = scratch.cut(hits.withColumnRenamed("u", "hit_u"), "hits")
-    volume = hits.agg(F.count("*"), F.sum(F.size("ats"))).first()
-    near = lead.join(small(hits, 1, rows=24 * volume[0] + 4 * (volume[1] or 0)), F.col("u") == F.col("hit_u"))
-    windows = near.select("u", "v", "text", "ats").mapInPandas(_windows, "h long, g long, u long, v long, at int")
-    gone = repeated(windows, "h", "g").groupBy("u", "v").agg(F.collect_list("at").alias("starts"))
-    gone = scratch.cut(gone.select(F.col("u").alias("g_u"), F.col("v").alias("g_v"), "starts"), "gone")
-    volume = gone.agg(F.count("*"), F.sum(F.size("starts"))).first()
-    gone = small(gone, 1, rows=32 * volume[0] + 4 * (volume[1] or 0))
-    last = d.join(gone, (F.col("u") == F.col("g_u")) & (F.col("v") == F.col("g_v")), "left")
-    return last.select("doc_id", "text", "again", "starts").mapInPandas(
-        _remove, "doc_id long, n_words long, n_removed long, kept_text string")
+        """(u, positions) of rows whose hash counts more than once."""
+        total = F.sum("n").over(Window.partitionBy(*keys))
+        often = rows.withColumn("total", total).where("total > 1 AND at >= 0")
+        return often.groupBy("u").agg(F.collect_list("at").alias("ats"))
+
+    anchors = map_frames(lead, _anchors, "h0 long, u long, at int, n int", ids=())
+    hits = scratch.cut(repeated(anchors, "h0").withColumnRenamed("u", "hit_u"), "hits")
+    near = lead.join(hits, F.col("u") == F.col("hit_u")).select("u", "text", "ats")
+    windows = map_frames(near, _windows, "h0 long, h1 long, u long, at int, n int", ids=())
+    gone = scratch.cut(repeated(windows, "h0", "h1").select(F.col("u").alias("g_u"), F.col("ats").alias("starts")), "gone")
+    last = d.join(flags, F.col("u") == F.col("f_u"), "left").join(gone, F.col("u") == F.col("g_u"), "left")
+    return map_frames(last.select("doc_id", "text", F.col("f_u").isNotNull().alias("again"), "starts"), _remove,
+                      "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

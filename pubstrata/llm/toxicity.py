@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import Scratch, read_table, rows_of, ship_package, small
+from pubstrata.llm.common import Scratch, map_frames, read_table, rows_of, ship_package, small
 
 CATEGORIES = ("low_quality", "toxic")
 SAMPLE, FOLDS, WORDS, RIDGE, THRESHOLD, MIN_DOCS = 8000, 5, 200, 0.1, 0.3, 4
@@ -180,7 +180,7 @@ def score(docs: DataFrame, chain: list[Link], categories=CATEGORIES, threshold:
             yield pd.DataFrame(out | {categories[-1]: p[:, -1] >= threshold})
 
     schema = "doc_id long, " + "".join(f"p_{c} double, " for c in categories) + f"{categories[-1]} boolean"
-    return docs.mapInPandas(run, schema)
+    return map_frames(docs, run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE) -> DataFrame:

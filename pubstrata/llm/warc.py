@@ -2,8 +2,8 @@
 
 ``write_archives`` renders one WARC/1.1 record per page and lets Spark's text writer
 put the files into the shared folder: a record ends with two line breaks, which are the
-writer's line separator, so the files are valid archives and commit like any table
-(``RECORDS`` records a file at most). ``read_archives`` reads whole files and follows
+writer's line separator, so the files are valid archives and commit like any table. A file holds at most
+``RECORDS`` records and, counted with the largest page, ``FILE_BYTES`` bytes. ``read_archives`` reads whole files and follows
 Content-Length, so payloads may hold any text; every response's digest is checked.
 
 Records with equal payloads (SHA-1 and length) are one response, the row with the
@@ -32,9 +32,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import Scratch, read_table, rows_of, ship_package, small
+from pubstrata.llm.common import Scratch, col, map_frames, nullable_ids, read_table, rows_of, ship_package, small
 
-RECORDS = 2000
+RECORDS, FILE_BYTES = 2000, 512 << 20
+#: a revisit of a payload that another record holds
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: payloads shorter than this are never revisits
 MIN_REVISIT = 0
 EPOCH = 1_700_000_000
@@ -53,12 +55,18 @@ def records(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """One column ``value``: the pages' WARC records without their final line breaks."""
     p = rows_of(pages, "page_id", "url", "html").withColumn("html", F.coalesce("html", F.lit("")))
     p = p.withColumn("digest", base32_sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
-    same = p.groupBy(F.col("digest").alias("d"), F.col("size").alias("z")).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    same = p.groupBy(F.col("digest").alias("d"), F.col("size").alias("z")).agg(
+        F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"), F.count("*").alias("n"))
     same = scratch.cut(same.where((F.col("n") > 1) & (F.col("z") >= MIN_REVISIT)).drop("n"), "same")
-    p = p.join(small(same, 64), (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
+    p = p.join(small(same, 256), (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
     revisit = F.col("d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    when = F.to_utc_timestamp(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))), F.current_timezone())
-    target = F.regexp_replace("url", r"[\x00-\x20\x7F]", "_")
+    def when(page: str) -> Column:
+        at = F.to_utc_timestamp(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(page, F.lit(0)), F.lit(10**9))), F.current_timezone())
+        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def target(url: str) -> Column:
+        return F.regexp_replace(url, r"[\x00-\x20\x7F]", "_")
+
     block = F.when(revisit, F.lit(HTTP_HEAD)).otherwise(F.concat(F.lit(HTTP_HEAD), "html"))
 
     def line(name: str, value: Column) -> Column:
@@ -67,8 +75,9 @@ def records(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
     head = F.concat(
         F.lit("WARC/1.1" + CRLF), line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:md5:"), F.md5(F.concat_ws("|", "page_id", "url", "digest")), F.lit(">"))),
-        line("WARC-Date", F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'")), line("WARC-Target-URI", target),
+        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        line("WARC-Date", when("page_id")), line("WARC-Target-URI", target("url")), line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
+        line("WARC-Refers-To-Target-URI", F.when(revisit, target("first_url"))), line("WARC-Refers-To-Date", F.when(revisit, when("first"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")), line("X-Page-Id", F.col("page_id")),
         line("X-Payload-Length", F.col("size")), line("X-Refers-To-Page", F.when(revisit, F.col("first"))),
         line("Content-Type", F.lit("application/http;msgtype=response")), line("Content-Length", F.octet_length(block)), F.lit(CRLF))
@@ -78,7 +87,9 @@ def records(pages: DataFrame, scratch: Scratch) -> DataFrame:
 def write_archives(pages: DataFrame, scratch: Scratch) -> str:
     """Folder of the archives (one or more files)."""
     path = scratch.path("warc")
-    records(pages, scratch).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", RECORDS).text(path)
+    largest = pages.agg(F.max(F.octet_length(col("html")))).first()[0] or 0
+    most = max(1, min(RECORDS, FILE_BYTES // (largest + 4096)))
+    records(pages, scratch).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(path)
     return path
 
 
@@ -108,6 +119,7 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes, int
 CAPTURE = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, url_key string, "
            "timestamp string, run string, offset long, length long")
 _NAMES = [c.split()[0] for c in CAPTURE.split(", ")]
+IDS = ("page_id", "refers_to")
 
 
 def _number(value: str | None) -> int | None:
@@ -128,13 +140,14 @@ def _captures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 url = head.get("WARC-Target-URI")
                 rows.append((_number(head.get("X-Page-Id")), size, digest, head["WARC-Type"], _number(head.get("X-Refers-To-Page")), url,
                              url_key(url), head["WARC-Date"], name.rsplit("/", 1)[-1], at, length))
-            yield pd.DataFrame(rows, columns=_NAMES).astype({"page_id": "Int64", "refers_to": "Int64"})
+            columns = dict(zip(_NAMES, zip(*rows))) if rows else {n: [] for n in _NAMES}
+            yield pd.DataFrame(columns | {n: nullable_ids(list(columns[n])) for n in IDS})
 
 
 def read_archives(spark, path: str) -> DataFrame:
     """One row per record of the archives in the folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInPandas(_captures, CAPTURE)
+    return map_frames(files.select("path", "content"), _captures, CAPTURE, ids=())
 
 
 class LoserTree:
@@ -180,12 +193,12 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not parts:
         return
     pdf = pd.concat(parts, ignore_index=True)
-    page = pdf["page_id"].astype("Int64")
+    page = pdf["page_id"]
     runs: dict[str, list[tuple]] = {}
     for i, (run, *key) in enumerate(zip(pdf["run"], pdf["url_key"], pdf["timestamp"], page.notna(), page.fillna(0), pdf["offset"])):
         runs.setdefault(run, []).append((*key, i))
     order = [row[-1] for row in LoserTree(list(runs.values()))]
-    yield pdf.iloc[order].astype({"page_id": "Int64", "refers_to": "Int64"})
+    yield pdf.iloc[order]
 
 
 def merge_index(captures: DataFrame) -> DataFrame:
@@ -193,7 +206,7 @@ def merge_index(captures: DataFrame) -> DataFrame:
     n = max(1, int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ("url_key", "timestamp", "page_id")
     runs = captures.repartitionByRange(n, *order).sortWithinPartitions("run", *order, "offset")
-    return runs.mapInPandas(_merge, CAPTURE)
+    return map_frames(runs, _merge, CAPTURE, ids=IDS)
 
 
 def archive(pages: DataFrame) -> DataFrame:
