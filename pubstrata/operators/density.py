@@ -22,8 +22,8 @@ Steps (Campello, Moulavi, Sander 2013; McInnes, Healy 2017):
    a true split) or when two small ones form a large one, absorbs small
    components (top-down: points falling out) and ends when it meets another
    large component;
-4. cluster selection (excess of mass or leaf) over the lineage tree, level by
-   level; labels, probabilities lambda_p / lambda_max (half rounded) and the
+4. cluster selection (excess of mass or leaf) over the lineage tree by rake
+   and compress, O(log n) rounds; labels, probabilities lambda_p / lambda_max (half rounded) and the
    core flag (label != -1, frozen before any periphery attachment).
 
 Stability of a lineage C (sizes s, merge weights w, lambda = 1 / w):
@@ -44,9 +44,6 @@ from pubstrata.operators.neighbors import core_distances, knn
 from pubstrata.session import cut_lineage
 
 I64 = np.iinfo(np.int64).max
-# small tables (lineage trees) up to this many rows are resolved in one
-# task; the row count is checked first and larger tables take the distributed path
-SMALL_TABLE_ROWS = 100_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -367,43 +364,47 @@ def build_hierarchy(mst: DataFrame, ids: DataFrame, min_cluster_size: int, chunk
 
 # --- selection and labels -----------------------------------------------------------------
 
-def _select_fn(method: str):
-    def run(key, pdf):
-        lin = pdf["lin"].to_numpy(np.int64).tolist()
-        par = [None if pd.isna(x) else int(x) for x in pdf["parent"]]
-        stab = dict(zip(lin, pdf["stability"].astype(float).tolist()))
-        parent = dict(zip(lin, par))
-        kids = {x: [] for x in lin}
-        for x, p in parent.items():
-            if p is not None and p in kids:
-                kids[p].append(x)
-        # children before parents: order by depth, deepest first
-        depth = {}
-        for x in lin:
-            d, y = 0, x
-            while parent.get(y) is not None and parent[y] in kids:
-                d += 1
-                y = parent[y]
-            depth[x] = d
-        local, best = {}, {}
-        for x in sorted(lin, key=lambda v: -depth[v]):
-            root = parent[x] is None
-            if method == "leaf":
-                local[x] = (not kids[x]) and not root
-                continue
-            csum = sum(best[k] for k in kids[x])
-            local[x] = (not root) and (not kids[x] or stab[x] >= csum)
-            best[x] = stab[x] if local[x] else csum
-        sel, selected = {}, {}
-        for x in sorted(lin, key=lambda v: depth[v]):
-            p = parent[x]
-            above = sel.get(p) if p is not None else None
-            selected[x] = local[x] and above is None
-            sel[x] = above if above is not None else (x if selected[x] else None)
-        return pd.DataFrame({"lin": lin, "selected": [selected[x] for x in lin],
-                             "sel": pd.array([sel[x] for x in lin], dtype="Int64")})
+def _best_totals(lin: DataFrame) -> DataFrame:
+    """(lin, csum): the best total of every lineage's children, by raking leaves and compressing chains.
 
-    return run
+    A lineage's best total is max(stability, sum of its children's best totals); for the root the sum alone. A lineage
+    whose children are known is known. One with a single unknown child is a function max(a, best(child) + c) of it, and
+    such functions compose, so a chain halves its length every round: O(log n) rounds however deep the tree is.
+    """
+    root = F.col("parent").isNull()
+    kids = lin.where("parent IS NOT NULL").groupBy(F.col("parent").alias("k")).agg(F.count(F.lit(1)).alias("kids"), F.min("lin").alias("one"))
+    # a root has no total of its own, and an undefined stability never beats the children: -infinity takes no part in the maximum
+    own = F.when(root | (F.isnan("stability") & F.col("kids").isNotNull()), F.lit(float("-inf"))).otherwise(F.col("stability"))
+    node = lin.join(kids, F.col("lin") == F.col("k"), "left").select(
+        "lin", "parent", own.alias("own"), F.coalesce("kids", F.lit(0)).alias("unknown"), F.lit(0.0).alias("csum"),
+        F.when(F.coalesce("kids", F.lit(0)) == 0, own).alias("best"), F.when(F.col("kids") == 1, F.col("one")).alias("to"),
+        own.alias("a"), F.lit(0.0).alias("c"))
+    node = _cut(node)
+    while not node.where("best IS NULL").isEmpty():
+        # rake: known children, told to their parents once; the smallest unknown child is the chain's next lineage
+        told = node.where("parent IS NOT NULL").groupBy(F.col("parent").alias("k")).agg(
+            F.count(F.when(F.col("best").isNull(), 1)).alias("left"), F.sum("best").alias("sum"), F.min(F.when(F.col("best").isNull(), F.col("lin"))).alias("next"))
+        n = node.join(told, F.col("lin") == F.col("k"), "left")
+        csum = F.coalesce("sum", F.lit(0.0))
+        open_ = F.col("best").isNull()
+        first = open_ & (F.col("left") == 1) & F.col("to").isNull()
+        n = n.select(
+            "lin", "parent", "own", F.coalesce("left", F.lit(0)).alias("unknown"), csum.alias("csum"),
+            F.when(~open_, F.col("best")).when(F.coalesce("left", F.lit(0)) == 0, F.greatest("own", csum)).alias("best"),
+            F.when(first, F.col("next")).otherwise(F.col("to")).alias("to"), "a", F.when(first, csum).otherwise(F.col("c")).alias("c"))
+        n = _cut(n)
+        # compress: jump over the chain's next lineage, or take its best total if it is known
+        after = n.select(F.col("lin").alias("t"), F.col("best").alias("t_best"), F.col("to").alias("t_to"), F.col("a").alias("t_a"), F.col("c").alias("t_c"))
+        j = n.join(after, F.col("to") == F.col("t"), "left")
+        jump = F.col("best").isNull() & F.col("t_to").isNotNull() & F.col("t_best").isNull()
+        node = _cut(j.select(
+            "lin", "parent", "own", "unknown", "csum",
+            F.when(F.col("best").isNull() & F.col("t_best").isNotNull(), F.greatest("a", F.col("t_best") + F.col("c"))).otherwise(F.col("best")).alias("best"),
+            F.when(jump, F.col("t_to")).otherwise(F.col("to")).alias("to"),
+            F.when(jump, F.greatest("a", F.col("t_a") + F.col("c"))).otherwise(F.col("a")).alias("a"),
+            F.when(jump, F.col("c") + F.col("t_c")).otherwise(F.col("c")).alias("c")))
+    total = node.where("parent IS NOT NULL").groupBy(F.col("parent").alias("lin")).agg(F.sum("best").alias("csum"))
+    return node.select("lin").join(total, "lin", "left").select("lin", F.col("csum"))
 
 
 def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
@@ -411,64 +412,24 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
 
     EOM: a lineage is kept when its stability is at least the best total of its
     descendants; the root is never selected. Leaf: lineages without children.
+    One path for trees of any size and depth: totals by rake and compress, then pointer jumping towards the root.
     """
     if method not in ("eom", "leaf"):
         raise ValueError("cluster_selection_method must be 'eom' or 'leaf'")
     lin = _cut(lineages.select("lin", "parent", "stability"))
-    if lin.count() <= SMALL_TABLE_ROWS:  # checked bound: the whole tree fits one task
-        return _cut(lin.withColumn("__g", F.lit(0)).groupBy("__g").applyInPandas(
-            _select_fn(method), "lin long, selected boolean, sel long"))
-    nchild = lin.where(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("lin")).agg(
-        F.count(F.lit(1)).alias("nch")
-    )
-    nodes = _cut(lin.join(nchild, "lin", "left").withColumn("nch", F.coalesce("nch", F.lit(0))))
     if method == "leaf":
-        done = nodes.select("lin", (F.col("nch") == 0) & F.col("parent").isNotNull()).toDF("lin", "local")
-        done = _cut(done)
+        parents = lin.where("parent IS NOT NULL").select(F.col("parent").alias("lin")).distinct().withColumn("inner", F.lit(True))
+        local = lin.join(parents, "lin", "left").select("lin", "parent", (F.col("parent").isNotNull() & F.col("inner").isNull()).alias("local"))
     else:
-        done = None
-        level = 0
-        while True:
-            pending = nodes if done is None else nodes.join(done.select("lin"), "lin", "left_anti")
-            if pending.limit(1).count() == 0:
-                break
-            ch = done.select(F.col("parent").alias("lin"), "best") if done is not None else None
-            if ch is None:
-                ready = pending.where(F.col("nch") == 0).withColumn("csum", F.lit(0.0)).withColumn("cnt", F.lit(0))
-            else:
-                agg = ch.groupBy("lin").agg(F.sum("best").alias("csum"), F.count(F.lit(1)).alias("cnt"))
-                ready = pending.join(agg, "lin", "left").withColumn("csum", F.coalesce("csum", F.lit(0.0))) \
-                    .withColumn("cnt", F.coalesce("cnt", F.lit(0))).where(F.col("cnt") == F.col("nch"))
-            is_root = F.col("parent").isNull()
-            local = (~is_root) & ((F.col("nch") == 0) | (F.col("stability") >= F.col("csum")))
-            step = ready.select(
-                "lin", "parent", local.alias("local"),
-                F.when(local, F.col("stability")).otherwise(F.col("csum")).alias("best"),
-            )
-            done = step if done is None else done.unionByName(step)
-            level += 1
-            if level % 3 == 0:
-                done = _cut(done)
-        done = done.select("lin", "local")
-    # top-down: a lineage is selected when it is locally best and no ancestor is
-    tree = _cut(nodes.select("lin", "parent").join(done, "lin"))
-    frontier = tree.where(F.col("parent").isNull()).select(
-        "lin", F.col("local").alias("selected"), F.when(F.col("local"), F.col("lin")).alias("sel"),
-        F.col("local").alias("covered"),
-    )
-    acc = _cut(frontier)
-    frontier = acc
-    while frontier.limit(1).count() > 0:
-        kids = tree.join(frontier.select(F.col("lin").alias("parent"), F.col("sel").alias("psel"),
-                                         F.col("covered").alias("pcov")), "parent")
-        sel_here = F.col("local") & ~F.col("pcov")
-        frontier = _cut(kids.select(
-            "lin", sel_here.alias("selected"),
-            F.coalesce(F.col("psel"), F.when(sel_here, F.col("lin"))).alias("sel"),
-            (F.col("pcov") | F.col("local")).alias("covered"),
-        ))
-        acc = acc.unionByName(frontier)
-    return _cut(acc.select("lin", "selected", "sel"))
+        good = F.col("csum").isNull() | (~F.isnan("stability") & (F.col("stability") >= F.col("csum")))
+        local = lin.join(_best_totals(lin), "lin").select("lin", "parent", (F.col("parent").isNotNull() & good).alias("local"))
+    # top: the locally best lineage nearest the root among those passed so far
+    walk = _cut(local.select("lin", F.col("parent").alias("up"), F.when(F.col("local"), F.col("lin")).alias("top")))
+    while not walk.where("up IS NOT NULL").isEmpty():
+        above = walk.select(F.col("lin").alias("u"), F.col("up").alias("u_up"), F.col("top").alias("u_top"))
+        walk = _cut(walk.join(above, F.col("up") == F.col("u"), "left").select(
+            "lin", F.col("u_up").alias("up"), F.coalesce("u_top", "top").alias("top")))
+    return walk.select("lin", F.coalesce(F.col("top") == F.col("lin"), F.lit(False)).alias("selected"), F.col("top").alias("sel"))
 
 
 def cluster_numbering(selection: DataFrame, lineages: DataFrame) -> DataFrame:

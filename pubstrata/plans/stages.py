@@ -185,14 +185,30 @@ def metrics_report(clusters: DataFrame, docs: DataFrame | None = None, bridge: D
 
 
 def interpret_run(spark: SparkSession, root: str, run_id: str, clusters: DataFrame, docs: DataFrame,
-                  bridge: DataFrame, affiliations: DataFrame, model: str | None = None) -> DataFrame:
-    """Annotation requests (JSON lines) and topic metric tables of a stored run; returns the topic table."""
+                  bridge: DataFrame, affiliations: DataFrame, model: str | None = None, answers: str | None = None) -> DataFrame:
+    """The interpret job of a stored run: annotation requests (JSON lines), the two index tables, and the annotations.
+
+    ``answers``: a folder of answer lines (one JSON object per line); they are parsed, and the annotation table, the failed
+    lines and the parse statistics are written. Returns (topic, impact_index, impulse_index, name, description), best impact
+    first, topics without an index or answer with nulls.
+    """
     from pubstrata.operators import annotate as A
     from pubstrata.operators import topics as T
 
+    here = f"{root}/runs/{run_id}"
     best = A.best_pubs(Q.drop_noise(clusters), docs)
     req = A.annotation_requests(A.annotation_prompts(best), **({"model": model} if model else {}))
-    A.request_lines(req).write.mode("overwrite").text(f"{root}/runs/{run_id}/requests")
-    tm = T.topic_metrics(clusters, docs, bridge, affiliations)
-    tm.write.mode("overwrite").parquet(f"{root}/runs/{run_id}/topic_metrics")
-    return spark.read.parquet(f"{root}/runs/{run_id}/topic_metrics")
+    A.request_lines(req).write.mode("overwrite").text(f"{here}/requests")
+    T.impact_suite(clusters, docs).write.mode("overwrite").parquet(f"{here}/impact_index")
+    T.impulse_suite(clusters, docs, bridge, affiliations).write.mode("overwrite").parquet(f"{here}/impulse_index")
+    names = spark.createDataFrame([], "topic int, name string, description string")
+    if answers is not None:
+        lines = A.read_lines(spark, answers)
+        parsed = cut_lineage(A.parse_responses(lines), "answers")
+        A.annotations(parsed).write.mode("overwrite").parquet(f"{here}/annotations")
+        parsed.where("outcome = 'failed'").select("custom_id", "line_no", "error", "details").write.mode("overwrite").parquet(f"{here}/failed_answers")
+        A.parse_stats(lines, parsed).write.mode("overwrite").parquet(f"{here}/parse_stats")
+        names = spark.read.parquet(f"{here}/annotations")
+    index = spark.read.parquet(f"{here}/impact_index").withColumnRenamed("metric", "impact_index").join(
+        spark.read.parquet(f"{here}/impulse_index").withColumnRenamed("metric", "impulse_index"), "topic", "full")
+    return index.join(names, "topic", "full").orderBy(F.col("impact_index").desc_nulls_last(), "topic")

@@ -191,16 +191,50 @@ def test_blobs_recovered(spark):
     assert same_partition(pred[core], truth[core])
 
 
-def test_distributed_paths_equal_small_paths(spark, monkeypatch):
-    """Force the level-wise selection and distributed pointer jumping (bound 0)."""
-    X = _data(4)
-    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id long, embedding array<double>")
-    small = {r.id: (r.topic, r.probability) for r in D.hdbscan(df, min_cluster_size=8, min_samples=4).collect()}
-    monkeypatch.setattr(D, "SMALL_TABLE_ROWS", 0)
-    big = {r.id: (r.topic, r.probability) for r in D.hdbscan(df, min_cluster_size=8, min_samples=4).collect()}
-    ids = sorted(small)
-    assert same_partition(np.array([small[i][0] for i in ids]), np.array([big[i][0] for i in ids]))
-    assert all(small[i][1] == big[i][1] for i in ids)
+def _plain_selection(parent, stab, method):
+    """Children before parents, then parents before children."""
+    kids = {x: [y for y in parent if parent[y] == x] for x in parent}
+    order, stack = [], [x for x in parent if parent[x] is None]
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        stack += kids[x]
+    best, local = {}, {}
+    for x in reversed(order):
+        total = sum(best[k] for k in kids[x])
+        good = not kids[x] or (stab[x] >= total and method == "eom")
+        local[x] = parent[x] is not None and good
+        best[x] = stab[x] if local[x] else total
+    sel = {}
+    for x in order:
+        above = sel.get(parent[x])
+        sel[x] = above if above is not None else x if local[x] else None
+    return {x: (sel[x] == x, sel[x]) for x in parent}
+
+
+@pytest.mark.parametrize("method", ["eom", "leaf"])
+def test_selection_by_rake_and_compress_equals_a_plain_walk(spark, method, monkeypatch):
+    rng = np.random.default_rng(6)
+    trees = {"chain": [None] + list(range(63)), "caterpillar": [None] + [2 * ((i - 1) // 2) for i in range(1, 60)],
+             "random": [None] + [int(rng.integers(0, i)) for i in range(1, 50)], "star": [None] + [0] * 30, "one": [None]}
+    parent, stab = {}, {}
+    for t, up in enumerate(trees.values()):  # a forest: every tree with its own root
+        for i, p in enumerate(up):
+            parent[1000 * t + i] = None if p is None else 1000 * t + p
+            stab[1000 * t + i] = float(rng.integers(0, 6)) * (1.0 if t else 2.0 ** -(i // 8))
+    stab[1007] = float("inf")
+    rounds = []
+    cut = D._cut
+    monkeypatch.setattr(D, "_cut", lambda df: rounds.append(1) or cut(df))
+    df = spark.createDataFrame([(x, parent[x], stab[x]) for x in parent], "lin long, parent long, stability double")
+    got = {r.lin: (r.selected, r.sel) for r in D.select_clusters(df, method).collect()}
+    assert got == _plain_selection(parent, stab, method)
+    assert len(rounds) < 30  # a chain of 64 lineages in far fewer rounds than levels
+
+
+def test_undefined_stability_never_beats_the_children(spark):
+    df = spark.createDataFrame([(0, None, 0.0), (1, 0, float("nan")), (2, 1, 1.0), (3, 1, 2.0)], "lin long, parent long, stability double")
+    assert {r.lin: r.sel for r in D.select_clusters(df).collect()} == {0: None, 1: None, 2: 2, 3: 3}
 
 
 def test_membership_vectors(spark):
