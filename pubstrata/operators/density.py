@@ -40,6 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pubstrata.deploy import ship_package
 from pubstrata.operators.neighbors import core_distances, knn
 from pubstrata.session import cut_lineage
 
@@ -122,6 +123,7 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
     (query points x all points in bounded block pairs); without kNN lists all
     points do.
     """
+    ship_package(points.sparkSession)
     base = points.select(F.col("id").cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).join(
         core.select("id", F.col("core_distance").alias("core")), "id"
     )
@@ -304,6 +306,7 @@ class Hierarchy:
 def build_hierarchy(mst: DataFrame, ids: DataFrame, min_cluster_size: int, chunk_edges: int = 200_000) -> Hierarchy:
     """Single-linkage merges, point fall-outs and condensed-tree lineages from the tree edges."""
     spark = mst.sparkSession
+    ship_package(spark)
     n_edges = mst.count()
     n_chunks = max(1, math.ceil(n_edges / chunk_edges))
     edges = _cut(mst.repartitionByRange(n_chunks, "w", "lo", "hi").withColumn("chunk", F.spark_partition_id()))

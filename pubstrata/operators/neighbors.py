@@ -3,8 +3,8 @@
 ``knn`` is a blocked self-join. Vectors are hashed into ``nb`` blocks of about
 ``block_rows`` rows; every unordered block pair (i <= j) becomes one group that
 holds at most 2 * block_rows vectors. Inside the group NumPy computes the
-distance matrix and keeps, per row, the candidates within its k-th smallest
-distance (ties kept, so the final cut is exact). Only those candidates are
+distance matrix and keeps each row's k nearest by (distance, id), which is the
+order of the final cut: copies of one vector, however many, add k rows each. Only those candidates are
 shuffled; the final top-k per point is a ``row_number`` window partitioned by
 point id (k * nb candidates per point). No group ever holds all vectors and no
 group emits all of its pairs.
@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pubstrata.deploy import ship_package
+
 METRICS = ("cosine", "euclidean")
 
 
@@ -34,14 +36,23 @@ def _distances(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0.0))
 
 
-def _within_kth(dist: np.ndarray, k: int):
-    """(row, col) of the entries within each row's k-th smallest value (ties kept)."""
-    m = dist.shape[1]
+def _nearest(dist: np.ndarray, ids: np.ndarray, k: int):
+    """(row, col) of each row's k smallest entries by (distance, id): k a row at most, also where very many tie."""
+    n, m = dist.shape
     if m == 0 or k <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    kk = min(k, m)
-    kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
-    return np.nonzero(dist <= kth[:, None])
+    if m <= k:
+        return np.divmod(np.arange(n * m), m)
+    kth = np.partition(dist, k - 1, axis=1)[:, k - 1]
+    within = dist <= kth[:, None]
+    crowded = np.flatnonzero(within.sum(axis=1) > k)
+    if len(crowded):
+        by_id = np.argsort(ids, kind="stable")
+        for r in crowded:
+            order = by_id[np.argsort(dist[r, by_id], kind="stable")[:k]]
+            within[r] = False
+            within[r, order] = True
+    return np.nonzero(within)
 
 
 def _block_fn(k: int, metric: str, include_self: bool):
@@ -57,7 +68,7 @@ def _block_fn(k: int, metric: str, include_self: bool):
             d = _distances(xl, xl, metric)
             if not include_self:
                 np.fill_diagonal(d, np.inf)
-            r, c = _within_kth(d, k)
+            r, c = _nearest(d, ids_l, k)
             keep = np.isfinite(d[r, c])
             outs.append((ids_l[r[keep]], ids_l[c[keep]], d[r[keep], c[keep]]))
         else:
@@ -67,9 +78,9 @@ def _block_fn(k: int, metric: str, include_self: bool):
             ids_r = right["id"].to_numpy(np.int64)
             xr = np.vstack(right["v"].to_numpy()).astype(np.float64)
             d = _distances(xl, xr, metric)
-            r, c = _within_kth(d, k)
+            r, c = _nearest(d, ids_r, k)
             outs.append((ids_l[r], ids_r[c], d[r, c]))
-            r, c = _within_kth(d.T, k)
+            r, c = _nearest(d.T, ids_l, k)
             outs.append((ids_r[r], ids_l[c], d.T[r, c]))
         return pd.DataFrame({
             "id": np.concatenate([o[0] for o in outs]),
@@ -89,6 +100,7 @@ def knn(vectors: DataFrame, k: int = 50, metric: str = "cosine", id_col: str = "
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    ship_package(vectors.sparkSession)
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     n = v.count()  # loop-control count: sizes the block grid
     nb = max(1, math.ceil(n / block_rows), min(min_blocks, n))

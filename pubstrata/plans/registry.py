@@ -380,13 +380,14 @@ register("annotation_requests")(lambda s, d: A.request_lines(A.annotation_reques
 
 
 def _parsed(spark, d):
-    lines = A.echo_responses(A.annotation_requests(A.annotation_prompts(_best(spark, d))))
+    lines = FX.answer_lines(spark, d)
     return lines, A.parse_responses(lines)
 
 
-register("parse_responses")(lambda s, d: _parsed(s, d)[1])
-register("parse_stats")(lambda s, d: A.parse_stats(*_parsed(s, d)))
-register("annotations")(lambda s, d: A.annotations(_parsed(s, d)[1]))
+register("parse_responses", O.parse_responses_sql())(
+    lambda s, d: _parsed(s, d)[1].withColumn("topic_id", F.col("topic_id").cast("string")))
+register("parse_stats", O.parse_stats_sql())(lambda s, d: A.parse_stats(*_parsed(s, d)))
+register("annotations", O.annotations_sql())(lambda s, d: A.annotations(_parsed(s, d)[1]))
 
 
 # ---- density clustering (C7a-g) -----------------------------------------------------------
@@ -540,7 +541,9 @@ def _list_runs(spark, d):
 def _interpret_run(spark, d):
     r = _run(spark, d)
     p = _pubs(spark, d)
-    return ST.interpret_run(spark, _scratch(spark, d, "runs"), r.run_id, r.clusters, p.docs, p.bridge, p.affiliations)
+    answers = _fresh(spark, d, "answers")
+    FX.answer_lines(spark, d).select("value").write.text(answers)
+    return ST.interpret_run(spark, _scratch(spark, d, "runs"), r.run_id, r.clusters, p.docs, p.bridge, p.affiliations, answers=answers)
 
 
 @register("membership_full")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -111,6 +111,36 @@ def text_docs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_no, value): a line per document, of every kind an answer file may hold.
+
+    By doc_id % 8: 0, 1 an answer; 2 its topic id as text; 3 no description; 4 HTTP 429; 5 not JSON; 6 no choices; 7 blank.
+    Lines are numbered by doc_id + 1; the custom id and topic are doc_id % 50, the name is the text's first 40 characters.
+    """
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    kind, topic = F.col("doc_id") % 8, F.col("doc_id") % 50
+    name, custom = F.substring("text", 1, 40), topic.cast("string").alias("custom_id")
+
+    def line(response) -> Column:
+        return F.to_json(F.struct(custom, response.alias("response")))
+
+    def answer(content) -> Column:
+        return line(F.struct(F.lit(200).alias("status_code"), F.struct(
+            F.array(F.struct(F.struct(F.to_json(content).alias("content")).alias("message"))).alias("choices")).alias("body")))
+
+    full = [name.alias("name"), F.col("lang").alias("description")]
+    value = (
+        F.when(kind < 2, answer(F.struct(topic.alias("topic_id"), *full)))
+        .when(kind == 2, answer(F.struct(topic.cast("string").alias("topic_id"), *full)))
+        .when(kind == 3, answer(F.struct(topic.alias("topic_id"), full[0])))
+        .when(kind == 4, line(F.struct(F.lit(429).alias("status_code"), F.struct(F.struct(F.lit("rate").alias("message")).alias("error")).alias("body"))))
+        .when(kind == 5, F.concat(F.lit("garbled "), F.col("doc_id").cast("string")))
+        .when(kind == 6, line(F.struct(F.lit(200).alias("status_code"), F.struct(F.array().cast("array<string>").alias("choices")).alias("body"))))
+        .otherwise(F.lit(" "))
+    )
+    return d.select((F.col("doc_id") + 1).alias("line_no"), value.alias("value"))
+
+
 def vectors_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding table (id, embedding, label) from the driver's ``embeddings``."""
     e = _read(spark, sf_dir, "embeddings")

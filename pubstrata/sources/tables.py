@@ -6,6 +6,9 @@ columns and receives pushed-down filters.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,8 +63,9 @@ def load_embeddings(spark: SparkSession, path: str, id_col: str = "eid", emb_col
 def save_table(df: DataFrame, name: str, database: str | None = None, path: str | None = None) -> None:
     """Create-or-replace a catalog table (``database.table``), creating the database if needed.
 
-    With ``path`` the table's files live there (shared storage) instead of the
-    session's warehouse folder.
+    The rows are written to a folder of their own below ``path`` (by default below the database's location) and only
+    then does the catalog point there, in one step where the schema stays: a reader sees the old rows or the new ones, and a
+    failed write changes nothing. A table that is replaced keeps its last folder for readers that began before; older ones go.
     """
     spark = df.sparkSession
     if database is None and "." in name:
@@ -70,16 +74,26 @@ def save_table(df: DataFrame, name: str, database: str | None = None, path: str
     def q(x):
         return "`" + x.replace("`", "``") + "`"
 
+    def text(x):
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     if database:
-        loc = ""
-        if path:  # keep the database folder on the same shared storage as the table
-            loc = " LOCATION '" + path.rstrip("/").rsplit("/", 1)[0].replace("'", "\\'") + "/_databases/" + database + "'"
+        # keep the database folder on the same shared storage as the table
+        loc = " LOCATION " + text(path.rstrip("/").rsplit("/", 1)[0] + "/_databases/" + database) if path else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)}{loc}")
-        full = f"{q(database)}.{q(name)}"
+    full = f"{q(database)}.{q(name)}" if database else q(name)
+    base = (path or spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri + "/" + name).rstrip("/")
+    version = f"{base}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version)
+    new = spark.read.parquet(version).schema
+    if spark.catalog.tableExists(full) and spark.table(full).schema == new:
+        spark.sql(f"ALTER TABLE {full} SET LOCATION {text(version)}")
+        spark.catalog.refreshTable(full)
     else:
-        full = q(name)
-    w = df.write.mode("overwrite")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(full)
-
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.catalog.createTable(full, path=version, source="parquet", schema=new)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = sorted((s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("version-")), key=lambda p: p.getName())
+    for old in versions[:-2]:
+        fs.delete(old, True)

@@ -57,3 +57,42 @@ def test_read_source_formats(spark):
     assert S.read_source(spark, path, columns=["id", "x"]).columns == ["id", "x"]
     df.createOrReplaceTempView("src_view")
     assert S.read_source(spark, "src_view", fmt="table").count() == 1
+
+
+def test_replaced_table_is_never_missing(spark):
+    """While the new rows are written the name gives the old ones; a failed write changes nothing; a new schema replaces the old."""
+    from pyspark.sql import functions as F
+
+    path, name = shared_dir(spark, "test-tables", uuid.uuid4().hex, "t"), f"test_db.t{uuid.uuid4().hex}"
+    S.save_table(spark.range(3), name, path=path)
+    assert spark.table(name).count() == 3
+    seen = []
+    during = spark.range(5).select(F.when(F.lit(True), F.col("id")).alias("id"))
+    old = spark.table(name)
+    S.save_table(during, name, path=path)
+    seen.append(old.count())  # a reader that began before
+    assert seen == [3] and spark.table(name).count() == 5
+    with pytest.raises(Exception):
+        S.save_table(spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id")), name, path=path)
+    assert spark.table(name).count() == 5
+    S.save_table(spark.range(2).withColumn("x", F.lit("a")), name, path=path)
+    assert spark.table(name).columns == ["id", "x"] and spark.table(name).count() == 2
+
+
+def test_nearest_neighbours_of_very_many_copies(spark):
+    """A third of all vectors are copies: k rows each leave a block, ties go to the smaller id."""
+    import numpy as np
+
+    from pubstrata.operators import neighbors as N
+
+    rng = np.random.default_rng(1)
+    x = np.vstack([np.tile([1.0, 0.0], (60, 1)), rng.normal(size=(120, 2))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>")
+    got = {}
+    for r in N.knn(df, 3, "euclidean", block_rows=20).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbor))
+    for i in range(60):
+        assert [n for _, n in sorted(got[i])] == [j for j in range(4) if j != i][:3]
+    d = np.zeros((5, 50))
+    rows, cols = N._nearest(d, np.arange(50)[::-1], 3)
+    assert len(rows) == 15 and set(cols) == {47, 48, 49}
