@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import (ASCII_LOWER, Scratch, components, map_frames, packed, read_table, rows_of, ship_package, small, unpacked)
+from pubstrata.llm.common import (ASCII_LOWER, LOWER, UPPER, Scratch, components, map_frames, packed, read_table, rows_of, ship_package, small, unpacked)
 from pubstrata.llm.shingles import scramble, shingle_set
 
 HALVES, ROWS = 8, 2
@@ -304,3 +304,16 @@ def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: near-duplicate components of ``documents``."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS sh FROM d),
+  n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+  pair AS (SELECT a.rid AS x, b.rid AS y, count(*) AS shared FROM s a JOIN s b USING (sh) GROUP BY a.rid, b.rid),
+  link AS (SELECT x, y FROM pair JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * shared >= {PERCENT} * (a.n + b.n - shared)),
+  reach AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+  c AS (SELECT x AS rid, min(doc_id) AS least FROM reach JOIN d ON d.rid = y GROUP BY x)
+  SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id, doc_id IS NOT DISTINCT FROM coalesce(least, doc_id) AS kept
+  FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)"""

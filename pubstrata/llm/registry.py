@@ -24,6 +24,8 @@ ORACLE = {
     "op1_secret_scan": secrets.ORACLE,
     "op2_mix": mixing.ORACLE,
     "op4_topk": exact_topk.ORACLE,
+    "op7_near_dedup": near_dedup.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
     "op11_chat_format": chat_format.ORACLE,
     "op13_turn_repair": turn_repair.ORACLE,
 }

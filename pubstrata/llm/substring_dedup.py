@@ -166,3 +166,15 @@ def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: repeated passages of ``documents``."""
     out = dedup_substrings(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+_W = f"(i + {WINDOW - 1})"
+ORACLE = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  s AS (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW}),
+  k AS (SELECT rid, i, array_to_string(list_slice(w, i, {_W}), ' ') AS words FROM s),
+  again AS (SELECT words FROM k GROUP BY words HAVING count(*) > 1),
+  gone AS (SELECT DISTINCT rid, unnest(range(i, i + {WINDOW})) AS j FROM k JOIN again USING (words)),
+  x AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+  kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS words FROM x ANTI JOIN gone USING (rid, j) GROUP BY rid)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+  FROM d LEFT JOIN kept USING (rid)"""
