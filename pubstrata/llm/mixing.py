@@ -207,7 +207,7 @@ def _oracle() -> str:
     lev AS (SELECT a.source, CAST(a.total - coalesce(sum(b.cap) FILTER (WHERE (b.cap::DOUBLE / b.w, b.source IS NULL, coalesce(b.source, '')) < (a.cap::DOUBLE / a.w, a.source IS NULL, coalesce(a.source, ''))), 0) AS DOUBLE)
               / CAST(sum(b.w) FILTER (WHERE (b.cap::DOUBLE / b.w, b.source IS NULL, coalesce(b.source, '')) >= (a.cap::DOUBLE / a.w, a.source IS NULL, coalesce(a.source, ''))) AS DOUBLE) AS level, a.w, a.cap
             FROM c a, c b GROUP BY a.source, a.total, a.w, a.cap),
-    lam AS (SELECT level AS lam FROM lev WHERE w * level <= cap ORDER BY cap::DOUBLE / w LIMIT 1),
+    lam AS (SELECT level AS lam FROM lev WHERE w * level <= cap ORDER BY cap::DOUBLE / w, source IS NULL, source LIMIT 1),
     t AS (SELECT c.source, source_size, klass, CASE WHEN CAST(w AS DOUBLE) * lam > cap THEN CAST(cap AS DOUBLE) ELSE CAST(w AS DOUBLE) * lam END AS target FROM c, lam),
     o AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_key)
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin FROM d),
