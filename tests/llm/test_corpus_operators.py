@@ -148,6 +148,52 @@ def test_quality_features(spark, odd_docs):
     assert quality_rules.keep_good(odd_docs, labels).columns == odd_docs.columns
 
 
+def brute_scores(texts, good, buckets):
+    """Scores by plain counting over words and word pairs hashed alike (hashes are Spark's, given by ``texts``)."""
+    raw, trusted = collections.Counter(), collections.Counter()
+    for grams, g in zip(texts, good):
+        raw.update(h % buckets for h in grams)
+        if g:
+            trusted.update(h % buckets for h in grams)
+    share = sum(trusted.values()) / sum(raw.values())
+    ratio = {b: round(np.log((trusted[b] + 16.0) / (n * share + 16.0)) * 2**20) for b, n in raw.items()}
+    return [sum(ratio[h % buckets] for h in grams) / len(grams) / 2**20 if grams else 0.0 for grams in texts]
+
+
+def test_quality_scores_equal_brute_force_on_both_joins(spark, odd_docs, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (9, 1), (2, 0), (None, 1), (7, None)], "doc_id long, quality int")
+    docs = odd_docs.select("doc_id", "text")
+    found = docs.select("doc_id", "text", quality_rules.words(F.col("text")).alias("w"))
+    found = quality_rules.with_hashes(found).select("doc_id", F.concat("h1", "h2").alias("h")).collect()
+    scores = brute_scores([r.h for r in found], [r.doc_id in (1, 9) for r in found], 1 << 14)
+    want = sorted((str(r.doc_id), s) for r, s in zip(found, scores))
+    got = {}
+    for limit in (32 << 20, 0):
+        monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", limit)
+        got[limit] = sorted((str(r.doc_id), r.score) for r in quality_rules.verdicts(docs, labels).collect())
+    assert got[0] == got[32 << 20] and [i for i, _ in got[0]] == [i for i, _ in want]
+    assert [s for _, s in got[0]] == pytest.approx([s for _, s in want], abs=1e-5)
+
+
+def test_cutoff_loses_least_and_stays_below_its_bound(spark):
+    def cutoff(rows, labels):
+        scored = spark.createDataFrame(rows, "doc_id long, score double, base_failed boolean")
+        best = spark.createDataFrame(labels, "t_id long, quality int")
+        return quality_rules.choose_cutoff(scored, best)
+
+    rows = [(i, -0.3 - i / 1000, False) for i in range(5)] + [(i, 0.0, False) for i in range(5, 10)] + [(10, -5.0, True)]
+    assert cutoff(rows, [(i, int(i >= 5)) for i in range(10)]) == pytest.approx(-0.299, abs=2e-3)
+    assert cutoff(rows, [(i, int(i < 5)) for i in range(10)]) == -1000
+    assert cutoff(rows, [(10, 0)]) == cutoff(rows, []) == -1000
+    near = [(i, -0.01, False) for i in range(5)] + [(i, 0.1, False) for i in range(5, 10)]
+    assert cutoff(near, [(i, int(i >= 5)) for i in range(10)]) <= quality_rules.MAX_CUTOFF
+
+
+def test_buckets_grow_with_the_text():
+    sizes = [quality_rules.buckets_for(n) for n in (0, 1, 10**6, 10**9, 10**12, 10**14)]
+    assert sizes == sorted(sizes) and sizes[:3] == [1 << 14] * 3 and sizes[3] == 1 << 20 and sizes[4] > 10**7
+
+
 def test_quality_keeps_good_and_drops_bad_labels(spark, sf):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     got = [(labels[r.doc_id], r.kept) for r in quality_rules.op3_quality_rules(spark, sf).collect() if r.doc_id in labels and not r.base_failed]
