@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubstrata.llm.common import Scratch, packed, read_table, rows_of, small, words
+from pubstrata.llm.common import Scratch, packed, read_table, rows_of, small
 
 #: weights by the source's rank, repeating
 WEIGHTS = (1, 2, 3)
@@ -99,11 +99,13 @@ def size_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_epochs: int = MAX_EPOCHS, seed: str = SEED, whole: bool = False) -> DataFrame:
     """One row per document, without its text: doc_id, source, text_key, size, source_size, target, taken, position.
 
     ``taken`` counts words: whole passes over the document, and in the source's last
-    pass the words up to its target (the one document on the edge is cut there).
+    pass the words up to its target (the one document on the edge is cut there). With
+    ``whole`` that document is taken whole if half of it or more lies before the target, else not,
+    so that a source's words miss its target by half a document at most.
     ``position`` is the training time of the document's first copy.
     """
     scratch = Scratch(docs.sparkSession, "mix")
@@ -125,7 +127,10 @@ def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_epochs: int
     want = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(want / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = want - passes * F.col("source_size")
-    taken = passes * F.col("size") + F.least(F.greatest(rest - begin, F.lit(0)), F.col("size"))
+    last = F.least(F.greatest(rest - begin, F.lit(0)), F.col("size"))
+    if whole:
+        last = F.when(2 * last >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+    taken = passes * F.col("size") + last
     d = d.withColumn("begin", begin).withColumn("taken", taken.cast("long"))
     share = F.col("begin").cast("double") / F.greatest(F.col("target"), F.lit(1.0))
     d = d.withColumn("position", F.when(F.col("taken") > 0, place(share, schedules)))
@@ -143,12 +148,11 @@ def place(share: Column, schedules) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The training stream: the documents' columns, one row per copy, range-sorted by training time.
 
-    The copy that a source's target cuts keeps its first words up to the cut, and its
-    ``n_chars`` follows. Copies of documents that the mix does not take are absent.
+    Documents are whole (``plan`` with ``whole``). Copies of documents that the mix does not take are absent.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixed")
-    p = plan(rows_of(docs, "doc_id", "text", "source"), weights, schedules, max_epochs, seed)
+    p = plan(rows_of(docs, "doc_id", "text", "source"), weights, schedules, max_epochs, seed, whole=True)
     p = p.where("taken > 0").select(
         "klass", "size", "source_size", "target", "begin", "taken", F.col("doc_id").alias("p_id"),
         F.col("source").alias("p_source"), F.col("text_key").alias("p_key"))
@@ -162,24 +166,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_epochs: int =
     else:
         row = Window.partitionBy("row_.doc_id", "row_.source", "key_").orderBy(F.xxhash64("row_"))
         joined = base.withColumn("no_", F.row_number().over(row)).join(p, [*same, F.col("no_") == F.col("p_no")])
-    last = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    copies = joined.withColumn("pass_", F.explode(F.sequence(F.lit(1), last)))
+    passes = F.expr("taken DIV size").cast("int")
+    copies = joined.withColumn("pass_", F.explode(F.sequence(F.lit(1), passes)))
     share = (F.col("begin") + (F.col("pass_") - 1) * F.col("source_size")).cast("double") / F.greatest(F.col("target"), F.lit(1.0))
-    copies = copies.withColumn("at_", place(share, schedules)).withColumn(
-        "keep_", F.least(F.col("size"), F.col("taken") - (F.col("pass_") - 1) * F.col("size")))
-    head = F.array_join(F.slice(words(F.col("row_.text")), F.lit(1), F.col("keep_").cast("int")), " ")
-    cut = F.col("keep_") < F.col("size")
-    cols = []
-    for c in docs.columns:
-        v = F.col("row_").getField(c)
-        if c == "text":
-            v = F.when(cut, head).otherwise(v)
-        elif c == "n_chars":
-            v = F.when(cut, F.length(head).cast("long")).otherwise(v)
-        cols.append(v.alias(c))
+    copies = copies.withColumn("at_", place(share, schedules))
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = copies.repartitionByRange(n, "at_", "row_.source", "row_.doc_id", "pass_")
-    return ordered.sortWithinPartitions("at_", "row_.source", "row_.doc_id", "pass_").select(*cols)
+    return ordered.sortWithinPartitions("at_", "row_.source", "row_.doc_id", "pass_").select("row_.*")
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:

@@ -104,10 +104,20 @@ def test_mix_takes_the_targets(odd_docs):
     for s, t in target.items():
         assert abs(taken[s] - t) <= 1
     assert sorted(map(str, p)) == sorted(map(str, rows(mixing.plan(odd_docs))))
+    whole = rows(mixing.plan(odd_docs, whole=True))
+    taken, largest = collections.Counter(), collections.Counter()
+    for r in whole:
+        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        taken[r["source"]] += r["taken"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= largest[s] / 2 + 1
     mixed = mixing.mix(odd_docs)
     assert mixed.columns == odd_docs.columns
     words = collections.Counter()
+    texts = {r.text for r in odd_docs.collect()}
     for r in rows(mixed):
+        assert r["text"] in texts
         words[r["source"]] += len(WORD.findall(r["text"] or ""))
     assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
 
