@@ -12,12 +12,13 @@ Steps (Campello, Moulavi, Sander 2013; McInnes, Healy 2017):
    per component, which hooks components together, and pointer jumping
    relabels them. Ties are broken by (weight, smaller id, larger id),
    which keeps the chosen edges a forest;
-3. the cluster hierarchy from the tree edges in increasing weight. Edges are
-   range-partitioned by weight into chunks of bounded size; chunk after chunk,
-   one task runs union-find over the *component representatives* its edges
-   touch (never over all points) and emits merge events, the points that
-   fall out of a cluster (per representative) and finished cluster lineages
-   with their stability sums. A lineage is a condensed-tree cluster: it is
+3. the cluster hierarchy from the tree edges in increasing weight, cut into
+   ranges of bounded size. Ranges are split in halves level by level: the
+   heavy half works on the components of the light half, so after log2(ranges)
+   levels all ranges are independent and one job runs union-find over the
+   component representatives of each. It emits merge events, the points that
+   fall out of a cluster (per representative) and each range's shares in the
+   stability sums of cluster lineages. A lineage is a condensed-tree cluster: it is
    born when two components of at least ``min_cluster_size`` merge (top-down:
    a true split) or when two small ones form a large one, absorbs small
    components (top-down: points falling out) and ends when it meets another
@@ -200,168 +201,183 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, vec_col: str = "
     return out
 
 
-# --- hierarchy: chunked union-find over component representatives ---------------------------
+# --- hierarchy: weight ranges split in halves, then all ranges at once ------------------------
 
 _CHUNK_SCHEMA = (
-    "kind int, rep long, rep2 long, lin long, parent long, size long, size2 long, acc double, lam double, lam2 double"
+    "kind int, chunk int, eid long, rep long, lo long, hi long, ptr long, parent long, size long, size2 long, x double, lam double"
 )
-K_STATE, K_REMAP, K_FALL, K_LINEAGE, K_MERGE = 1, 2, 3, 4, 5
+_CHUNK_COLS = [c.split()[0] for c in _CHUNK_SCHEMA.split(", ")]
+K_MERGE, K_FALL, K_SHARE, K_END, K_TOP = 1, 2, 3, 4, 5
 
 
 def _chunk_fn(min_cluster_size: int):
+    """Union-find over one weight range.
+
+    An edge brings its ends as they are when the range begins: representative, size and heaviest edge inside. A large
+    representative's lineage is not known here; the number of its heaviest edge stands for it until the ranges are linked.
+    """
     mcs = int(min_cluster_size)
 
-    def run(key, pdf):
-        chunk = int(key[0])
-        st = pdf[pdf["kind"] == K_STATE]
-        ed = pdf[pdf["kind"] == 0].sort_values(["lam", "rep", "rep2"], kind="stable")  # lam holds w here
-        size, lin, acc, lamf = {}, {}, {}, {}
-        for r in st.itertuples(index=False):
-            size[r.rep] = int(r.size)
-            lin[r.rep] = None if pd.isna(r.lin) else int(r.lin)
-            acc[r.rep] = float(r.acc)
-            lamf[r.rep] = None if pd.isna(r.lam) else float(r.lam)
-        parent: dict[int, int] = {}
-        members: dict[int, list[int]] = {}
-        seen: set[int] = set()
+    def run(pdf):
+        pdf = pdf.sort_values("eid", kind="stable")
+        chunk = int(pdf["chunk"].iloc[0])
+        ids = {c: pdf[c].to_numpy(np.int64).tolist() for c in ("eid", "lo", "hi", "a", "b", "size_a", "size_b")}
+        tops = [[None if pd.isna(t) else int(t) for t in pdf[c]] for c in ("top_a", "top_b")]
+        size, lin, last, parent, members = {}, {}, {}, {}, {}
+        share: dict[int, list] = {}  # lineage -> [sum of size * lambda, size, lambda at its formation]
+        out = []
+
+        def row(kind, eid=None, rep=None, lo=None, hi=None, ptr=None, up=None, n=None, n2=None, x=None, lam=None):
+            out.append((kind, chunk, eid, rep, lo, hi, ptr, up, n, n2, x, lam))
 
         def find(x):
             root = x
-            while parent.get(root, root) != root:
+            while parent[root] != root:
                 root = parent[root]
-            while parent.get(x, x) != root:
+            while parent[x] != root:
                 parent[x], x = root, parent[x]
             return root
 
-        out = []
-        for idx, e in enumerate(ed.itertuples(index=False)):
-            a, b, w = int(e.size), int(e.size2), float(e.lam)  # start reps of both endpoints
-            for s in (a, b):
-                if s not in seen:  # first time this start representative appears in the chunk
-                    seen.add(s)
-                    members[s] = [s]
-                    size.setdefault(s, 1)
-                    lin.setdefault(s, None)
-                    acc.setdefault(s, 0.0)
-                    lamf.setdefault(s, None)
+        for e, lo, hi, a, b, na, nb, ta, tb, w in zip(*ids.values(), *tops, pdf["w"].to_numpy(np.float64).tolist()):
+            for r, n, t in ((a, na, ta), (b, nb, tb)):
+                if r not in parent:
+                    parent[r], size[r], members[r], last[r] = r, n, [r], t
+                    lin[r] = t if n >= mcs else None
             ra, rb = find(a), find(b)
-            if ra == rb:
-                continue
             lam = math.inf if w <= 0 else 1.0 / w
             sa, sb = size[ra], size[rb]
-            out.append((K_MERGE, int(e.rep), int(e.rep2), None, None, sa, sb, None, w, None))
-            keep, gone = (ra, rb) if (sa, -ra) >= (sb, -rb) else (rb, ra)
-            big_a, big_b = sa >= mcs, sb >= mcs
-            eid = (chunk << 32) | idx
-            if big_a and big_b:
-                for r in (ra, rb):
-                    out.append((K_LINEAGE, None, None, lin[r], eid, size[r], None, acc[r], lamf[r], lam))
-                lin[keep], acc[keep], lamf[keep] = eid, (sa + sb) * lam, lam
-            elif not big_a and not big_b:
-                if sa + sb >= mcs:
-                    for r in (ra, rb):
-                        for s in members[r]:
-                            out.append((K_FALL, s, None, eid, None, None, None, None, lam, None))
-                    lin[keep], acc[keep], lamf[keep] = eid, (sa + sb) * lam, lam
-                else:
-                    lin[keep] = None
+            row(K_MERGE, eid=e, lo=lo, hi=hi, n=sa, n2=sb, x=w)
+            big = [r for r in (ra, rb) if size[r] >= mcs]
+            small = [r for r in (ra, rb) if size[r] < mcs]
+            if len(big) == 1:
+                now = lin[big[0]]
+                old = share.setdefault(now, [0.0, 0, None])
+                old[0] += size[small[0]] * lam
+                old[1] = sa + sb
+            elif big or sa + sb >= mcs:
+                for r in big:
+                    row(K_END, ptr=lin[r], up=e, n=size[r], lam=lam)
+                now = e
+                share[e] = [(sa + sb) * lam, sa + sb, lam]
             else:
-                big, small = (ra, rb) if big_a else (rb, ra)
-                for s in members[small]:
-                    out.append((K_FALL, s, None, lin[big], None, None, None, None, lam, None))
-                lin[keep], acc[keep], lamf[keep] = lin[big], acc[big] + size[small] * lam, lamf[big]
-            size[keep] = sa + sb
-            long, short = members[keep], members[gone]
-            if len(long) < len(short):
-                long, short = short, long
-            long.extend(short)
-            members[keep] = long
+                now = None
+            if now is not None:
+                for r in small:
+                    for m in members[r]:
+                        row(K_FALL, rep=m, ptr=now, lam=lam)
+            keep, gone = (ra, rb) if len(members[ra]) >= len(members[rb]) else (rb, ra)
+            # the members of a large component have fallen already
+            members[keep] = [] if now is not None else members[keep] + members[gone]
+            members.pop(gone)
             parent[gone] = keep
-            members.pop(gone, None)
-        for s in seen:
-            r = find(s)
-            if r != s:
-                out.append((K_REMAP, s, r, None, None, None, None, None, None, None))
+            size[keep], lin[keep], last[keep] = sa + sb, now, e
         for r in members:
-            out.append((K_STATE, r, None, lin[r], None, size[r], None, acc[r], lamf[r], None))
-        cols = ["kind", "rep", "rep2", "lin", "parent", "size", "size2", "acc", "lam", "lam2"]
-        df = pd.DataFrame(out, columns=cols)
-        for c in ("rep", "rep2", "lin", "parent", "size", "size2"):
-            df[c] = df[c].astype("Int64")
-        for c in ("acc", "lam", "lam2"):
+            if lin[r] is not None:
+                row(K_TOP, eid=last[r], ptr=lin[r])
+        for ptr, (x, n, lam) in share.items():
+            row(K_SHARE, ptr=ptr, n=n, x=x, lam=lam)
+        df = pd.DataFrame(out, columns=_CHUNK_COLS)
+        for c in ("eid", "rep", "lo", "hi", "ptr", "parent", "size", "size2"):
+            # from the list of Python numbers: a detour over float64 would round those above 2^53
+            df[c] = pd.array([t[_CHUNK_COLS.index(c)] for t in out], dtype="Int64")
+        for c in ("x", "lam"):
             df[c] = df[c].astype("float64")
-        df["kind"] = df["kind"].astype("int32")
-        return df
+        return df.astype({"kind": "int32", "chunk": "int32"})
 
     return run
 
 
+def _light_components(light: DataFrame) -> DataFrame:
+    """(seg, v, label, size, top): the components that each segment's ``light`` edges form.
+
+    One row per end of an edge; a component has the id of one of its vertices, the sum of their sizes and its heaviest
+    edge. Every vertex hooks to the other end of its lightest edge, pointer jumping finds the roots, and the rest of
+    the edges goes on between the roots: O(log n) rounds, whatever the shape of the forest.
+    """
+    def key(v):
+        return F.struct(F.col("seg").alias("s"), F.col(v).alias("v"))
+
+    ends = light.select("seg", F.col("a").alias("v"), F.col("size_a").alias("size")).union(light.select("seg", "b", "size_b")).distinct()
+    lab = _cut(ends.withColumn("label", F.col("v")))
+    cur = light.select("seg", "eid", "a", "b")
+    while not cur.isEmpty():
+        sides = cur.select(key("a").alias("c"), F.struct("eid", key("b").alias("o")).alias("x")).union(
+            cur.select(key("b").alias("c"), F.struct("eid", key("a").alias("o")).alias("x")))
+        hook = _cut(sides.groupBy("c").agg(F.min("x").alias("x")).select("c", F.col("x.o").alias("p")))
+        back = hook.select(F.col("c").alias("p"), F.col("p").alias("pp"))
+        own = (F.col("pp") == F.col("c")) & (F.col("c") < F.col("p"))  # two that chose each other: the smaller is the root
+        roots = _pointer_jump(hook.join(back, "p").select("c", F.when(own, F.col("c")).otherwise(F.col("p")).alias("p")))
+        to = roots.select(F.col("c.s").alias("seg"), F.col("c.v").alias("v"), F.col("p.v").alias("to"))
+        lab = _cut(lab.join(to.withColumnRenamed("v", "label"), ["seg", "label"], "left").select(
+            "seg", "v", "size", F.coalesce("to", "label").alias("label")))
+        cur = _cut(cur.join(to.select("seg", F.col("v").alias("a"), F.col("to").alias("ra")), ["seg", "a"])
+                   .join(to.select("seg", F.col("v").alias("b"), F.col("to").alias("rb")), ["seg", "b"])
+                   .where("ra <> rb").select("seg", "eid", F.col("ra").alias("a"), F.col("rb").alias("b")))
+    whole = lab.groupBy("seg", "label").agg(F.sum("size").alias("size"))
+    top = light.select("seg", "eid", F.col("a").alias("v")).join(lab.select("seg", "v", "label"), ["seg", "v"]).groupBy("seg", "label").agg(F.max("eid").alias("top"))
+    return _cut(lab.drop("size").join(whole, ["seg", "label"]).join(top, ["seg", "label"]))
+
+
 @dataclass
 class Hierarchy:
-    merges: DataFrame    # (lo, hi, w, size_a, size_b): single-linkage merges in weight order
+    merges: DataFrame    # (lo, hi, w, size_a, size_b): single-linkage merges
     falls: DataFrame     # (id, lin, lam): the lineage each point leaves and its lambda
     lineages: DataFrame  # (lin, parent, size, acc, lam_form, lam_birth, stability)
 
 
 def build_hierarchy(mst: DataFrame, ids: DataFrame, min_cluster_size: int, chunk_edges: int = 200_000) -> Hierarchy:
-    """Single-linkage merges, point fall-outs and condensed-tree lineages from the tree edges."""
-    spark = mst.sparkSession
-    ship_package(spark)
-    n_edges = mst.count()
-    n_chunks = max(1, math.ceil(n_edges / chunk_edges))
-    edges = _cut(mst.repartitionByRange(n_chunks, "w", "lo", "hi").withColumn("chunk", F.spark_partition_id()))
-    chunks = sorted(r.chunk for r in edges.select("chunk").distinct().collect())  # at most n_chunks values
-    comp = _cut(ids.select(F.col("id").cast("long").alias("id"), F.col("id").cast("long").alias("rep")))
-    state = spark.createDataFrame([], _CHUNK_SCHEMA)
-    merges, falls, lineages = [], [], []
-    for c in chunks:
-        e = edges.where(F.col("chunk") == c)
-        cu = comp.select(F.col("id").alias("lo"), F.col("rep").alias("ra"))
-        cv = comp.select(F.col("id").alias("hi"), F.col("rep").alias("rb"))
-        er = e.join(cu, "lo").join(cv, "hi")
-        touched = er.select(F.col("ra").alias("rep")).union(er.select(F.col("rb").alias("rep"))).distinct()
-        st = state.join(touched, "rep", "left_semi")
-        rows = er.select(
-            F.lit(0).alias("kind"), F.col("lo").alias("rep"), F.col("hi").alias("rep2"), F.lit(None).cast("long").alias("lin"),
-            F.lit(None).cast("long").alias("parent"), F.col("ra").alias("size"), F.col("rb").alias("size2"),
-            F.lit(None).cast("double").alias("acc"), F.col("w").alias("lam"), F.lit(None).cast("double").alias("lam2"),
-        ).unionByName(st).withColumn("__c", F.lit(int(c)))
-        res = _cut(rows.groupBy("__c").applyInPandas(_chunk_fn(min_cluster_size), _CHUNK_SCHEMA))
-        merges.append(res.where(F.col("kind") == K_MERGE).select(
-            F.col("rep").alias("lo"), F.col("rep2").alias("hi"), F.col("lam").alias("w"),
-            F.col("size").alias("size_a"), F.col("size2").alias("size_b")))
-        lineages.append(res.where(F.col("kind") == K_LINEAGE))
-        fall_map = res.where(F.col("kind") == K_FALL).select("rep", "lin", "lam")
-        falls.append(_cut(comp.join(fall_map, "rep").select("id", "lin", "lam")))
-        remap = res.where(F.col("kind") == K_REMAP).select("rep", F.col("rep2").alias("__new"))
-        comp = _cut(comp.join(remap, "rep", "left").select("id", F.coalesce("__new", "rep").alias("rep")))
-        new_state = res.where(F.col("kind") == K_STATE)
-        state = _cut(state.join(touched, "rep", "left_anti").unionByName(new_state))
-    roots = state.where(F.col("lin").isNotNull()).select(
-        F.lit(K_LINEAGE).alias("kind"), F.lit(None).cast("long").alias("rep"), F.lit(None).cast("long").alias("rep2"),
-        "lin", F.lit(None).cast("long").alias("parent"), "size", F.lit(None).cast("long").alias("size2"), "acc",
-        "lam", F.lit(0.0).alias("lam2"),
-    )
-    lin_all = roots
-    for x in lineages:
-        lin_all = lin_all.unionByName(x)
-    lin_all = _cut(lin_all.select(
-        "lin", "parent", "size", "acc", F.col("lam").alias("lam_form"), F.col("lam2").alias("lam_birth"),
-        (F.col("acc") - F.col("size") * F.col("lam2")).alias("stability"),
-    ))
-
-    def _u(xs, schema):
-        if not xs:
-            return spark.createDataFrame([], schema)
-        out = xs[0]
-        for x in xs[1:]:
-            out = out.unionByName(x)
-        return out
+    """Single-linkage merges, point fall-outs and condensed-tree lineages from the tree edges.
+
+    The edges are numbered by (w, lo, hi) and cut into ranges of about ``chunk_edges``. Segments of ranges are split in
+    halves, all segments of a level at once: the light half keeps its ends, the heavy half gets them contracted to the
+    components of the light half (``_light_components``). After log2(ranges) levels every range knows its
+    ends' representatives, sizes and heaviest edges, so all ranges run union-find side by side. A point goes to the light
+    half if its component reaches ``min_cluster_size`` there, else to the heavy half; it ends in the one range where it
+    falls. Lineages that pass through several ranges are linked by pointer jumping. A level moves each edge and point once.
+    """
+    ship_package(mst.sparkSession)
+    n_chunks = max(1, math.ceil(mst.count() / chunk_edges))
+    levels = (n_chunks - 1).bit_length()
+    e = mst.select(F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), F.col("w").cast("double").alias("w"))
+    e = e.repartitionByRange(n_chunks, "w", "lo", "hi").sortWithinPartitions("w", "lo", "hi")
+    one, none = F.lit(1).cast("long"), F.lit(None).cast("long")
+    e = _cut(e.select("lo", "hi", "w", F.monotonically_increasing_id().alias("eid"), F.spark_partition_id().alias("chunk"), F.lit(0).alias("seg"),
+                      F.col("lo").alias("a"), F.col("hi").alias("b"), one.alias("size_a"), one.alias("size_b"), none.alias("top_a"), none.alias("top_b")))
+    pts = ids.select(F.col("id").cast("long").alias("id"), F.lit(0).alias("seg"), F.col("id").cast("long").alias("rep"))
+    for half in [1 << k for k in reversed(range(levels))]:
+        is_light = F.col("chunk") < F.col("seg") + half
+        comp = _light_components(e.where(is_light))
+        heavy = e.where(~is_light)
+        for v in ("a", "b"):
+            c = comp.select("seg", F.col("v").alias(v), F.col("label").alias("to"), F.col("size").alias("n"), F.col("top").alias("t"))
+            heavy = heavy.join(c, ["seg", v], "left").withColumns({
+                v: F.coalesce("to", v), f"size_{v}": F.coalesce("n", f"size_{v}"), f"top_{v}": F.coalesce("t", f"top_{v}")}).drop("to", "n", "t")
+        e = _cut(e.where(is_light).unionByName(heavy.withColumn("seg", F.col("seg") + half)))
+        grown = F.coalesce(F.col("size") >= min_cluster_size, F.lit(False))
+        pts = _cut(pts.join(comp.withColumnRenamed("v", "rep"), ["seg", "rep"], "left").select(
+            "id", F.when(grown, F.col("seg")).otherwise(F.col("seg") + half).alias("seg"),
+            F.when(grown, F.col("rep")).otherwise(F.coalesce("label", "rep")).alias("rep")))
+    res = _cut(e.drop("seg").groupBy("chunk").applyInPandas(_chunk_fn(min_cluster_size), _CHUNK_SCHEMA))
+    if levels:
+        formed = res.where((F.col("kind") == K_SHARE) & F.col("lam").isNotNull()).select(F.col("ptr").alias("c"), F.col("ptr").alias("p"))
+        tops = res.where((F.col("kind") == K_TOP)).select(F.col("eid").alias("c"), F.col("ptr").alias("p"))
+        links = _pointer_jump(tops.union(formed).distinct()).select(F.col("c").alias("ptr"), F.col("p").alias("lin"))
+        res = _cut(res.join(links, "ptr", "left"))
+    else:
+        res = res.withColumn("lin", F.col("ptr"))  # one range: every lineage was formed in it
+
+    def of(kind):
+        return res.where(F.col("kind") == kind)
 
+    ends = of(K_END).select("lin", "parent", F.col("lam").alias("lam_birth"))
+    lineages = of(K_SHARE).groupBy("lin").agg(F.max("size").alias("size"), F.sum("x").alias("acc"), F.max("lam").alias("lam_form")).join(ends, "lin", "left")
+    lineages = lineages.withColumn("lam_birth", F.coalesce("lam_birth", F.lit(0.0))).select(
+        "lin", "parent", "size", "acc", "lam_form", "lam_birth", (F.col("acc") - F.col("size") * F.col("lam_birth")).alias("stability"))
+    falls = pts.join(of(K_FALL).select(F.col("chunk").alias("seg"), "rep", "lin", "lam"), ["seg", "rep"])
     return Hierarchy(
-        merges=_u(merges, "lo long, hi long, w double, size_a long, size_b long"),
-        falls=_u(falls, "id long, lin long, lam double"),
-        lineages=lin_all,
+        merges=of(K_MERGE).select("lo", "hi", F.col("x").alias("w"), F.col("size").alias("size_a"), F.col("size2").alias("size_b")),
+        falls=_cut(falls.select("id", "lin", "lam")),
+        lineages=_cut(lineages),
     )
 
 
@@ -438,12 +454,12 @@ def select_clusters(lineages: DataFrame, method: str = "eom") -> DataFrame:
 def cluster_numbering(selection: DataFrame, lineages: DataFrame) -> DataFrame:
     """(sel, topic, lam_max_form): dense labels 0..K-1 of the selected lineages, in lineage-id order.
 
-    Lineage ids are (chunk << 32) | position, so the rank is two-level: counts
+    Lineage ids are (range << 33) | position, so the rank is two-level: counts
     per chunk (one row per chunk) give offsets, and a row_number runs inside
     each chunk only - no single task orders all clusters.
     """
     sel = selection.where("selected").join(lineages.select("lin", "lam_form"), "lin") \
-        .withColumn("__ch", F.shiftright("lin", 32))
+        .withColumn("__ch", F.shiftright("lin", 33))
     counts = sel.groupBy("__ch").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__ch").rowsBetween(Window.unboundedPreceding, -1)),

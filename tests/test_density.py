@@ -212,6 +212,77 @@ def _plain_selection(parent, stab, method):
     return {x: (sel[x] == x, sel[x]) for x in parent}
 
 
+def _plain_hierarchy(n, edges, mcs):
+    """Merges, falls and lineages edge after edge; lineages are named by the place of the edge that formed them."""
+    comp = {i: [i] for i in range(n)}
+    of = list(range(n))
+    lin, lineages, falls, merges = {}, {}, {}, []
+    for e, (w, lo, hi) in enumerate(sorted(edges)):
+        a, b = of[lo], of[hi]
+        lam = np.inf if w <= 0 else 1 / w
+        merges.append((lo, hi, w, tuple(sorted((len(comp[a]), len(comp[b]))))))
+        big = [x for x in (a, b) if len(comp[x]) >= mcs]
+        small = [x for x in (a, b) if len(comp[x]) < mcs]
+        total = len(comp[a]) + len(comp[b])
+        if len(big) == 1:
+            now = lin[big[0]]
+            lineages[now]["acc"] += len(comp[small[0]]) * lam
+            lineages[now]["size"] = total
+        elif big or total >= mcs:
+            for x in big:
+                lineages[lin[x]].update(parent=e, birth=lam)
+            now = e
+            lineages[e] = {"acc": total * lam, "size": total, "form": lam, "parent": None, "birth": 0.0}
+        else:
+            now = None
+        if now is not None:
+            falls.update({p: (now, lam) for x in small for p in comp[x]})
+        comp[a] += comp.pop(b)
+        for p in comp[a]:
+            of[p] = a
+        lin[a] = now
+    return sorted(merges), falls, lineages
+
+
+def _forest():
+    """Random trees, stars and paths with ties and zero weights, weights that only grow, and single points, as one forest."""
+    rng = np.random.default_rng(11)
+    weights = (lambda i: float(rng.integers(1, 4)), lambda i: float(rng.uniform(0.1, 3)), lambda i: float(rng.integers(0, 2)), float)
+    shapes = (lambda i: int(rng.integers(0, i)), lambda i: 0, lambda i: i - 1)
+    edges, n = [], 3
+    for up in shapes:
+        for w in weights:
+            edges += [(w(i), n + up(i), n + i) for i in range(1, 40)]
+            n += 40
+    return n, edges
+
+
+@pytest.mark.parametrize("chunk", [130, 100_000])
+def test_hierarchy_of_split_ranges_equals_edge_after_edge(spark, chunk):
+    """Several ranges (three levels of halves) and one give what a walk over the sorted edges gives; ids above 2^53."""
+    base = 2**60 + 1
+    n, edges = _forest()
+    mst = spark.createDataFrame([(base + lo, base + hi, w) for w, lo, hi in edges], "lo long, hi long, w double")
+    h = D.build_hierarchy(mst, spark.range(base, base + n), 4, chunk)
+    merges, falls, lineages = _plain_hierarchy(n, edges, 4)
+    got = sorted((r.lo - base, r.hi - base, r.w, tuple(sorted((r.size_a, r.size_b)))) for r in h.merges.collect())
+    assert got == merges
+    rows = {r.lin: r for r in h.lineages.collect()}
+    assert len(rows) == len(lineages)
+    place = dict(zip(sorted(rows), sorted(lineages)))  # both are numbered in the order of the edges
+    for lin, r in rows.items():
+        want = lineages[place[lin]]
+        assert (r.size, r.lam_form, r.lam_birth) == (want["size"], want["form"], want["birth"])
+        assert (None if r.parent is None else place[r.parent]) == want["parent"]
+        assert r.acc == pytest.approx(want["acc"])
+    assert {r.id - base: (place[r.lin], r.lam) for r in h.falls.collect()} == falls
+
+
+def test_hierarchy_without_edges(spark):
+    h = D.build_hierarchy(spark.createDataFrame([], "lo long, hi long, w double"), spark.range(3), 4)
+    assert h.merges.isEmpty() and h.falls.isEmpty() and h.lineages.isEmpty()
+
+
 @pytest.mark.parametrize("method", ["eom", "leaf"])
 def test_selection_by_rake_and_compress_equals_a_plain_walk(spark, method, monkeypatch):
     rng = np.random.default_rng(6)
