@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pubstrata.columns import require_columns
@@ -40,12 +40,51 @@ def scan_texts(table: DataFrame, id_col: str = "eid", title: str = "title", abst
     return df.limit(int(stop)) if stop is not None else df
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the records of the CSV files at ``path``, their headers left out, in no order; a record may span lines.
+
+    A file is read in byte ranges like any text. Whether a line begins inside a quoted field is the parity of the quotes
+    before it in its file, so each range counts its quotes on its own and a prefix scan over the ranges (a row each) tells
+    every range how it begins. Records of one line leave from there; only the lines of longer ones are shuffled together, by the
+    line that begins them, which the same scan finds in earlier ranges. Quotes must be doubled inside quoted fields and
+    occur in no other field (RFC 4180). Blank lines between records are skipped; a quote that is never closed makes
+    the rest of its file one record.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))  # grows with the place inside a range
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    before = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    lines = raw.withColumn("odd", odd).withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    ranges = lines.groupBy("file", "block").agg(
+        (F.sum("odd") % 2).alias("odds"), F.min("at").alias("first"),
+        *[F.max(F.when(F.col("inside") == i, F.col("at"))).alias(f"start{i}") for i in (0, 1)])
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("enters", F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2)
+    ranges = ranges.withColumn("start", F.when(F.col("enters") == 0, F.col("start0")).otherwise(F.col("start1")))
+    # the record that an earlier range leaves open: that range and the line there
+    opened = F.when(F.col("start").isNotNull(), F.struct("block", F.col("start").alias("at")))
+    ranges = ranges.withColumn("carried", F.last(opened, ignorenulls=True).over(earlier))
+    ranges = ranges.withColumn("is_head", F.row_number().over(Window.partitionBy("file").orderBy("block")) == 1)
+    placed = lines.join(ranges.select("file", "block", "enters", "carried", "first", "is_head"), ["file", "block"])
+    begins = (F.col("inside") + F.col("enters")) % 2 == 0
+    ends = (F.col("inside") + F.col("odd") + F.col("enters")) % 2 == 0
+    upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.last(F.when(begins, F.struct("block", "at")), ignorenulls=True).over(upto)
+    placed = placed.select("file", "block", "at", "value", (begins & ends).alias("whole"), F.coalesce(own, "carried").alias("record"),
+                           (F.col("is_head") & (F.col("first") == F.col("at"))).alias("head"))
+    single = placed.where(F.col("whole") & ~F.col("head")).select("value")
+    line = F.struct("block", "at", "value", "head")
+    longer = placed.where(~F.col("whole")).groupBy("file", "record").agg(F.array_sort(F.collect_list(line)).alias("parts"))
+    longer = longer.where(~F.exists("parts", lambda x: x["head"])).select(F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
+    both = single.unionByName(longer).select(F.regexp_replace("value", "\\r\\z", "").alias("value"))
+    return both.where(F.trim("value") != "")
+
+
 def scan_csv(spark: SparkSession, path: str, stop: int | None = None) -> DataFrame:
-    """CSV with a header and columns eid, title, abstract (quoted multi-line fields allowed)."""
-    df = (
-        spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
-        .schema("eid long, title string, abstract string").csv(path)
-    )
+    """CSV with a header and columns eid, title, abstract (quoted multi-line fields allowed, large files read in ranges)."""
+    options = {"escape": '"', "multiLine": "true"}
+    df = csv_records(spark, path).select(F.from_csv("value", "eid long, title string, abstract string", options).alias("r")).select("r.*")
     return scan_texts(df, stop=stop)
 
 

@@ -25,6 +25,58 @@ def test_scan_csv_multiline(spark):
     assert [(r.eid, r.title, r.abstract) for r in got] == [(1, "a, b", 'line one\nline "two"')]
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_one_csv_file_in_many_ranges(spark, newline):
+    """Ranges of 64 bytes cut records, quoted line breaks and headers of several lines: rows as the csv module reads them."""
+    import csv
+    import os
+    import random
+
+    rnd = random.Random(5)
+    path = shared_dir(spark, "test-csv", uuid.uuid4().hex).replace("file:", "")
+    os.makedirs(path)
+    want = []
+    for f in range(3):
+        rows = []
+        for i in range(80):
+            text = "".join(rnd.choice(["a", "b ", ",", '"', '""', "\n", "\n\n", "é", "longer words "]) for _ in range(rnd.randrange(0, 30 if i % 9 else 200)))
+            rows.append((f * 1000 + i, f"t{i}" if i % 4 else 'say "x",\ny', "x" + text))
+        with open(f"{path}/part{f}.csv", "w", newline="", encoding="utf-8") as out:
+            w = csv.writer(out, lineterminator=newline)
+            w.writerow(["eid", "title", "abstract" if f else 'abstract\n"long"'])
+            for k, r in enumerate(rows):
+                w.writerow(r)
+                if k % 10 == 0:
+                    out.write(newline)
+        want += rows
+    open(f"{path}/empty.csv", "w").close()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 100
+        got = [tuple(r) for r in S.scan_csv(spark, path).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert sorted(got) == sorted(want)
+    assert sorted(tuple(r) for r in S.scan_csv(spark, path).collect()) == sorted(want)
+
+
+def test_csv_of_blank_and_short_records(spark):
+    import os
+
+    path = shared_dir(spark, "test-csv", uuid.uuid4().hex).replace("file:", "")
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as out:
+        out.write('eid,title,abstract\n1,,""\n\nx,t,a\n3,only\n4,t,"open\nto the end\n')
+    by_spark = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').schema("eid long, title string, abstract string").csv(path)
+    assert sorted(map(str, S.scan_csv(spark, path).where("eid IS NULL OR eid < 4").collect())) == sorted(map(str, by_spark.where("eid IS NULL OR eid < 4").collect()))
+    with open(f"{path}/a.csv", "w") as out:
+        out.write("eid,title,abstract\n")
+    assert S.scan_csv(spark, path).isEmpty()
+
+
 def test_embedding_sink_roundtrip_and_dim_check(spark):
     path = shared_dir(spark, "test-emb", uuid.uuid4().hex)
     df = spark.createDataFrame([(1, [0.1, 0.2, 0.3]), (2, [1.0, 0.0, 0.0])], "eid long, embedding array<double>")
