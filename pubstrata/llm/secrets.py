@@ -178,6 +178,31 @@ def candidates(index: DataFrame, rules, vocab: list[str]) -> DataFrame:
 # ---- verification ----------------------------------------------------------------------------
 
 SPAN = "array<struct<start:int,rank:int,end:int>>"
+BLOCK = 128     # elements that a running value appends one by one; blocks are joined once
+
+
+def _blocks(xs: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` elements."""
+    last = F.floor((F.size(xs) - 1) / BLOCK).cast("int")
+    return F.when(F.size(xs) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(xs, i * BLOCK + 1, BLOCK))).otherwise(F.array())
+
+
+def running(xs: Column, plus) -> Column:
+    """What ``plus`` (associative, from 0 on) makes of the integers before each element.
+
+    Appending copies the array, so it is done within blocks and over the blocks only: the work grows little faster than the array.
+    """
+    def scan_(ys):
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(ys, start, lambda acc, y: F.struct(plus(acc.at, y).alias("at"), F.concat(acc.out, F.array(acc.at)).alias("out")))
+
+    def joined(parts):
+        before = scan_(F.transform(parts, lambda p: p.at)).out
+        return F.flatten(F.zip_with(parts, before, lambda p, o: F.transform(p.out, lambda y: plus(o, y))))
+
+    # one-element arrays, so that the integers and the blocks are computed once
+    parts = F.transform(F.array(xs), lambda x: F.transform(_blocks(x), scan_))
+    return F.transform(parts, joined)[0]
 
 
 def rule_spans(text: Column, rank: int, rule: Rule) -> Column:
@@ -189,17 +214,16 @@ def rule_spans(text: Column, rank: int, rule: Rule) -> Column:
     p = F.lit(rule.pattern)
     hit, gap = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, rule.pattern, -1)
     part = F.regexp_extract_all(text, p, F.lit(rule.group)) if rule.group else hit
-    steps = F.zip_with(F.zip_with(gap, hit, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h"))), part,
+    steps = F.zip_with(F.zip_with(gap, hit, lambda g, h: F.struct(F.length(g).alias("g"), F.coalesce(F.length(h), F.lit(0)).alias("h"))), part,
                        lambda s, x: F.struct(s.g.alias("g"), s.h.alias("h"), F.length(x).alias("x")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc, s):
-        begin = acc.at + s.g
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), (begin + s.h).alias("end"))
-        return F.struct((begin + F.coalesce(s.h, F.lit(0))).alias("at"),
-                        F.when(s.x >= rule.min_chars, F.concat(acc.out, F.array(span))).otherwise(acc.out).alias("out"))
+    def placed(steps):
+        at = running(F.transform(steps, lambda s: s.g + s.h), lambda a, b: a + b)
+        spans = F.zip_with(steps, at, lambda s, o: F.struct((o + s.g).alias("start"), F.lit(rank).alias("rank"), (o + s.g + s.h).alias("end"), s.x.alias("x")))
+        kept = F.filter(spans, lambda s: s.x >= rule.min_chars)
+        return F.transform(kept, lambda s: F.struct(s.start.alias("start"), s["rank"].alias("rank"), s.end.alias("end")))
 
-    return F.aggregate(steps, start, step, lambda acc: acc.out)
+    return F.transform(F.array(steps), placed)[0].cast(SPAN)
 
 
 def scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,15 +264,19 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
     found = scan(docs, rules)
     kinds = F.array(*[F.lit(f"[{r.kind}]") for r in rules])
     text = F.col("row_.text")
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        piece = F.concat(acc.out, F.substring(text, acc.at + 1, s["start"] - acc.at), F.element_at(kinds, s["rank"] + 1))
-        return F.struct(F.greatest(acc.at, s["end"]).alias("at"),
-                        F.when(s["start"] >= acc.at, piece).otherwise(acc.out).alias("out"))
-
-    clean = F.aggregate("spans", first, step,
-                        lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text))))
+    ends = F.transform("spans", lambda s: s.end)
+
+    def pieces(part):
+        """A block's text up to its last span, every span replaced; the text is entered once per block, not once per span."""
+        base, stop = part[0]["at"], F.element_at(part, -1)["start"]
+        return F.transform(F.array(F.substring(text, base + 1, stop - base)), lambda t: F.array_join(F.transform(
+            part, lambda s: F.concat(F.substring(t, s["at"] - base + 1, s["start"] - s["at"]), F.element_at(kinds, s["rank"] + 1))), ""))[0]
+
+    # at: the end of the spans before
+    spans = F.zip_with("spans", running(ends, F.greatest), lambda s, o: F.struct(s.start.alias("start"), s["rank"].alias("rank"), o.alias("at")))
+    first = F.filter(spans, lambda s: s.start >= s["at"])
+    rest = F.substring(text, F.array_max(ends) + 1, F.length(text))
+    clean = F.concat(F.transform(F.array(first), lambda x: F.array_join(F.transform(_blocks(x), pieces), ""))[0], rest)
     new = F.when(F.size("spans") > 0, clean).otherwise(text)
     out = found.select("row_", new.alias("new_"), (F.size("spans") > 0).alias("hit_"))
     cols = []
