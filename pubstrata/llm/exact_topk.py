@@ -16,9 +16,8 @@ Python integers where a shard's or query's values could go beyond.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows
 without vec_id, take no part; an empty vector has dimension 0; only vectors of the
-query's dimension are its candidates; rows repeated as a whole count once, rows that
-share an id but differ in the vector are different rows, each a query and a candidate;
-ties go to the smaller vec_id; scores beyond 64 bits stop at the limits of long.
+query's dimension are its candidates; every row is a candidate and, by its id, a query of
+its own, rows that share an id or are repeated as a whole included; ties go to the smaller vec_id; scores beyond 64 bits stop at the limits of long.
 """
 
 from __future__ import annotations
@@ -151,8 +150,10 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, scale: int = SCA
     scratch = Scratch(vectors.sparkSession, "topk")
     good = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     v = rows_of(vectors, "vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(good)
-    v = v.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("q")).distinct()
-    v = scratch.cut(v.withColumn("mark", F.xxhash64("q")).withColumn("dim", F.size("q")), "vectors")
+    v = v.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("q"))
+    # equal rows are counted and numbered, so that a mark tells each from the query's own row
+    v = v.groupBy("vec_id", "q").agg(F.count("*").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    v = scratch.cut(v.select("vec_id", "q", F.xxhash64("q", "copy").alias("mark"), F.size("q").alias("dim")), "vectors")
     count = v.agg(F.count("*"), F.sum(F.when(F.col("vec_id") % every == 0, 1))).first()
     shards, blocks = max(1, math.ceil(count[0] / shard)), max(1, math.ceil((count[1] or 0) / block))
     v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id", "mark"), F.lit(shards)).cast("int"))
@@ -183,9 +184,9 @@ def op4_topk(spark, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"))
 
 
-ORACLE = f"""WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS BIGINT)) AS q FROM embeddings
+ORACLE = f"""WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS BIGINT)) AS q FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
-  s AS (SELECT a.vec_id AS query_id, a.q AS aq, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
-    FROM v a JOIN v b ON a.vec_id % {EVERY} = 0 AND len(a.q) = len(b.q) AND (a.vec_id <> b.vec_id OR a.q <> b.q)),
-  r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, aq ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+  s AS (SELECT a.vec_id AS query_id, a.rid, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % {EVERY} = 0 AND len(a.q) = len(b.q) AND a.rid <> b.rid),
+  r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
   SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {TOP}"""
