@@ -57,3 +57,13 @@ def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def best_first(df: DataFrame, value: str = "metric", *ties: str) -> DataFrame:
+    """Rows by falling ``value``; NaN and then NULL come last (Spark alone puts NaN first), ``ties`` rise within equal values.
+
+    A range-partitioned sort: no task holds the whole frame.
+    """
+    v = F.col(value)
+    place = F.when(v.isNull(), 2).when(F.isnan(v), 1).otherwise(0)
+    return df.orderBy(place, v.desc(), *[F.col(t) for t in ties])

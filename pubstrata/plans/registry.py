@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pubstrata.deploy import ship_package
-from pubstrata.functions.stats import finalize
+from pubstrata.functions.stats import best_first, finalize
 from pubstrata.operators import quality as Q
 from pubstrata.operators.membership import best_memberships
 from pubstrata.plans import oracle as O
@@ -74,7 +74,7 @@ def _aacc_last(spark, d):
 @register("aacc_per_author", O.concentration_sql("auth_id", 2, detail=True))
 def _aacc_per_author(spark, d):
     p = _pubs(spark, d)
-    return Q.auth_cluster_concentration(_cl(p), p.bridge, 2, detail=True)
+    return Q.auth_cluster_concentration(_cl(p), p.bridge, 2, detail=True).orderBy("auth_id")
 
 
 @register("aaffcc", O.concentration_sql("aff_id", 2))
@@ -86,7 +86,7 @@ def _aaffcc(spark, d):
 @register("aaffcc_per_aff", O.concentration_sql("aff_id", 2, detail=True))
 def _aaffcc_per_aff(spark, d):
     p = _pubs(spark, d)
-    return Q.aff_cluster_concentration(_cl(p), p.bridge, 2, detail=True)
+    return Q.aff_cluster_concentration(_cl(p), p.bridge, 2, detail=True).orderBy("aff_id")
 
 
 @register("car_1", O.car_sql(1, 2))
@@ -104,7 +104,7 @@ def _car_2(spark, d):
 @register("car_distribution", O.car_distribution_sql(3))
 def _car_dist(spark, d):
     p = _pubs(spark, d)
-    return Q.k_cluster_distribution(_cl(p), p.bridge, 3)
+    return Q.k_cluster_distribution(_cl(p), p.bridge, 3).orderBy("n_clusters")
 
 
 @register("author_overlap", O.overlap_sql(50))
@@ -116,7 +116,7 @@ def _aj(spark, d):
 @register("author_overlap_pairs", O.overlap_sql(50, detail=True))
 def _aj_pairs(spark, d):
     p = _pubs(spark, d)
-    return Q.author_overlap(_cl(p), p.bridge, top_k=50, detail=True)
+    return best_first(Q.author_overlap(_cl(p), p.bridge, top_k=50, detail=True), "metric", "topic_i", "topic_j")
 
 
 @register("cp_source", O.purity_sql("source", 3))
@@ -134,7 +134,7 @@ def _cp_doctype(spark, d):
 @register("purity_per_cluster", O.purity_sql("source", None, detail=True))
 def _purity_detail(spark, d):
     p = _pubs(spark, d)
-    return Q.cluster_purity(_cl(p), p.docs, "source", None, detail=True)
+    return Q.cluster_purity(_cl(p), p.docs, "source", None, detail=True).orderBy("topic")
 
 
 @register("year_iqr", O.year_iqr_sql())
@@ -146,7 +146,7 @@ def _yiqr(spark, d):
 @register("year_iqr_per_cluster", O.year_iqr_sql(detail=True))
 def _yiqr_detail(spark, d):
     p = _pubs(spark, d)
-    return Q.year_iqr(_cl(p), p.docs, detail=True)
+    return Q.year_iqr(_cl(p), p.docs, detail=True).orderBy("topic")
 
 
 @register("entropy_norm", O.entropy_sql())
@@ -158,7 +158,7 @@ def _ent(spark, d):
 @register("entropy_per_cluster", O.entropy_sql(detail=True))
 def _ent_detail(spark, d):
     p = _pubs(spark, d)
-    return Q.entropy_norm(_cl(p), p.docs, detail=True)
+    return Q.entropy_norm(_cl(p), p.docs, detail=True).orderBy("topic")
 
 
 @register("year_peak_share", O.peak_sql())
@@ -170,7 +170,7 @@ def _yps(spark, d):
 @register("peak_per_cluster", O.peak_sql(detail=True))
 def _yps_detail(spark, d):
     p = _pubs(spark, d)
-    return Q.year_peak_share(_cl(p), p.docs, detail=True)
+    return Q.year_peak_share(_cl(p), p.docs, detail=True).orderBy("topic")
 
 
 @register("count_authors", O.count_authors_sql(2))
@@ -255,9 +255,9 @@ def _impulse_index(spark, d):
     return T.impulse_suite(p.clusters, p.docs, p.bridge, p.affiliations)
 
 
-register("impact_index", O.impact_index_sql())(_impact_index)
+register("impact_index", O.impact_index_sql())(lambda s, d: best_first(_impact_index(s, d), "metric", "topic"))
 register("impact_index_mean", O.impact_index_sql(mean=True))(lambda s, d: T.index_mean(_impact_index(s, d)))
-register("impulse_index", O.impulse_index_sql())(_impulse_index)
+register("impulse_index", O.impulse_index_sql())(lambda s, d: best_first(_impulse_index(s, d), "metric", "topic"))
 register("impulse_index_mean", O.impulse_index_sql(mean=True))(lambda s, d: T.index_mean(_impulse_index(s, d)))
 
 

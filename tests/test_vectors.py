@@ -82,3 +82,16 @@ def test_core_and_mutual_reachability(spark):
     assert core == {0: 2.0, 1: 1.0, 2: 2.0, 3: 2.0, 4: 1.0, 5: 2.0}
     mr = {(r.id, r.neighbor): r.mr for r in N.mutual_reachability(kn, N.core_distances(kn, 3)).collect()}
     assert mr[(0, 1)] == 2.0 and mr[(1, 2)] == 2.0 and mr[(2, 3)] == 8.0
+
+
+def test_best_first_puts_nan_and_null_last(spark):
+    from pubstrata.functions.stats import best_first
+    from pubstrata.operators import topics as T
+
+    df = spark.createDataFrame([(1, None), (2, float("nan")), (3, -1.0), (4, 2.0), (0, 2.0), (5, float("inf")), (6, float("nan"))],
+                               "topic int, metric double")
+    assert [r.topic for r in best_first(df, "metric", "topic").collect()] == [5, 0, 4, 3, 2, 6, 1]
+    z = spark.createDataFrame([(7, 1.0), (3, 4.0), (5, -2.0)], "topic int, metric double")
+    out = T.impulse_index(z, z, z, sort_desc=True).collect()
+    assert [r.topic for r in out] == [3, 7, 5] and out[0].metric == pytest.approx(4.0)
+    assert T.impulse_index(z, z, z).columns == ["topic", "metric"]
