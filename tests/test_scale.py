@@ -22,6 +22,63 @@ def peak_mb(fn) -> float:
         tracemalloc.stop()
 
 
+def test_knn_copies_a_vector_a_fixed_number_of_times(spark, monkeypatch):
+    seen = lambda *a: lambda key, pdf: pd.DataFrame({"id": [len(pdf)], "neighbor": [0], "distance": [0.0]})
+    monkeypatch.setattr(N, "_block_fn", seen)
+    df = spark.range(400).select("id", F.array(F.col("id").cast("float")).alias("embedding"))
+    copies = sum(r.id for r in N.knn(df, 3, block_rows=4).collect())
+    assert copies <= 400 * 16  # before: once per 4 rows
+
+
+@pytest.mark.parametrize("metric", N.METRICS)
+def test_knn_by_tiles_inside_a_task(spark, metric):
+    x = np.random.default_rng(1).normal(size=(180, 4)).astype(np.float32)
+    x[100:120] = x[7]  # copies
+    df = spark.createDataFrame([(i * 3, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<float>")
+    d = N._distances(x.astype(np.float64), x.astype(np.float64), metric)
+    np.fill_diagonal(d, np.inf)
+    got = {}
+    for r in N.knn(df, 5, metric, block_rows=4).collect():
+        got.setdefault(r.id, {})[r["rank"]] = (r.neighbor, r.distance)
+    assert len(got) == 180
+    for i, near in got.items():
+        assert sorted(near) == [1, 2, 3, 4, 5]
+        want = np.sort(d[i // 3])[:5]
+        assert np.allclose([near[k][1] for k in range(1, 6)], want, atol=1e-6)
+        assert np.allclose([d[i // 3, near[k][0] // 3] for k in range(1, 6)], want, atol=1e-6)
+
+
+def test_ties_in_later_tiles_do_not_displace_smaller_ids():
+    pdf = pd.DataFrame({"id": np.arange(50)[::-1], "v": [np.zeros(2)] * 50, "bi": 0, "bj": 0, "side": 0})
+    got = N._block_fn(3, "euclidean", False, 8)(pdf)
+    assert len(got) == 150
+    assert {i: sorted(g) for i, g in got.groupby("id")["neighbor"]} == {i: [x for x in range(4) if x != i][:3] for i in range(50)}
+
+
+def test_queries_on_neighbours_search_them_once(spark, tmp_path):
+    from pubstrata.plans import registry
+
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist(), i % 2) for i in range(60)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    for name in ("mutual_reachability", "fuzzy_weights", "fuzzy_union"):
+        plan = registry.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().toString()
+        assert "FlatMapGroupsInPandas" not in plan, name
+
+
+def test_scan_of_a_large_block_is_sliced(monkeypatch):
+    from pubstrata.operators import density as D
+
+    rng = np.random.default_rng(3)
+    n = 3000
+    pdf = pd.DataFrame({"id": np.arange(2 * n), "v": list(rng.normal(size=(2 * n, 4))), "core": 0.1, "comp": np.arange(2 * n) % 7,
+                        "side": np.arange(2 * n) // n})
+    whole = []
+    assert peak_mb(lambda: whole.append(D._scan_fn()(pdf))) < 8 * n * n / 1e6 * 3
+    monkeypatch.setattr(D, "TILE_CELLS", n * n)
+    assert whole[0].reset_index(drop=True).equals(D._scan_fn()(pdf).reset_index(drop=True))
+
+
 def test_a_product_moves_rows_not_edges():
     n, parts, cols = 80, 4, 6
     ids = np.arange(n) * 5
