@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubstrata.deploy import ship_package
-from pubstrata.operators.periphery import exemplars, membership_distance, top2
+from pubstrata.operators.periphery import exemplars, membership_distance, nearest_exemplars, top2
 from pubstrata.session import cut_lineage
 
 TREE_BYTES = 32 << 20
@@ -119,12 +119,6 @@ def tile_rows(ids: np.ndarray, topics: np.ndarray, dmin: np.ndarray, tree: Tree
     return pd.DataFrame(out | {"inf": infinite, "ref": ref, "total": u.sum(axis=1), "u1": first, "c1": topics[best], "u2": second})
 
 
-def nearest_exemplars(x: np.ndarray, e: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Distance of each row of x to the nearest row of each run of e that begins at ``starts``."""
-    sq = (x * x).sum(1)[:, None] + (e * e).sum(1)[None, :] - 2.0 * (x @ e.T)
-    return np.minimum.reduceat(np.sqrt(np.maximum(sq, 0.0)), starts, axis=1)
-
-
 _TILE = "id long, inf boolean, ref double, total double, u1 double, c1 int, u2 double, m double, m_topic int, m_lam double"
 _NAMES = [c.split()[0] for c in _TILE.split(", ")]
 

@@ -30,6 +30,8 @@ from pubstrata.functions.vectors import half_round_scalar
 from pubstrata.session import cut_lineage
 
 HASH_BUCKET_BITS = 12
+#: entries of a distance matrix inside a task
+CELLS = 1 << 20
 
 
 def hash_rank(df: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
@@ -69,6 +71,20 @@ def exemplars(clusters: DataFrame, vectors: DataFrame, vec_col: str = "embedding
     return top.join(vectors.select("id", F.col(vec_col).cast("array<double>").alias("v")), "id").select("id", "topic", "v")
 
 
+def nearest_exemplars(x: np.ndarray, e: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Distance of each row of x to the nearest row of each run of e that begins at ``starts``.
+
+    Rows of x are taken in slices, so that a matrix has at most ``CELLS`` entries however many exemplars a tile holds.
+    """
+    out = np.empty((len(x), len(starts)))
+    ee, step = (e * e).sum(1)[None, :], max(1, CELLS // max(1, len(e)))
+    for a in range(0, len(x), step):
+        part = x[a:a + step]
+        sq = (part * part).sum(1)[:, None] + ee - 2.0 * (part @ e.T)
+        out[a:a + step] = np.sqrt(np.maximum(np.minimum.reduceat(sq, starts, axis=1), 0.0))
+    return out
+
+
 def _nearest_fn():
     """(point block, exemplar tile) task: distance of each point to the nearest exemplar of each topic in the tile."""
 
@@ -79,14 +95,12 @@ def _nearest_fn():
             return pd.DataFrame({"id": [], "topic": [], "dmin": []})
         x = np.vstack(pts["v"].to_numpy())
         e = np.vstack(ex["v"].to_numpy())
-        sq = (x * x).sum(1)[:, None] + (e * e).sum(1)[None, :] - 2.0 * (x @ e.T)
-        d = np.sqrt(np.maximum(sq, 0.0))
         uniq, starts = np.unique(ex["topic"].to_numpy(), return_index=True)
         ids = pts["id"].to_numpy(np.int64)
         return pd.DataFrame({
             "id": np.repeat(ids, len(uniq)),
             "topic": np.tile(uniq.astype(np.int32), len(ids)),
-            "dmin": np.minimum.reduceat(d, starts, axis=1).reshape(-1),
+            "dmin": nearest_exemplars(x, e, starts).reshape(-1),
         })
 
     return run

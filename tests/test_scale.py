@@ -79,6 +79,15 @@ def test_scan_of_a_large_block_is_sliced(monkeypatch):
     assert whole[0].reset_index(drop=True).equals(D._scan_fn()(pdf).reset_index(drop=True))
 
 
+def test_distances_to_exemplars_are_sliced():
+    rng = np.random.default_rng(4)
+    x, e = rng.normal(size=(4096, 4)), rng.normal(size=(9000, 4))
+    out = []
+    assert peak_mb(lambda: out.append(P.nearest_exemplars(x, e, np.array([0, 10, 5000])))) < 60  # the whole matrix: 295 MB
+    d = np.sqrt(((x[:50, None, :] - e[None]) ** 2).sum(2))
+    assert np.allclose(out[0][:50], np.minimum.reduceat(d, [0, 10, 5000], axis=1))
+
+
 def test_a_product_moves_rows_not_edges():
     n, parts, cols = 80, 4, 6
     ids = np.arange(n) * 5
