@@ -28,6 +28,9 @@ from pubstrata.functions.vectors import half_round, l2_normalize
 QUERY_PREFIX = "query: "
 TITLE_ABSTRACT_SEPARATOR = "\n"
 
+#: characters that the built-in encoder takes into words at a time
+RUN_CHARS = 1 << 18
+
 _WORD = re.compile(r"\w+", re.UNICODE)
 _WS_RUN = r"[^ \t\n\r]+"
 
@@ -58,6 +61,16 @@ class HashingEncoder:
         self.dim = int(dim)
 
     def encode(self, texts: list[str]) -> np.ndarray:
+        """Row by row results, so a batch goes in runs of about ``RUN_CHARS`` characters: the words of one run are held at a time."""
+        out, first, chars = np.empty((len(texts), self.dim), dtype=np.float32), 0, 0
+        for i, t in enumerate(texts):
+            chars += len(t or "")
+            if chars >= RUN_CHARS or i + 1 == len(texts):
+                out[first:i + 1] = self._encode_run(texts[first:i + 1])
+                first, chars = i + 1, 0
+        return out
+
+    def _encode_run(self, texts: list[str]) -> np.ndarray:
         n, d = len(texts), self.dim
         toks: list[str] = []
         rows: list[int] = []

@@ -88,6 +88,14 @@ def test_distances_to_exemplars_are_sliced():
     assert np.allclose(out[0][:50], np.minimum.reduceat(d, [0, 10, 5000], axis=1))
 
 
+def test_encoder_holds_the_words_of_a_run():
+    texts = [f"word{i} " * 300 for i in range(2000)] + [None, ""]
+    enc = E.HashingEncoder(16)
+    out = []
+    assert peak_mb(lambda: out.append(enc.encode(texts))) < 20  # before: all 600,000 words at once
+    assert np.array_equal(out[0][[0, 1999, 2001]], np.vstack([enc.encode([texts[i]]) for i in (0, 1999, 2001)]))
+
+
 def test_a_product_moves_rows_not_edges():
     n, parts, cols = 80, 4, 6
     ids = np.arange(n) * 5
