@@ -106,13 +106,13 @@ def test_a_product_moves_rows_not_edges():
     fixed, moved = {}, []
     for q in range(parts):
         edges = pd.DataFrame({"part": q, "i": ids[i], "j": ids[j], "pj": home[j], "m": m})[home[i] == q]
-        own = pd.DataFrame({"part": q, "dest": -1, "id": ids, "d": 1.0})[home == q]
+        own = pd.DataFrame({"part": q, "dest": -1, "id": ids, "d": 1.0, "n": 1})[home == q]
         wanted = pd.concat([own.assign(dest=x) for x in range(parts) if x != q])
         fixed[q] = S._fixed_arrays(parts)(edges, pd.concat([wanted, own]))
     y = np.random.default_rng(6).normal(size=(n, cols))
     for q in range(parts):
         rows = pd.DataFrame({"id": ids[home == q], "cur": list(y[home == q])})
-        moved.append(S._pack(False)(fixed[q], rows))
+        moved.append(S._pack(fixed[q], rows))
     state = pd.concat(moved)
     assert len(state) <= parts * parts
     assert state["cur"].map(len).sum() <= parts * n * cols * 8  # before: a row of columns per edge, n times as much
@@ -120,5 +120,5 @@ def test_a_product_moves_rows_not_edges():
     a[i, j] = m
     want = 2.0 * (a @ y + 0.5 * y) - 3.0 * y
     for q in range(parts):
-        got = S._step(2.0, -3.0, 0.0, False, True)(fixed[q], state[state["part"] == q])
+        got = S._step(2.0, -3.0, 0.0, True)(fixed[q], state[state["part"] == q])
         assert np.allclose(np.vstack(got["ay"]), want[home == q]) and (got["id"] == ids[home == q]).all()
