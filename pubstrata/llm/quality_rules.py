@@ -9,7 +9,8 @@ corpus size. A document's score is the mean log ratio of its n-grams, so that le
 does not matter. Documents that score below a cutoff or fail the base rules are
 rejected; the cutoff is set from the labelled documents' scores (``choose_cutoff``).
 
-Counts are map-side sums. The table of ratios, a row per bucket, is broadcast if its
+Counts are map-side sums over large splits (``COUNT_BYTES``), which are whole splits of the input
+run by one task. The table of ratios, a row per bucket, is broadcast if its
 counted size allows; beyond that only the hottest buckets are (at most ``HOT``, as each
 holds 1/HOT of all n-grams or more) and the others are joined by shuffle, so that no
 bucket is a hot key. N-grams' ratios are added up per row inside the map task; what
@@ -35,6 +36,8 @@ MIN_BUCKETS = 1 << 14
 PRIOR = 16.0
 UNIT = 1 << 20
 HOT = 4096
+#: text that one task counts, and tasks at least: a task sends a row per bucket that it has met, and a small split meets most buckets
+COUNT_BYTES, COUNT_TASKS = 128 << 20, 12
 #: a document's score must be below this to be rejected, whatever the labels say
 MAX_CUTOFF = -0.1
 #: a share of good documents lost weighs as much as this many times that share of bad documents kept
@@ -69,11 +72,12 @@ def bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets))
 
 
-def fit(docs: DataFrame, best: DataFrame, scratch: Scratch, buckets: int, prior: float = PRIOR) -> DataFrame:
+def fit(docs: DataFrame, best: DataFrame, scratch: Scratch, buckets: int, prior: float = PRIOR, text_bytes: int = 0) -> DataFrame:
     """(b, n, ratio): n-grams and log ratio (in 1/UNIT) of every bucket that occurs."""
     trusted = scratch.cut(best.where("quality = 1").select("t_id"), "trusted")
     flagged = docs.join(small(trusted, 16), F.col("doc_id") == F.col("t_id"), "left")
     hashed = with_hashes(flagged.select(F.col("t_id").isNotNull().cast("long").alias("good"), words(F.col("text")).alias("w")))
+    hashed = hashed.coalesce(max(COUNT_TASKS, -(-text_bytes // COUNT_BYTES)))
     grams = hashed.select("good", F.explode(F.concat("h1", "h2")).alias("h")).select("good", bucket(F.col("h"), buckets).alias("b"))
     per = scratch.cut(grams.groupBy("b").agg(F.count("*").alias("n"), F.sum("good").alias("good")), "counts")
     total = per.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -174,10 +178,11 @@ def verdicts(docs: DataFrame, labels: DataFrame, buckets: int | None = None) ->
     """``measured`` with the column kept."""
     scratch = Scratch(docs.sparkSession, "quality")
     docs = rows_of(docs, "doc_id", "text")
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if buckets is None:
-        buckets = buckets_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+        buckets = buckets_for(text_bytes)
     best = best_label(rows_of(labels, "doc_id", "quality"), scratch)
-    ratios = fit(docs, best, scratch, buckets)
+    ratios = fit(docs, best, scratch, buckets, text_bytes=text_bytes)
     scored = scratch.cut(measured(docs, ratios, buckets), "scores")
     cutoff = choose_cutoff(scored, best)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= cutoff))

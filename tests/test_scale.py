@@ -122,3 +122,20 @@ def test_a_product_moves_rows_not_edges():
     for q in range(parts):
         got = S._step(2.0, -3.0, 0.0, True)(fixed[q], state[state["part"] == q])
         assert np.allclose(np.vstack(got["ay"]), want[home == q]) and (got["id"] == ids[home == q]).all()
+
+
+def test_quality_counts_come_from_few_tasks(spark, monkeypatch):
+    from pubstrata.llm import quality_rules as Q
+
+    plans = {}
+    cut = Q.Scratch.cut
+
+    def spy(self, df, name):
+        plans[name] = df._jdf.queryExecution().toString()
+        return cut(self, df, name)
+
+    monkeypatch.setattr(Q.Scratch, "cut", spy)
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words of text "), F.col("id")).alias("text")).repartition(30)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert Q.verdicts(docs, labels).count() == 60
+    assert "Coalesce 12" in plans["counts"]
