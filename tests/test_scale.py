@@ -139,3 +139,45 @@ def test_quality_counts_come_from_few_tasks(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert Q.verdicts(docs, labels).count() == 60
     assert "Coalesce 12" in plans["counts"]
+
+
+def test_filter_by_factors_is_the_chebyshev_polynomial():
+    x = np.linspace(-1.0, 1.0, 501)
+    for degree in (5, 12, 24):
+        z = S.filter_zeros(degree)
+        steps = np.cumprod([2.0 * (x - t) for t in z], axis=0)
+        assert np.allclose(steps[-1], 2.0 * np.cos(degree * np.arccos(x)), atol=1e-11)
+        assert np.abs(steps).max() < 4 * degree  # no product on the way grows out of hand
+
+
+def test_the_state_of_a_product_is_one_block_of_columns():
+    assert S._STATE.count("binary") == 1  # before: the columns before the last, too
+    fixed = pd.Series({"part": 0, "send": np.array([1], np.int32).tobytes(), "send_n": np.array([0, 1]).tobytes()})
+    moved = S._messages(fixed, np.arange(6.0).reshape(3, 2))
+    assert moved["cur"].map(len).tolist() == [3 * 2 * 8, 2 * 8]
+
+
+def test_a_vertex_has_a_bounded_number_of_ghosts():
+    from pubstrata.operators import layout as L
+
+    assert [L.part_count(n, 2048) for n in (0, 1, 2048, 2049, 10_256)] == [1, 1, 1, 2, 6]
+    assert L.part_count(102_564, 2048) == L.part_count(615_384, 2048) == 16  # before: 51 and 301
+    assert L.part_count(4_000_000, 2048) == 62
+
+
+def test_epochs_in_runs_of_edges_equal_those_at_once(monkeypatch):
+    from pubstrata.operators import layout as L
+
+    rng = np.random.default_rng(8)
+    y, src, dst, p = rng.normal(size=(300, 5)), np.sort(rng.integers(0, 200, 4000)), rng.integers(0, 300, 4000), rng.random(4000)
+    args = (y, 200, src, dst, p, np.arange(300), range(0, 4), 20, 1.5, 0.9, 1.0, 5, (7, 0))
+    out = {}
+    for size in (1 << 20, 64):
+        monkeypatch.setattr(L, "EDGES", size)
+        out[size] = L.run_epochs(*args)
+    assert np.array_equal(out[1 << 20], out[64])
+    big = rng.integers(0, 200, 200_000)
+    big.sort()
+    monkeypatch.setattr(L, "EDGES", 1 << 12)
+    many = (y, 200, big, rng.integers(0, 300, len(big)), np.ones(len(big)), np.arange(300), range(0, 1), 20, 1.5, 0.9, 1.0, 1, (7, 0))
+    assert peak_mb(lambda: L.run_epochs(*many)) < 15  # the edges' moves at once: 8 MB an array
