@@ -161,7 +161,7 @@ def test_a_vertex_has_a_bounded_number_of_ghosts():
     from pubstrata.operators import layout as L
 
     assert [L.part_count(n, 2048) for n in (0, 1, 2048, 2049, 10_256)] == [1, 1, 1, 2, 6]
-    assert L.part_count(102_564, 2048) == L.part_count(615_384, 2048) == 16  # before: 51 and 301
+    assert L.part_count(102_564, 2048) == L.part_count(615_384, 2048) == L.PARTS <= 16  # before: 51 and 301
     assert L.part_count(4_000_000, 2048) == 62
 
 
@@ -181,3 +181,9 @@ def test_epochs_in_runs_of_edges_equal_those_at_once(monkeypatch):
     monkeypatch.setattr(L, "EDGES", 1 << 12)
     many = (y, 200, big, rng.integers(0, 300, len(big)), np.ones(len(big)), np.arange(300), range(0, 1), 20, 1.5, 0.9, 1.0, 1, (7, 0))
     assert peak_mb(lambda: L.run_epochs(*many)) < 15  # the edges' moves at once: 8 MB an array
+
+
+def test_copies_of_a_vector_hardly_grow_from_ten_to_a_hundred_thousand():
+    blocks = [N.block_count(n, 2048, 4) for n in (10_256, 102_564, 615_384)]
+    assert blocks == [6, 8, 8]  # before: 6, 16, 16
+    assert N.block_count(5_000_000, 2048, 4) == 39
