@@ -187,3 +187,13 @@ def test_copies_of_a_vector_hardly_grow_from_ten_to_a_hundred_thousand():
     blocks = [N.block_count(n, 2048, 4) for n in (10_256, 102_564, 615_384)]
     assert blocks == [6, 8, 8]  # before: 6, 16, 16
     assert N.block_count(5_000_000, 2048, 4) == 39
+
+
+def test_distances_make_few_matrices(spark, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(800, 4))
+    for metric in N.METRICS:
+        assert peak_mb(lambda: N._distances(x, x, metric)) < 2.5 * 8 * 800 * 800 / 1e6  # before: three at once for euclidean
+    tiles = []
+    monkeypatch.setattr(N, "_block_fn", lambda k, m, s, tile: tiles.append(tile) or (lambda pdf: pd.DataFrame({"id": [0], "neighbor": [0], "distance": [0.0]})))
+    N.knn(spark.range(9).select("id", F.array(F.col("id").cast("float")).alias("embedding")), 2)
+    assert tiles == [1024]  # before: 2048, out of the cache
