@@ -553,7 +553,7 @@ def _ancestors(lineages: DataFrame) -> DataFrame:
     return _cut(out.join(depth, "anc"))
 
 
-def membership_vectors(h: Hierarchy, selection: DataFrame, distance_membership: DataFrame) -> DataFrame:
+def membership_vectors(h: Hierarchy, selection: DataFrame, distance_membership) -> DataFrame:
     """(id, topic, p): soft membership of every point in every selected cluster.
 
     p = normalise(distance share * tree share) * P(in some cluster), where
@@ -566,9 +566,20 @@ def membership_vectors(h: Hierarchy, selection: DataFrame, distance_membership:
       lowest common ancestor)); lam_max(c) = largest lambda of a point in c;
     * P(in some cluster) = lambda_p / max(lambda_p, lam_max(c*)), c* the
       cluster with the largest m(p, c).
+
+    With the distances themselves (``membership_distance(..., table=False)``) the tasks that find them weigh them, and no row
+    of a point and cluster is shuffled. A lineage tree too large to broadcast, or a table of shares, is joined.
     """
-    anc = _ancestors(h.lineages)
+    from pubstrata.operators import membership as M
+    from pubstrata.operators import shares
+
     num = cluster_numbering(selection, h.lineages)
+    if isinstance(distance_membership, shares.Distances):
+        tree = M.lineage_tree(h, selection, num)
+        if tree is not None:
+            return shares.memberships(distance_membership, h.falls, tree, num)
+        distance_membership = shares.memberships(distance_membership)
+    anc = _ancestors(h.lineages)
     lin = h.lineages.select("lin", "lam_form")
     # lam_max per selected cluster: largest lambda of a point falling from it or a descendant
     fa = h.falls.join(anc, "lin").join(num.select(F.col("sel").alias("anc")), "anc")

@@ -18,16 +18,11 @@ task sorts the whole table.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubstrata.deploy import ship_package
 from pubstrata.functions.vectors import half_round_scalar
-from pubstrata.session import cut_lineage
 
 HASH_BUCKET_BITS = 12
 #: entries of a distance matrix inside a task
@@ -85,54 +80,17 @@ def nearest_exemplars(x: np.ndarray, e: np.ndarray, starts: np.ndarray) -> np.nd
     return out
 
 
-def _nearest_fn():
-    """(point block, exemplar tile) task: distance of each point to the nearest exemplar of each topic in the tile."""
-
-    def run(key, pdf):
-        pts = pdf[pdf["side"] == 0]
-        ex = pdf[pdf["side"] == 1].sort_values("topic", kind="stable")
-        if len(pts) == 0 or len(ex) == 0:
-            return pd.DataFrame({"id": [], "topic": [], "dmin": []})
-        x = np.vstack(pts["v"].to_numpy())
-        e = np.vstack(ex["v"].to_numpy())
-        uniq, starts = np.unique(ex["topic"].to_numpy(), return_index=True)
-        ids = pts["id"].to_numpy(np.int64)
-        return pd.DataFrame({
-            "id": np.repeat(ids, len(uniq)),
-            "topic": np.tile(uniq.astype(np.int32), len(ids)),
-            "dmin": nearest_exemplars(x, e, starts).reshape(-1),
-        })
-
-    return run
-
-
 def membership_distance(vectors: DataFrame, clusters: DataFrame, vec_col: str = "embedding",
-                        block_rows: int = 4096, points: DataFrame | None = None) -> DataFrame:
+                        block_rows: int = 4096, points: DataFrame | None = None, table: bool = True):
     """(id, topic, p) for every point (or the ids of ``points``) over every topic with exemplars.
 
-    Points and exemplars are dealt into blocks of about ``block_rows``; a task holds one
-    block of each, and the minima of a topic spread over several tiles are merged by an aggregation.
+    Blocks of points meet tiles of topics in tasks of their own; no row of a point and topic is shuffled (``shares.memberships``).
+    Without ``table``: what ``density.membership_vectors`` needs to weigh the distances where they are found (``shares.Distances``).
     """
-    ship_package(vectors.sparkSession)
-    ex = cut_lineage(exemplars(clusters, vectors, vec_col), "exemplars")
-    v = vectors.select(F.col("id").cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    if points is not None:
-        v = v.join(points.select("id").distinct(), "id", "left_semi")
-    nb = max(1, math.ceil(v.count() / block_rows))  # loop-control counts: size the blocks
-    nt = max(1, math.ceil(ex.count() / block_rows))
-
-    def each(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    p = v.select("id", "v", F.lit(None).cast("int").alias("topic"),
-                 F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int").alias("blk"), each(nt).alias("tile"), F.lit(0).alias("side"))
-    e = ex.select(F.lit(None).cast("long").alias("id"), "v", F.col("topic").cast("int"), each(nb).alias("blk"),
-                  F.pmod(F.xxhash64("id"), F.lit(nt)).cast("int").alias("tile"), F.lit(1).alias("side"))
-    near = p.unionByName(e).groupBy("blk", "tile").applyInPandas(_nearest_fn(), "id long, topic int, dmin double")
-    # one shuffle by id serves the merge of the tiles and the sum over topics
-    near = near.repartition("id").groupBy("id", "topic").agg(F.min("dmin").alias("dmin"))
-    w = near.select("id", "topic", (1.0 / F.greatest("dmin", F.lit(1e-12))).alias("w"))
-    return w.select("id", "topic", (F.col("w") / F.sum("w").over(Window.partitionBy("id"))).alias("p"))
+    from pubstrata.operators import shares
+
+    dist = shares.Distances(vectors, clusters, vec_col, block_rows, points)
+    return shares.memberships(dist) if table else dist
 
 
 def core_sample(clusters: DataFrame, core_sample_frac: float = 0.2, core_sample_min: int = 0,

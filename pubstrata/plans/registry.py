@@ -553,5 +553,5 @@ def _interpret_run(spark, d):
 @register("membership_full")
 def _membership_full(spark, d):
     labels, mst, h, sel = _hdb(spark, d)
-    dist = P.membership_distance(FX.vectors_view(spark, d), labels)
+    dist = P.membership_distance(FX.vectors_view(spark, d), labels, table=False)
     return DN.membership_vectors(h, sel, dist)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pubstrata.operators import density as D
 from pubstrata.operators import membership as M
 from pubstrata.operators import periphery as P
+from pubstrata.operators import shares as SH
 
 
 def frame(spark, x):
@@ -102,3 +103,88 @@ def test_no_cluster_no_memberships(spark):
     df = frame(spark, np.random.default_rng(0).uniform(size=(12, 3)))
     lab = spark.createDataFrame([(i, -1, False, 0.0) for i in range(12)], "id long, topic int, is_core boolean, probability double")
     assert M.best_memberships(df, lab).collect() == []
+
+
+def table(df):
+    """{(id, topic): its p values, sorted} of a membership table."""
+    out = {}
+    for r in df.collect():
+        out.setdefault((r.id, r.topic), []).append(r.p)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def same_table(got, want):
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-6, abs=1e-9, nan_ok=True), k
+
+
+@pytest.mark.parametrize("block_rows", [4096, 1])
+def test_distance_shares_against_brute_force(spark, block_rows):
+    """1: eight tiles, and a topic with more exemplars than a tile; an id with two vectors has the lesser distance."""
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(c, 0.5, (k, 3)) for c, k in ((0.0, 30), (4.0, 6), (8.0, 5), (12.0, 9))])
+    topic = np.repeat([0, 1, 2, 3], [30, 6, 5, 9])
+    ids = np.append(np.arange(50), 7)
+    x = np.vstack([x, [4.0, 4.0, 4.1]])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "id long, embedding array<double>")
+    lab = spark.createDataFrame([(i, int(topic[i]) if i != 7 else -1, i != 7, 1.0) for i in range(50)], "id long, topic int, is_core boolean, probability double")
+    got = table(P.membership_distance(df, lab, block_rows=block_rows))
+    core = [i for i in range(50) if i != 7]
+    assert len(got) == 200
+    for i in (7, 12, 45):
+        d = [min(np.linalg.norm(x[a] - x[b]) for a in np.flatnonzero(ids == i) for b in core if topic[b] == t) for t in range(4)]
+        w = 1.0 / np.maximum(d, 1e-7)  # the distance of an exemplar to itself is rounding
+        for t in range(4):
+            assert got[i, t] == [pytest.approx(w[t] / w.sum(), abs=1e-5)]
+
+
+@pytest.mark.parametrize("block_rows", [4096, 1])
+def test_weighed_in_the_tasks_as_by_the_joins(spark, block_rows):
+    df = frame(spark, blobs(5))
+    labels, _, h, sel = D.hdbscan(df, min_cluster_size=8, min_samples=4, details=True)
+    labels = labels.cache()
+    want = table(D.membership_vectors(h, sel, P.membership_distance(df, labels)))
+    assert len(want) == 110 * labels.where("topic <> -1").select("topic").distinct().count()
+    same_table(table(D.membership_vectors(h, sel, P.membership_distance(df, labels, block_rows=block_rows, table=False))), want)
+    # ids with several falls and vectors, falls in a tree of their own, a topic without exemplars (its deepest points have no vector)
+    deepest = [r.id for r in labels.where("topic = 0 and probability = 1").collect()]
+    x, y, z = [i for i in range(30) if i not in deepest][:3]
+    lin = h.falls.where("id = 40").first().lin
+    far = 1 << 40
+    falls = h.falls.where(F.col("id") != z).unionByName(spark.createDataFrame(
+        [(x, lin, 0.2), (x, lin, 0.2), (y, far, 0.5), (z, far, 0.5), (500, lin, 0.3)], "id long, lin long, lam double"))
+    odd = D.Hierarchy(None, falls, h.lineages.unionByName(spark.createDataFrame([(far, None, 8, 0.0, 0.7, 0.0, 0.0)], h.lineages.schema)))
+    more = df.where(~F.col("id").isin(deepest)).unionByName(spark.createDataFrame([(x, [4.0, 4.0, 4.0]), (x, [8.0, 8.0, 8.0])], df.schema))
+    few = labels.where("topic <> 0")
+    want = table(D.membership_vectors(odd, sel, P.membership_distance(more, few)))
+    assert len(want[x, 1]) == 3 and (y, 1) in want and (z, 1) not in want and (x, 0) not in want
+    same_table(table(D.membership_vectors(odd, sel, P.membership_distance(more, few, block_rows=block_rows, table=False))), want)
+
+
+@pytest.mark.parametrize("block_rows", [4096, 1])
+def test_copies_of_infinite_lambda_as_by_the_joins(spark, block_rows):
+    df = frame(spark, np.vstack([blobs(6), np.tile([20.0, 20.0, 20.0], (12, 1))]))
+    labels, _, h, sel = D.hdbscan(df, min_cluster_size=8, min_samples=4, details=True)
+    labels = labels.cache()
+    assert h.falls.where("lam = double('inf')").count() > 0
+    want = table(D.membership_vectors(h, sel, P.membership_distance(df, labels)))
+    same_table(table(D.membership_vectors(h, sel, P.membership_distance(df, labels, block_rows=block_rows, table=False))), want)
+
+
+def test_rows_of_points_and_topics_are_not_shuffled(spark):
+    df = frame(spark, blobs(7))
+    lab = spark.createDataFrame([(i, i // 30, True, 1.0) for i in range(90)], "id long, topic int, is_core boolean, probability double")
+    h = D.Hierarchy(None, spark.createDataFrame([(i, i // 30 + 1 if i < 90 else 0, 1.0) for i in range(110)], "id long, lin long, lam double"),
+                    spark.createDataFrame([(0, None, 0.1), (1, 0, 1.0), (2, 0, 1.0), (3, 0, 1.0)], "lin long, parent long, lam_form double"))
+    sel = spark.createDataFrame([(0, False, None), (1, True, 1), (2, True, 2), (3, True, 3)], "lin long, selected boolean, sel long")
+    for out in (P.membership_distance(df, lab, block_rows=1), D.membership_vectors(h, sel, P.membership_distance(df, lab, block_rows=1, table=False))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert 0 <= plan.find("MapInPandas") < plan.find("Exchange")
+        assert out.count() == 330
+
+
+def test_copies_grow_to_a_bound():
+    for most in (SH.BLOCKS, SH.TILES):
+        assert SH.part_count(100_000, 512, most) == SH.part_count(1_000_000, 512, most) == most
+    assert SH.part_count(0, 512, 24) == 1 and SH.part_count(10 * SH.TASK_ROWS, 512, 8) == 10
