@@ -11,8 +11,10 @@ rejected; the cutoff is set from the labelled documents' scores (``choose_cutoff
 
 Counts are map-side sums over large splits (``COUNT_BYTES``), which are whole splits of the input
 run by one task. The table of ratios, a row per bucket, is broadcast if its
-counted size allows; beyond that only the hottest buckets are (at most ``HOT``, as each
-holds 1/HOT of all n-grams or more) and the others are joined by shuffle, so that no
+counted size allows, else in chunks of ``CHUNK`` buckets (``chunked``: an array of ratios, 4 bytes a bucket,
+up to ``CHUNKS_BYTES`` times that size: 2^25 buckets, some 190 GB of text), so n-grams are not moved. Only beyond
+that are just the hottest buckets broadcast (at most ``HOT``, as each
+holds 1/HOT of all n-grams or more) and the others joined by shuffle, so that no
 bucket is a hot key. N-grams' ratios are added up per row inside the map task; what
 leaves it is one narrow row per document. Ratios are fixed-point numbers (``UNIT``), so
 that sums do not depend on their order.
@@ -36,6 +38,8 @@ MIN_BUCKETS = 1 << 14
 PRIOR = 16.0
 UNIT = 1 << 20
 HOT = 4096
+#: buckets of one row of the packed table of ratios, and times ``BROADCAST_BYTES`` that it may take
+CHUNK, CHUNKS_BYTES = 1024, 4
 #: text that one task counts, and tasks at least: a task sends a row per bucket that it has met, and a small split meets most buckets
 COUNT_BYTES, COUNT_TASKS = 128 << 20, 12
 #: a document's score must be below this to be rejected, whatever the labels say
@@ -86,11 +90,29 @@ def fit(docs: DataFrame, best: DataFrame, scratch: Scratch, buckets: int, prior:
     return scratch.cut(per.select("b", "n", ratio.alias("ratio")), "ratios")
 
 
-def with_ratio(grams: DataFrame, ratios: DataFrame) -> DataFrame:
+def chunked(ratios: DataFrame) -> DataFrame:
+    """(chunk, ratios array<int>): the ratios of ``CHUNK`` buckets by place, null where a bucket does not occur.
+
+    A ratio is a fixed-point logarithm of counts, at most 40 * ``UNIT``, and fits an int.
+    """
+    place = F.pmod(F.col("b"), F.lit(CHUNK)).cast("int")
+    found = ratios.groupBy(F.floor(F.col("b") / CHUNK).alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct(place.alias("at"), F.col("ratio").cast("int").alias("ratio")))).alias("s"))
+    # in front of every bucket nulls for those that were left out since the one before
+    left_out = lambda x, i: F.array_repeat(F.lit(None).cast("int"), x["at"] - F.coalesce(F.get("s", i - 1)["at"], F.lit(-1)) - 1)
+    filled = F.transform("s", lambda x, i: F.concat(left_out(x, i), F.array(x["ratio"])))
+    return found.select("chunk", F.flatten(filled).alias("ratios"))
+
+
+def with_ratio(grams: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
     """``grams`` (b, row_no and other columns; b null in a row without n-grams) with their bucket's ``ratio``."""
     if ratios.count() * 24 <= BROADCAST_BYTES:
         every = F.broadcast(ratios.select(F.col("b").alias("b_"), "ratio"))
         return grams.join(every, F.col("b") == F.col("b_"), "left").drop("b_")
+    if buckets * 4 <= CHUNKS_BYTES * BROADCAST_BYTES:
+        ratio = F.get("ratios", F.pmod(F.col("b"), F.lit(CHUNK)).cast("int")).cast("long")
+        near = grams.join(F.broadcast(chunked(ratios)), F.floor(F.col("b") / CHUNK) == F.col("chunk"), "left")
+        return near.withColumn("ratio", ratio).drop("chunk", "ratios")
     total = ratios.agg(F.sum("n")).first()[0]
     # at most HOT rows can hold 1/HOT of all n-grams each
     hot = F.broadcast(ratios.where(F.col("n") * HOT >= total).select(F.col("b").alias("hot_b"), F.col("ratio").alias("hot_ratio")))
@@ -147,7 +169,7 @@ def measured(docs: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
     # a step of its own: what stands beside a generator is computed for every row that it makes
     grams = d.select("row_no", "doc_id", "k1", "k2", *_COUNTS, F.explode_outer("h").alias("h"))
     grams = grams.withColumn("b", bucket(F.col("h"), buckets)).drop("h")
-    per = with_ratio(grams, ratios).groupBy("row_no").agg(
+    per = with_ratio(grams, ratios, buckets).groupBy("row_no").agg(
         *[F.max(c).alias(c) for c in ("doc_id", "k1", "k2", *_COUNTS)],
         F.sum("ratio").alias("sum"), F.count("ratio").alias("n"))
     score = F.when(F.col("n") > 0, F.col("sum") / F.col("n") / UNIT).otherwise(F.lit(0.0))

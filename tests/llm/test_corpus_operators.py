@@ -200,6 +200,24 @@ def test_quality_scores_equal_brute_force_on_both_joins(spark, odd_docs, monkeyp
     assert [s for _, s in got[0]] == pytest.approx([s for _, s in want], abs=1e-5)
 
 
+def test_quality_ratios_beyond_the_plain_broadcast_move_no_ngram(spark, monkeypatch):
+    buckets = 5000
+    ratios = spark.range(0, buckets, 3).select(F.col("id").alias("b"), F.lit(2).cast("long").alias("n"), (7 * F.col("id") - 9000).alias("ratio"))
+    grams = spark.range(9000).select((F.col("id") % 40).alias("row_no"), F.when(F.col("id") % 50 != 0, F.col("id") * 7 % buckets).alias("b"))
+    want = [(r.row_no, -1 if r.b is None else r.b, None if r.b is None or r.b % 3 else 7 * r.b - 9000) for r in grams.collect()]
+    monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", buckets)  # rows of 24 bytes exceed it, packed ones do not
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = quality_rules.with_ratio(grams, ratios, buckets)
+        plan = far._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r.row_no, -1 if r.b is None else r.b, r.ratio) for r in far.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == sorted(want, key=str) and far.columns == ["row_no", "b", "ratio"]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_cutoff_loses_least_and_stays_below_its_bound(spark):
     def cutoff(rows, labels):
         scored = spark.createDataFrame(rows, "doc_id long, score double, base_failed boolean")
