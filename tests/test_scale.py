@@ -55,6 +55,30 @@ def test_ties_in_later_tiles_do_not_displace_smaller_ids():
     assert {i: sorted(g) for i, g in got.groupby("id")["neighbor"]} == {i: [x for x in range(4) if x != i][:3] for i in range(50)}
 
 
+@pytest.mark.parametrize("metric", N.METRICS)
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (1e-3, 1e3), (1.0, 1e9), (1e-30, 0.0), (1e30, 0.0), (1e160, 0.0)])
+def test_few_pairs_are_measured_in_double_precision(metric, scale, shift, monkeypatch):
+    x = np.random.default_rng(11).normal(size=(600, 4)) * scale + shift
+    x[40:60], x[70], x[80, 1] = x[3], np.nan, np.inf
+    measured, exact = [], N._exact
+    monkeypatch.setattr(N, "_exact", lambda a, b, m: measured.append(len(a)) or exact(a, b, m))
+    pdf = pd.DataFrame({"id": np.arange(600)[::-1] * 7, "v": list(x), "bi": 0, "bj": 0, "side": 0})
+    got = N._block_fn(5, metric, False, 64)(pdf)
+    assert np.isfinite(got["distance"]).all() and not set(got["id"]) & {7 * (599 - 70), 7 * (599 - 80)}
+    if (scale, shift) == (1.0, 0.0):
+        assert sum(measured) < 600 * 600 / 8  # before: every pair
+    with np.errstate(all="ignore"):
+        y = x / np.linalg.norm(x, axis=1)[:, None] if metric == "cosine" else x
+        d = 1.0 - np.einsum("ik,jk->ij", y, y) if metric == "cosine" else np.sqrt(((y[:, None] - y[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    d[~np.isfinite(d)] = np.inf
+    near = {i: np.sort(g.to_numpy()) for i, g in got.groupby("id")["distance"]}
+    for r in range(600):
+        want = np.sort(d[r])[:5]
+        want = want[np.isfinite(want)]
+        assert np.allclose(near.get(7 * (599 - r), []), want, rtol=1e-9, atol=1e-12 if metric == "cosine" else 0)
+
+
 def test_queries_on_neighbours_search_them_once(spark, tmp_path):
     from pubstrata.plans import registry
 
