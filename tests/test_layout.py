@@ -53,6 +53,23 @@ def test_spectral_subspace_in_few_rounds(spark, ring):
     assert np.abs(trivial @ q).max() < 1e-8
 
 
+def test_groups_of_columns_in_single_precision_reach_the_same_subspace(spark, ring, monkeypatch):
+    df, g, _, _ = ring
+    seen, step = [], S._step
+    monkeypatch.setattr(S, "_step", lambda *a: seen.append((a[3], np.dtype(a[4]).itemsize)) or step(*a))
+    ids, rounds = df.select("id"), {}
+    basis = {}
+    for rows in (1 << 15, 100):  # one group of columns in double precision; four, in single precision first
+        monkeypatch.setattr(S, "GROUP_ROWS", rows)
+        seen.clear()
+        got = R.spectral_init(g, ids, 6, stats=rounds.setdefault(rows, [])).orderBy("id").collect()
+        basis[rows] = np.linalg.qr(np.array([r.y for r in got]))[0]
+        assert {size for last, size in seen if not last} >= ({8} if rows > 400 else {4})
+    assert rounds[100][-1] <= 1e-6 and len(rounds[100]) <= len(rounds[1 << 15]) + 2
+    a, b = basis.values()
+    assert np.linalg.norm(a - b @ (b.T @ a), 2) < 1e-4
+
+
 def test_points_without_edges_and_tiny_graphs(spark):
     g = spark.createDataFrame([(0, 1, 1.0), (1, 0, 1.0)], "i long, j long, w double")
     ids = spark.createDataFrame([(i,) for i in range(4)], "id long")
